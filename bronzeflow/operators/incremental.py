@@ -1,7 +1,7 @@
 """Incremental load by high-water mark, and upsert.
 
-Documented by the reference as advice, without code; the semantics here are
-ours. Works on plain partitioned files, which know no MERGE.
+A documented feature without a given implementation, so the semantics here are
+our own. Works on plain partitioned files, which know no MERGE.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from bronzeflow.config import Target
 from bronzeflow.operators.sinks import align_to_existing, restore_previous, swap_in
+from bronzeflow.session import job_session
 from bronzeflow.specs import TableSpec
 
 
@@ -108,8 +109,8 @@ def upsert_table(
         upsert(affected, increment, keys, order_by).hint("rebalance", *parts).write.mode(
             "overwrite"
         ).format(target.table_format).saveAsTable(staged_name)
-        staged = spark.table(staged_name).select(*base.columns)
-        overwrite_partitions(staged, name)
+        staged = spark.table(staged_name)
+        overwrite_partitions(spark, staged_name, name)
         left = renamed_keys(staged.select(*parts), parts)
         emptied = touched.join(left, same_key(touched, left, parts), "left_anti")
         drop_partitions(spark, name, emptied, parts)
@@ -118,16 +119,16 @@ def upsert_table(
     spark.sql(f"DROP TABLE IF EXISTS {increment_name}")
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace the partitions that ``df`` has rows for, and no others."""
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    session = df.sparkSession
-    before = session.conf.get(mode)
-    session.conf.set(mode, "dynamic")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        session.conf.set(mode, before)
+def overwrite_partitions(spark: SparkSession, rows_of: str, table: str) -> None:
+    """Replace the partitions that table ``rows_of`` has rows for, and no others.
+
+    The overwrite mode is a setting, so the insert runs in a session of its own.
+    """
+    session = job_session(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"})
+    columns = session.table(table).columns
+    session.table(rows_of).select(*columns).write.insertInto(table, overwrite=True)
+    # The caller's session may have listed the replaced files.
+    spark.catalog.refreshTable(table)
 
 
 def drop_partitions(

@@ -1,7 +1,7 @@
 """Checks for any table: types, rules, profile, completeness.
 
-Documented by the reference as features, with no code behind them beyond single
-instances; the semantics here are ours. One pass over the table each.
+Documented features of which only single instances are given, so the general
+semantics are our own. One pass over the table each.
 """
 
 from __future__ import annotations

@@ -21,6 +21,7 @@ from bronzeflow.operators.sinks import (
     write_bronze,
 )
 from bronzeflow.plans import reports
+from bronzeflow.session import job_session
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.sources.jdbc import JdbcSource
 from bronzeflow.specs import SPECS, TableSpec
@@ -110,6 +111,7 @@ def run_bronze(
 
     An extraction that fails ends the run. Reports come last and do not.
     """
+    caller, spark = spark, job_session(spark)
     source = source or JdbcSource.from_config(cfg)
     run = run or RunContext.now(cfg.source_system)
     target, result = cfg.target, BronzeRun()
@@ -121,6 +123,8 @@ def run_bronze(
             check = verify_load(spark, target, name, metrics["total"]).first()
             if not check["ok"]:
                 log.warning("%s: wrote %s rows, read %s", name, *check[1:3])
+            # The caller's session may have listed the files of the last run.
+            caller.catalog.refreshTable(target.name(name))
             result.metrics[name] = metrics | {"read_back": check["read_back"]}
 
     load("customers")

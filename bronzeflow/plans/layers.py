@@ -1,7 +1,6 @@
 """Silver and gold tables.
 
-The reference names these layers as next steps and has no code for them: an
-extension, with semantics of our own.
+An extension: planned as a next step only, so the semantics are our own.
 """
 
 from __future__ import annotations

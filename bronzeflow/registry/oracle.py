@@ -134,7 +134,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "schema_evolution": """SELECT o_orderkey AS OrderID, o_custkey AS CustomerID,
         CAST(NULL AS DATE) AS OrderDate, o_orderpriority AS Priority FROM orders""",
-    "verify_load": over("orders", loaded("orders")),
+    "verify_load": over("order_lines", loaded("order_lines")),
     "append_if_empty": over("customers", loaded("customers")),
     "bronze_run": over(
         " ".join(n for n in ADAPTERS if n != "suppliers"),

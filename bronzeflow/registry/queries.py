@@ -22,10 +22,10 @@ from bronzeflow.operators.sinks import (
 )
 from bronzeflow.plans import layers, reports, views
 from bronzeflow.plans.job import run_bronze
-from bronzeflow.session import scratch_path
+from bronzeflow.session import job_session, scratch_path
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.sources.fixtures import FixtureSource, bronze_input, read_fixture
-from bronzeflow.specs import CUSTOMERS, ORDERS, SPECS
+from bronzeflow.specs import CUSTOMERS, ORDER_LINES, ORDERS, SPECS
 from bronzeflow.streaming.append import append_stream, read_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,13 +91,10 @@ def lineage(name: str, key: str) -> Query:
     return query
 
 
-def bronze_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return add_lineage(bronze_input(spark, sf, "orders"), ORDERS, RUN)
-
-
 def bronze_roundtrip_orders(spark: SparkSession, sf: str) -> DataFrame:
     target = fresh_target(spark)
-    write_bronze(bronze_orders(spark, sf), target, ORDERS)
+    orders = bronze_input(job_session(spark), sf, "orders")
+    write_bronze(add_lineage(orders, ORDERS, RUN), target, ORDERS)
     return read_bronze(spark, target, "orders").select(
         "OrderID", "CustomerID", "OrderDate", *lineage_columns(ORDERS)
     )
@@ -114,10 +111,9 @@ def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
 
 def load_and_verify(spark: SparkSession, sf: str) -> DataFrame:
     target = fresh_target(spark)
-    observed = write_bronze(
-        bronze_orders(spark, sf), target, ORDERS, quality.load_metrics("orders")
-    )
-    return verify_load(spark, target, "orders", observed["total"])
+    lines = add_lineage(bronze_input(spark, sf, "order_lines"), ORDER_LINES, RUN)
+    observed = write_bronze(lines, target, ORDER_LINES, quality.load_metrics("order_lines"))
+    return verify_load(spark, target, "order_lines", observed["total"])
 
 
 def seed_twice(spark: SparkSession, sf: str) -> DataFrame:

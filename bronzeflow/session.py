@@ -24,6 +24,21 @@ def local_session(cpus: int | str = 8, app: str = "bronzeflow", **conf: str) ->
     return spark
 
 
+def job_session(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session for a job that writes: the caller's catalog, settings of its own.
+
+    Writing one folder per date costs time per file, not per byte, so small
+    writes stay spread over the tasks instead of being merged into one.
+    """
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(key, spark.conf.get(key))
+    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32KB")
+    for key, value in conf.items():
+        session.conf.set(key, value)
+    return session
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

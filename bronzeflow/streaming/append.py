@@ -1,7 +1,6 @@
 """Bronze append as a stream of files.
 
-The reference names real-time processing as a next step and has no code for it:
-an extension, with semantics of our own.
+An extension: planned as a next step only, so the semantics are our own.
 """
 
 from __future__ import annotations
