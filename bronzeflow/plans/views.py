@@ -69,11 +69,16 @@ def customer_order_summary(
         F.count(F.lit(1)).alias("copies")
     )
     per_customer = orders_per_customer(orders, lines)
-    return people.join(per_customer, "CustomerID", "left").select(
+    with_orders = people.where(F.col("CustomerID").isNotNull()).join(
+        per_customer, "CustomerID", "left"
+    )
+    # Customers without an id have no orders; they stay out of the join.
+    without_id = people.where(F.col("CustomerID").isNull())
+    return with_orders.unionByName(without_id, allowMissingColumns=True).select(
         "CustomerID",
         "CustomerName",
         F.coalesce(F.col("copies") * F.col("joined_rows"), F.lit(0)).alias("TotalOrders"),
-        F.coalesce((F.col("copies") * F.col("value")), F.lit(0))
+        F.coalesce(F.col("copies") * F.col("value"), F.lit(0))
         .cast("decimal(38,2)")
         .alias("TotalValue"),
         "LastOrderDate",
