@@ -53,6 +53,7 @@ class PipelineConfig:
     source_system: str = "sales_source"
     table_format: str = "parquet"
     location: str | None = None
+    staged_writes: bool = False
 
     @classmethod
     def from_mapping(cls, params: Mapping[str, str]) -> PipelineConfig:

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeflow.config import Target
-from bronzeflow.operators.sinks import align_to_existing, restore_previous, swap_in
+from bronzeflow.operators.sinks import align_to_existing, restore_previous, save, swap_in
 from bronzeflow.session import job_session
 from bronzeflow.specs import TableSpec
 
@@ -81,16 +82,13 @@ def upsert_table(
     base = spark.table(name)
     # The increment is used several times; the source is read once.
     increment_name = target.name(f"{spec.name}__increment")
-    align_to_existing(incoming, base.schema).select(*base.columns).write.mode(
-        "overwrite"
-    ).format(target.table_format).saveAsTable(increment_name)
+    aligned = align_to_existing(incoming, base.schema).select(*base.columns)
+    save(aligned, target, increment_name)
     increment = spark.table(increment_name)
     staged_name = target.name(f"{spec.name}__staged")
 
     if not spec.partition_by:
-        upsert(base, increment, keys, order_by).write.mode("overwrite").format(
-            target.table_format
-        ).saveAsTable(staged_name)
+        save(upsert(base, increment, keys, order_by), target, staged_name)
         swap_in(spark, target, spec.name)
     else:
         parts = list(spec.partition_by)
@@ -102,15 +100,13 @@ def upsert_table(
             .distinct()
         )
         touched_name = target.name(f"{spec.name}__touched")
-        touched.write.mode("overwrite").format(target.table_format).saveAsTable(touched_name)
+        save(touched, target, touched_name)
         touched = spark.table(touched_name)
         marked = renamed_keys(touched, parts)
         affected = base.join(marked, same_key(base, marked, parts), "left_semi")
-        upsert(affected, increment, keys, order_by).hint("rebalance", *parts).write.mode(
-            "overwrite"
-        ).format(target.table_format).saveAsTable(staged_name)
+        save(upsert(affected, increment, keys, order_by), target, staged_name)
         staged = spark.table(staged_name)
-        overwrite_partitions(spark, staged_name, name)
+        overwrite_partitions(spark, staged_name, name, parts)
         left = renamed_keys(staged.select(*parts), parts)
         emptied = touched.join(left, same_key(touched, left, parts), "left_anti")
         drop_partitions(spark, name, emptied, parts)
@@ -119,14 +115,17 @@ def upsert_table(
     spark.sql(f"DROP TABLE IF EXISTS {increment_name}")
 
 
-def overwrite_partitions(spark: SparkSession, rows_of: str, table: str) -> None:
+def overwrite_partitions(
+    spark: SparkSession, rows_of: str, table: str, parts: Sequence[str]
+) -> None:
     """Replace the partitions that table ``rows_of`` has rows for, and no others.
 
     The overwrite mode is a setting, so the insert runs in a session of its own.
     """
     session = job_session(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"})
     columns = session.table(table).columns
-    session.table(rows_of).select(*columns).write.insertInto(table, overwrite=True)
+    rows = session.table(rows_of).select(*columns).hint("rebalance", *parts)
+    rows.write.insertInto(table, overwrite=True)
     # The caller's session may have listed the replaced files.
     spark.catalog.refreshTable(table)
 
@@ -134,9 +133,15 @@ def overwrite_partitions(spark: SparkSession, rows_of: str, table: str) -> None:
 def drop_partitions(
     spark: SparkSession, table: str, values: DataFrame, columns: Sequence[str]
 ) -> None:
-    """Drop partitions whose rows all moved away; a driver-side list of metadata."""
-    for row in values.toLocalIterator():
-        spec = ", ".join(
-            f"{c} = {'NULL' if v is None else repr(str(v))}" for c, v in zip(columns, row)
+    """Drop partitions whose rows all moved away: metadata, a batch at a time."""
+    rows = values.toLocalIterator()
+    while batch := list(islice(rows, 500)):
+        partitions = ", ".join(
+            "PARTITION ("
+            + ", ".join(
+                f"`{c}` = " + ("NULL" if v is None else f"'{v}'") for c, v in zip(columns, row)
+            )
+            + ")"
+            for row in batch
         )
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partitions}")

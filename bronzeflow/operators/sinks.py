@@ -67,36 +67,54 @@ def write_bronze(
     * The metrics sit after that shuffle, in the stage that writes the files.
       Spark counts each task of that stage once, also when an executor is lost
       and tasks run again.
-    * ``staged`` writes beside the table and swaps by renaming, so that ``df``
-      may read the table it replaces and a failed job leaves the old one.
+    * ``staged`` lands the rows beside the table first, so that ``df`` may read
+      the table it replaces and a source that fails leaves the old rows. The
+      landed table is then renamed, or, if partitioned, copied.
     """
     spark = df.sparkSession
     name = target.name(spec.name)
-    exists = spark.catalog.tableExists(name)
-    if evolve and exists:
+    if evolve and spark.catalog.tableExists(name):
         df = align_to_existing(df, spark.table(name).schema)
-    if spec.partition_by:
-        df = df.hint("rebalance", *spec.partition_by)
     observation = None
-    if metrics:
-        observation = Observation(f"{spec.name}-{uuid.uuid4().hex}")
-        df = df.observe(observation, *metrics)
-
-    destination = target.name(f"{spec.name}__staged") if staged else name
-    writer = df.write.mode("overwrite").format(target.table_format)
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
-    writer.saveAsTable(destination)
     if staged:
-        swap_in(spark, target, spec.name)
+        df, observation = observed(df, spec.name, metrics)
+        landed = target.name(f"{spec.name}__staged")
+        save(df, target, landed)
+        if spec.partition_by:
+            save(spark.table(landed).hint("rebalance", *spec.partition_by), target, name, spec)
+            spark.sql(f"DROP TABLE {landed}")
+        else:
+            swap_in(spark, target, spec.name)
+    else:
+        if spec.partition_by:
+            df = df.hint("rebalance", *spec.partition_by)
+        df, observation = observed(df, spec.name, metrics)
+        save(df, target, name, spec)
     # Only after the write: before it has succeeded this call would wait for ever.
     return observation.get if observation else {}
 
 
+def observed(
+    df: DataFrame, table: str, metrics: Sequence[Column]
+) -> tuple[DataFrame, Observation | None]:
+    if not metrics:
+        return df, None
+    observation = Observation(f"{table}-{uuid.uuid4().hex}")
+    return df.observe(observation, *metrics), observation
+
+
+def save(df: DataFrame, target: Target, name: str, spec: TableSpec | None = None) -> None:
+    writer = df.write.mode("overwrite").format(target.table_format)
+    if spec and spec.partition_by:
+        writer = writer.partitionBy(*spec.partition_by)
+    writer.saveAsTable(name)
+
+
 def swap_in(spark: SparkSession, target: Target, table: str) -> None:
-    """Put ``<table>__staged`` in the place of ``<table>``.
+    """Put ``<table>__staged`` in the place of ``<table>``, by renaming.
 
-    The old table is dropped last; ``restore_previous`` brings it back if the
+    Not for partitioned tables: a catalog may keep the old folders of their
+    partitions. The old table is dropped last; ``restore_previous`` brings it back if the
     driver died in between.
     """
     name, staged, previous = (target.name(table + s) for s in ("", "__staged", "__previous"))

@@ -57,12 +57,17 @@ def load_table(
     spec: TableSpec,
     run: RunContext,
     strict: bool = True,
+    staged: bool = False,
 ) -> dict[str, Any]:
     """Read a source table once, write it to bronze, return what was measured."""
     restore_previous(spark, target, spec.name)
     rows = project(source.read(spark, spec), spec, strict)
     metrics = write_bronze(
-        add_lineage(rows, spec, run), target, spec, quality.load_metrics(spec.name)
+        add_lineage(rows, spec, run),
+        target,
+        spec,
+        quality.load_metrics(spec.name),
+        staged=staged,
     )
     for rule in quality.RULES[spec.name]:
         if metrics[rule.metric]:
@@ -119,7 +124,9 @@ def run_bronze(
 
     def load(*names: str) -> None:
         for name in names:
-            metrics = load_table(spark, source, target, SPECS[name], run, strict)
+            metrics = load_table(
+                spark, source, target, SPECS[name], run, strict, cfg.staged_writes
+            )
             check = verify_load(spark, target, name, metrics["total"]).first()
             if not check["ok"]:
                 log.warning("%s: wrote %s rows, read %s", name, *check[1:3])

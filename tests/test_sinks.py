@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bronzeflow.config import RunContext
 from bronzeflow.operators import quality, sinks
 from bronzeflow.operators.lineage import CUSTOMERS_LINEAGE, STANDARD_LINEAGE, add_lineage, project
+from bronzeflow.session import job_session
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.specs import SPECS
 from tests import seed
@@ -139,3 +140,48 @@ def test_namespace_can_be_selected(spark, target):
     sinks.ensure_namespace(session, target, use=True)
     assert session.catalog.currentDatabase() == target.schema
     assert spark.catalog.currentDatabase() == "default"
+
+
+def test_staged_write_of_a_partitioned_table(spark, target):
+    orders, spec = seed.orders(spark), SPECS["orders"]
+    sinks.write_bronze(orders, target, spec)
+    own = read_bronze(spark, target, "orders").where("OrderID > 2")
+    metrics = sinks.write_bronze(own, target, spec, quality.load_metrics("orders"), staged=True)
+    assert metrics["total"] == 3
+    back = read_bronze(spark, target, "orders")
+    assert spark_rows(back) == spark_rows(orders.where("OrderID > 2"))
+    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {target.namespace}").collect()}
+    assert names == {"orders"}
+
+
+def test_failing_source_leaves_a_staged_table_alone(spark, target):
+    groups = seed.stock_groups(spark)
+    sinks.write_bronze(groups, target, GROUPS)
+    failing = groups.withColumn("StockGroupID", F.raise_error(F.lit("gone")).cast("int"))
+    with pytest.raises(Exception, match="gone"):
+        sinks.write_bronze(failing, target, GROUPS, quality.load_metrics("stock_groups"), staged=True)
+    assert read_bronze(spark, target, "stock_groups").count() == 2
+
+
+def test_a_date_with_most_rows_is_split(spark, target):
+    """Half of the rows have no date; several tasks write them."""
+    session = job_session(
+        spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}
+    )
+    rows = session.range(0, 200_000, 1, 8).selectExpr(
+        "CAST(id AS INT) AS OrderID",
+        "uuid() AS Comments",
+        "CASE WHEN id % 2 = 0 THEN date_add(DATE'2024-01-01', CAST(id % 20 AS INT)) END"
+        " AS OrderDate",
+    )
+    sinks.write_bronze(rows, target, SPECS["orders"])
+    files = (
+        read_bronze(spark, target, "orders")
+        .select("OrderDate", F.input_file_name().alias("file"))
+        .groupBy("OrderDate")
+        .agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"))
+        .collect()
+    )
+    counts = {r.OrderDate: (r.files, r.n) for r in files}
+    assert counts.pop(None)[0] > 3
+    assert sum(n for _, n in counts.values()) == 100_000
