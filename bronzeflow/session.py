@@ -16,6 +16,8 @@ def local_session(cpus: int | str = 8, app: str = "bronzeflow", **conf: str) ->
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # On one machine, a listing task costs more than the folder it lists.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -34,6 +36,9 @@ def job_session(spark: SparkSession, **conf: str) -> SparkSession:
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         session.conf.set(key, spark.conf.get(key))
     session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32KB")
+    # Many small folders are listed by a few tasks per core, not by one task each.
+    listing = min(10_000, 4 * spark.sparkContext.defaultParallelism)
+    session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listing))
     for key, value in conf.items():
         session.conf.set(key, value)
     return session

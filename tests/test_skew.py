@@ -1,0 +1,41 @@
+"""Every reading query on tables where one key holds a third of all rows."""
+
+import pytest
+
+import __spark_entry__ as contract
+from tests.compare import duck, duck_rows, spark_rows
+from tests.test_plans import READS
+
+SF_DIR = "/root/testdata/sf0.001"
+TABLES = ("customer", "orders", "lineitem", "part", "supplier")
+
+# Which columns turn hot, on every third row.
+HOT = {"orders": ["o_custkey"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"]}
+
+
+@pytest.fixture(scope="module", params=["7", "NULL"], ids=["hot_value", "hot_null"])
+def skewed(request, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("skewed")
+    con = duck(SF_DIR)
+    for table in TABLES:
+        hot = HOT.get(table, [])
+        changes = ", ".join(
+            f"CASE WHEN row_number() OVER () % 3 = 0 THEN {request.param} ELSE {c} END AS {c}"
+            for c in hot
+        )
+        select = f"SELECT * REPLACE ({changes}) FROM {table}" if hot else f"SELECT * FROM {table}"
+        if table == "customer":
+            # a third of the rows are copies of one customer
+            select += (
+                " UNION ALL SELECT c.* FROM customer c, range((SELECT count(*) // 2 FROM customer))"
+                " WHERE c.c_custkey = 7"
+            )
+        con.execute(f"COPY ({select}) TO '{folder}/{table}.parquet' (FORMAT parquet)")
+    return str(folder), duck(str(folder))
+
+
+@pytest.mark.parametrize("name", READS)
+def test_skewed_tables_give_the_same_rows(spark, skewed, name):
+    folder, con = skewed
+    got = spark_rows(contract.queries()[name](spark, folder))
+    assert got == duck_rows(con, contract.oracle_sql()[name])
