@@ -24,6 +24,10 @@ class Target:
     def name(self, table: str) -> str:
         return f"{self.namespace}.`{table}`"
 
+    def name_in_catalog(self, table: str) -> str:
+        """Name without the catalog, which a rename does not take."""
+        return f"`{self.schema}`.`{table}`"
+
 
 @dataclass(frozen=True)
 class RunContext:

@@ -26,12 +26,22 @@ def inventory_value() -> Column:
 
 
 def thousands(c: Column) -> Column:
-    """Integer text with thousands separators: 15,000."""
+    """Integer text with thousands separators: ``15,000``."""
     return F.format_number(c, 0)
 
 
+def fixed(c: Column, digits: int) -> Column:
+    """Number text with so many decimals and no separators: ``1234.50``."""
+    return F.format_string(f"%.{digits}f", c.cast("double"))
+
+
+def money(c: Column) -> Column:
+    """Amount text: ``$17.59``; NULL for no amount."""
+    return F.when(c.isNotNull(), F.concat(F.lit("$"), fixed(c, 2)))
+
+
 def count_with_pct(count: Column, percent: Column) -> Column:
     """Report text such as ``14,831 (98.9%)``; plain count without a percent."""
     return F.when(percent.isNull(), thousands(count)).otherwise(
-        F.concat(thousands(count), F.lit(" ("), F.format_number(percent, 1), F.lit("%)"))
+        F.concat(thousands(count), F.lit(" ("), fixed(percent, 1), F.lit("%)"))
     )

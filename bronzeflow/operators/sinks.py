@@ -117,11 +117,11 @@ def swap_in(spark: SparkSession, target: Target, table: str) -> None:
     partitions. The old table is dropped last; ``restore_previous`` brings it back if the
     driver died in between.
     """
-    name, staged, previous = (target.name(table + s) for s in ("", "__staged", "__previous"))
-    if spark.catalog.tableExists(name):
+    previous = target.name(f"{table}__previous")
+    if spark.catalog.tableExists(target.name(table)):
         spark.sql(f"DROP TABLE IF EXISTS {previous}")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        rename(spark, target, table, f"{table}__previous")
+    rename(spark, target, f"{table}__staged", table)
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
@@ -130,10 +130,14 @@ def restore_previous(spark: SparkSession, target: Target, table: str) -> bool:
     name, previous = target.name(table), target.name(f"{table}__previous")
     if spark.catalog.tableExists(name) or not spark.catalog.tableExists(previous):
         return False
-    spark.sql(f"ALTER TABLE {previous} RENAME TO {name}")
+    rename(spark, target, f"{table}__previous", table)
     return True
 
 
+def rename(spark: SparkSession, target: Target, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {target.name(old)} RENAME TO {target.name_in_catalog(new)}")
+
+
 def verify_load(
     spark: SparkSession, target: Target, table: str, expected: int | None
 ) -> DataFrame:

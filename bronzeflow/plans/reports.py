@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bronzeflow.functions.expressions import count_with_pct, exact_avg, inventory_value, pct
+from bronzeflow.functions.expressions import (
+    count_with_pct,
+    exact_avg,
+    fixed,
+    inventory_value,
+    money,
+    pct,
+    thousands,
+)
 from bronzeflow.operators.listing import top_k
 from bronzeflow.operators.quality import unpivot_row
 
@@ -123,3 +131,44 @@ def stock_completeness(items: DataFrame) -> DataFrame:
             for part in ("name", "price", "brand", "size")
         ],
     )
+
+
+def stock_report(items: DataFrame, holdings: DataFrame) -> DataFrame:
+    """``(metric, text)``: price, inventory and completeness figures as printed."""
+    prices = unpivot_row(
+        price_statistics(items),
+        [
+            {"metric": F.lit("average_unit_price"), "text": money(F.col("avg_price"))},
+            {
+                "metric": F.lit("price_range"),
+                "text": F.concat(
+                    money(F.col("min_price")), F.lit(" - "), money(F.col("max_price"))
+                ),
+            },
+            {"metric": F.lit("price_deviation"), "text": money(F.col("price_stddev"))},
+        ],
+    )
+    stock = unpivot_row(
+        inventory_statistics(holdings),
+        [
+            {"metric": F.lit("total_quantity"), "text": thousands(F.col("total_quantity"))},
+            {
+                "metric": F.lit("average_quantity"),
+                "text": F.when(F.col("avg_quantity").isNotNull(), fixed(F.col("avg_quantity"), 1)),
+            },
+            {"metric": F.lit("out_of_stock"), "text": thousands(F.col("zero_stock_items"))},
+            {"metric": F.lit("below_reorder"), "text": thousands(F.col("below_reorder_items"))},
+            {"metric": F.lit("inventory_value"), "text": money(F.col("inventory_value"))},
+        ],
+    )
+    complete = unpivot_row(
+        stock_completeness(items),
+        [
+            {
+                "metric": F.lit(f"items_with_{part}"),
+                "text": count_with_pct(F.col(f"items_with_{part}"), F.col(f"pct_{part}")),
+            }
+            for part in ("name", "price", "brand", "size")
+        ],
+    )
+    return prices.unionByName(stock).unionByName(complete)

@@ -144,6 +144,11 @@ ORACLE_SQL: dict[str, str] = {
         "customers",
         "SELECT CustomerID, count(*) AS n FROM b_customers GROUP BY CustomerID HAVING count(*) > 1",
     ),
+    "duplicate_order_lines": over(
+        "order_lines",
+        """SELECT OrderLineID, count(*) AS n FROM b_order_lines GROUP BY OrderLineID
+        HAVING count(*) > 1""",
+    ),
     "dq_customers": over(
         "customers",
         f"""SELECT count(*) AS total, {count_if("CustomerName IS NULL")} AS null_names,
@@ -194,6 +199,26 @@ ORACLE_SQL: dict[str, str] = {
             ),
         ),
     ),
+    "stock_report": over(
+        "stock_items stock_item_holdings",
+        f"""SELECT unnest(['average_unit_price', 'price_range', 'price_deviation']) AS metric,
+        unnest(['$' || printf('%.2f', a), '$' || printf('%.2f', lo) || ' - $' || printf('%.2f', hi),
+        '$' || printf('%.2f', d)]) AS "text" FROM (SELECT {avg("UnitPrice", 4)} AS a,
+        CAST(min(UnitPrice) AS DOUBLE) AS lo, CAST(max(UnitPrice) AS DOUBLE) AS hi,
+        stddev_samp(CAST(UnitPrice AS DOUBLE)) AS d FROM b_stock_items WHERE UnitPrice > 0)
+        UNION ALL SELECT unnest(['total_quantity', 'average_quantity', 'out_of_stock',
+        'below_reorder', 'inventory_value']), unnest([format('{{:,}}', q), printf('%.1f', a),
+        format('{{:,}}', z), format('{{:,}}', b), '$' || printf('%.2f', v)]) FROM
+        (SELECT CAST(sum(QuantityOnHand) AS BIGINT) AS q, avg(QuantityOnHand) AS a,
+        {count_if("QuantityOnHand = 0")} AS z, {count_if("QuantityOnHand < ReorderLevel")} AS b,
+        CAST(sum(QuantityOnHand * LastCostPrice) AS DOUBLE) AS v FROM b_stock_item_holdings)
+        UNION ALL SELECT unnest(['items_with_name', 'items_with_price', 'items_with_brand',
+        'items_with_size']), unnest([{", ".join(
+            f"format('{{:,}}', {n}) || ' (' || printf('%.1f', {pct(n, 't')}) || '%)'"
+            for n in ("n1", "n2", "n3", "n4"))}]) FROM (SELECT count(*) AS t,
+        count(StockItemName) AS n1, {count_if("UnitPrice > 0")} AS n2, count(Brand) AS n3,
+        count(Size) AS n4 FROM b_stock_items)""",
+    ),
     "lines_stats": over(
         "order_lines",
         f"""SELECT CAST(sum(Quantity) AS BIGINT) AS total_quantity,

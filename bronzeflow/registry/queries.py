@@ -255,6 +255,9 @@ QUERIES: dict[str, Query] = {
     "dup_customer_ids": over(
         "customers", lambda df: quality.duplicate_keys(df, CUSTOMERS.primary_key)
     ),
+    "duplicate_order_lines": over(
+        "order_lines", lambda df: quality.duplicate_keys(df, ORDER_LINES.primary_key)
+    ),
     "dq_customers": over("customers", quality.dq_customers),
     "dq_orders": over("orders", quality.dq_orders),
     "dq_order_lines": over("order_lines", quality.dq_order_lines),
@@ -266,6 +269,9 @@ QUERIES: dict[str, Query] = {
     "orders_quality_report": lambda spark, sf: reports.orders_quality_report(
         bronze_input(spark, sf, "orders"), bronze_input(spark, sf, "order_lines")
     ),
+    "stock_report": lambda spark, sf: reports.stock_report(
+        bronze_input(spark, sf, "stock_items"), bronze_input(spark, sf, "stock_item_holdings")
+    ),
     "lines_stats": over("order_lines", quality.stats_order_lines),
     "dq_stock_items": over("stock_items", quality.dq_stock_items),
     "stats_stock_items": over("stock_items", quality.stats_stock_items),

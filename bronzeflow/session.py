@@ -51,9 +51,9 @@ def shared_folder(spark: SparkSession) -> str:
     its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if not folder and not (folder := spark.sparkContext.getCheckpointDir()):
         folder = tempfile.mkdtemp(prefix="bronzeflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 

@@ -68,10 +68,6 @@ class JdbcSource:
             spark, self, spec.select_sql, key_partitioning(spark, self, spec), alias=spec.name
         )
 
-    def read_since(self, spark: SparkSession, spec: TableSpec, predicate: str) -> DataFrame:
-        """Rows of a table that match a predicate the database evaluates."""
-        return read_jdbc_query(spark, self, f"{spec.select_sql} WHERE {predicate}")
-
 
 def read_jdbc_query(spark: SparkSession, source: JdbcSource, query: str) -> DataFrame:
     """Result of a SQL query, over one connection (``query`` rules out splitting)."""

@@ -129,3 +129,31 @@ def test_report_text(spark):
     assert rows["orders"] == (5, None, "5")
     assert rows["orders_with_date"] == (5, 100.0, "5 (100.0%)")
     assert rows["lines_with_positive_quantity"] == (12, 100.0, "12 (100.0%)")
+
+
+def test_stock_report_text(spark):
+    rows = dict(
+        (r.metric, r.text)
+        for r in reports.stock_report(
+            seed.stock_items(spark), seed.stock_item_holdings(spark)
+        ).collect()
+    )
+    assert rows["average_unit_price"] == "$17.59"
+    assert rows["price_range"] == "$3.70 - $41.00"
+    assert rows["price_deviation"] == "$11.99"
+    assert rows["average_quantity"] == "3.0"
+    assert rows["inventory_value"] == "$63.00"
+    assert rows["items_with_brand"] == "10 (100.0%)"
+
+
+def test_report_text_of_empty_tables(spark):
+    rows = dict(
+        (r.metric, r.text)
+        for r in reports.stock_report(
+            seed.table(spark, "stock_items", []), seed.table(spark, "stock_item_holdings", [])
+        ).collect()
+    )
+    assert rows["average_unit_price"] is None
+    assert rows["price_range"] is None
+    assert rows["average_quantity"] is None
+    assert rows["items_with_name"] == "0"

@@ -112,12 +112,3 @@ def test_small_or_empty_tables_are_read_at_once():
     jdbc.JdbcSource.from_config(CFG, partitions=1).read(reader, SPECS["orders"])
     assert len(reader.calls) == 1
 
-
-def test_increment_is_filtered_by_the_database():
-    reader = Reader()
-    jdbc.JdbcSource.from_config(CFG).read_since(
-        reader, SPECS["orders"], "LastEditedWhen > '2024-01-20'"
-    )
-    assert reader.calls[0]["query"].endswith(
-        "FROM Sales.Orders WHERE LastEditedWhen > '2024-01-20'"
-    )

@@ -1,13 +1,15 @@
 """The whole run, its error policy, and its cost in source reads."""
 
 import uuid
-from datetime import datetime, timezone
+from dataclasses import replace
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from bronzeflow.config import PipelineConfig, RunContext, Target
 from bronzeflow.plans import job, reports
-from bronzeflow.session import scratch_path
+from bronzeflow.session import scratch_path, shared_folder
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.specs import SPECS
 from tests import seed
@@ -113,6 +115,61 @@ def test_each_source_row_is_read_once(spark, cfg):
     assert seen.value == sum(m["total"] for m in result.metrics.values())
 
 
+def test_increment_brings_over_later_edits(spark, cfg):
+    job.run_bronze(spark, cfg, seed.SeedSource(), RUN)
+    edited = seed.EDITED + timedelta(days=1)
+
+    class Later(seed.SeedSource):
+        """All orders, of which one is edited and one is new."""
+
+        def read(self, spark, spec):
+            changed = [
+                {"OrderID": i, "CustomerID": 4, "OrderDate": date(2024, 1, d), "LastEditedWhen": e}
+                for i, d, e in ((2, 25, edited), (6, 16, edited), (1, 30, seed.EDITED))
+            ]
+            return super().read(spark, spec).where("OrderID > 2").unionByName(
+                seed.table(spark, "orders", changed)
+            )
+
+    later = RunContext(datetime(2024, 1, 21, 2, 0, tzinfo=timezone.utc))
+    for _ in range(2):
+        job.load_increment(spark, Later(), cfg.target, SPECS["orders"], later)
+        rows = read_bronze(spark, cfg.target, "orders").collect()
+        assert {(r.OrderID, r.OrderDate.day, r._batch_id[-15:]) for r in rows} == {
+            (1, 15, "20240120_020000"),
+            (2, 25, "20240121_020000"),
+            (3, 17, "20240120_020000"),
+            (4, 18, "20240120_020000"),
+            (5, 19, "20240120_020000"),
+            (6, 16, "20240121_020000"),
+        }
+        assert len(rows) == 6
+
+
+def test_staged_run_keeps_old_rows_when_a_source_fails(spark, cfg):
+    cfg = replace(cfg, staged_writes=True)
+    job.run_bronze(spark, cfg, seed.SeedSource(), RUN)
+
+    class Failing(seed.SeedSource):
+        def read(self, spark, spec):
+            df = super().read(spark, spec)
+            if spec.name in ("orders", "stock_groups"):
+                df = df.withColumn("LastEditedBy", F.raise_error(F.lit("gone")).cast("int"))
+            return df
+
+    with pytest.raises(Exception, match="gone"):
+        job.run_bronze(spark, cfg, Failing(), RUN)
+    assert read_bronze(spark, cfg.target, "orders").count() == 5
+    assert read_bronze(spark, cfg.target, "stock_groups").count() == 2
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == named
+    assert scratch_path(spark, "x").startswith(named)
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
 def test_parameters():
     cfg = PipelineConfig.from_mapping({"schema_name": "landing"})
     assert cfg.target == Target("landing", "spark_catalog")
