@@ -31,8 +31,12 @@ def thousands(c: Column) -> Column:
 
 
 def fixed(c: Column, digits: int) -> Column:
-    """Number text with so many decimals and no separators: ``1234.50``."""
-    return F.format_string(f"%.{digits}f", c.cast("double"))
+    """Number text with so many decimals and no separators: ``1234.50``.
+
+    ``format_number`` rounds the exact value of a double, halves to even, as
+    ``printf`` does; ``format_string`` rounds its shortest decimal form up.
+    """
+    return F.call_function("format_number", c, F.lit("0." + "0" * digits))
 
 
 def money(c: Column) -> Column:

@@ -26,7 +26,11 @@ def high_water_mark(bronze: DataFrame, column: str) -> datetime | None:
 
 
 def newer_than(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
-    """Rows edited after the mark: a plain comparison, so the scan can prune."""
+    """Rows edited after the mark: a plain comparison, so the scan can prune.
+
+    Spark keeps microseconds. A source with finer times offers the rows of the
+    mark itself once more; the upsert takes them again without harm.
+    """
     return df if mark is None else df.where(F.col(column) > F.lit(mark))
 
 

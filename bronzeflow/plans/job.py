@@ -14,7 +14,7 @@ from bronzeflow.config import PipelineConfig, RunContext, Target
 from bronzeflow.operators import quality
 from bronzeflow.operators.incremental import high_water_mark, newer_than, upsert_table
 from bronzeflow.operators.lineage import add_lineage, project
-from bronzeflow.operators.listing import table_inventory
+from bronzeflow.operators.listing import sample_rows, table_inventory
 from bronzeflow.operators.sinks import (
     ensure_namespace,
     restore_previous,
@@ -25,7 +25,7 @@ from bronzeflow.plans import reports
 from bronzeflow.session import job_session
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.sources.jdbc import JdbcSource
-from bronzeflow.specs import SPECS, TableSpec
+from bronzeflow.specs import CUSTOMERS, SPECS, TableSpec
 
 log = logging.getLogger(__name__)
 
@@ -103,6 +103,7 @@ def run_reports(spark: SparkSession, target: Target, result: BronzeRun) -> None:
         return read_bronze(spark, target, name)
 
     plans = {
+        "customers_sample": lambda: sample_rows(table("customers"), CUSTOMERS.primary_key),
         "customers": lambda: quality.dq_customers(table("customers")),
         "orders": lambda: reports.orders_quality_report(table("orders"), table("order_lines")),
         "stock_counts": lambda: table_inventory({t: table(t) for t in STOCK_TABLES}),
@@ -113,12 +114,15 @@ def run_reports(spark: SparkSession, target: Target, result: BronzeRun) -> None:
         "category_distribution": lambda: reports.category_distribution(
             table("stock_groups"), table("stock_item_stock_groups")
         ),
+        "group_names": lambda: sample_rows(
+            quality.group_names(table("stock_groups")), ["StockGroupName"], 20
+        ),
         "item_groups": lambda: quality.stats_item_groups(table("stock_item_stock_groups")),
         "stock_completeness": lambda: reports.stock_completeness(table("stock_items")),
     }
     for name, plan in plans.items():
         try:
-            # Each report has a fixed number of rows, whatever the tables hold.
+            # Each report has a bounded number of rows, whatever the tables hold.
             result.reports[name] = plan().collect()
         except Exception as error:
             log.exception("report %s failed", name)

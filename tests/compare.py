@@ -54,3 +54,8 @@ def same_types(df, types):
         if actual.replace("timestamp_ntz", "timestamp") != wanted:
             wrong[name] = (actual, wanted)
     return wrong
+
+
+def table_names(spark, target):
+    rows = spark.sql(f"SHOW TABLES IN {target.namespace}").where("NOT isTemporary").collect()
+    return {r.tableName for r in rows}

@@ -3,6 +3,9 @@
 from datetime import date
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
+from bronzeflow.functions.expressions import fixed
 from bronzeflow.operators import quality
 from bronzeflow.operators.listing import schema_listing, table_inventory
 from bronzeflow.plans import reports, views
@@ -157,3 +160,11 @@ def test_report_text_of_empty_tables(spark):
     assert rows["price_range"] is None
     assert rows["average_quantity"] is None
     assert rows["items_with_name"] == "0"
+
+
+def test_fixed_text_rounds_like_printf(spark):
+    values = [100.05, 0.15, 0.25, 0.35, 1234.5, -0.05, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(fixed(F.col("x"), 1)).collect()] == [
+        "%.1f" % v for v in values
+    ]

@@ -12,6 +12,7 @@ from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.specs import SPECS
 from bronzeflow.streaming.append import append_stream, read_files
 from tests import seed
+from tests.compare import table_names
 
 ORDERS = SPECS["orders"]
 RUN = RunContext(datetime(2024, 1, 20, 2, 0))
@@ -100,9 +101,7 @@ def test_upsert_of_a_partitioned_table_moves_rows(spark, target):
     partitions = {r[0] for r in spark.sql(f"SHOW PARTITIONS {target.name('orders')}").collect()}
     assert "OrderDate=2024-01-16" not in partitions
     assert back.where("OrderID = 1").select(F.input_file_name()).first()[0] == untouched
-    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {target.namespace}").collect()} == {
-        "orders"
-    }
+    assert table_names(spark, target) == {"orders"}
 
 
 def test_null_date_partition_can_empty(spark, target):

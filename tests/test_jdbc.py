@@ -1,5 +1,9 @@
 """What is asked of the JDBC reader. No database is started for it."""
 
+import inspect
+
+from pyspark.sql import DataFrameReader
+
 from bronzeflow.config import PipelineConfig
 from bronzeflow.sources import jdbc
 from bronzeflow.specs import SPECS
@@ -35,6 +39,7 @@ class Reader:
         return self
 
     def jdbc(self, url, table, **kwargs):
+        inspect.signature(DataFrameReader.jdbc).bind(self, url, table, **kwargs)
         self.calls.append({"url": url, "dbtable": table} | kwargs)
         return self
 

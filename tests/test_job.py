@@ -42,6 +42,8 @@ def test_run_loads_and_reports(spark, cfg):
         ("Wrap", 3),
         ("Freight", 2),
     ]
+    assert [r.CustomerID for r in result.reports["customers_sample"]] == [1, 2, 3, 4, 5]
+    assert [r[0] for r in result.reports["group_names"]] == ["Freight", "Wrap"]
     for name, spec in SPECS.items():
         table = read_bronze(spark, cfg.target, name)
         assert table.count() == result.metrics[name]["total"]

@@ -12,7 +12,7 @@ from bronzeflow.session import job_session
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.specs import SPECS
 from tests import seed
-from tests.compare import spark_rows
+from tests.compare import spark_rows, table_names
 
 RUN = RunContext(datetime(2024, 1, 20, 2, 0, tzinfo=timezone.utc), "shop")
 GROUPS = SPECS["stock_groups"]
@@ -150,8 +150,7 @@ def test_staged_write_of_a_partitioned_table(spark, target):
     assert metrics["total"] == 3
     back = read_bronze(spark, target, "orders")
     assert spark_rows(back) == spark_rows(orders.where("OrderID > 2"))
-    names = {r.tableName for r in spark.sql(f"SHOW TABLES IN {target.namespace}").collect()}
-    assert names == {"orders"}
+    assert table_names(spark, target) == {"orders"}
 
 
 def test_failing_source_leaves_a_staged_table_alone(spark, target):
