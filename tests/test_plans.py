@@ -79,3 +79,15 @@ def test_lines_fold_before_the_join(spark):
         above = text[: scan.start()].splitlines()[-6:]
         first_exchange = max(i for i, line in enumerate(above) if "Exchange" in line)
         assert any("partial_sum" in line for line in above[first_exchange:])
+
+
+@pytest.mark.parametrize("name", ["orphan_orders", "incremental_upsert", "category_distribution"])
+def test_large_joins_can_be_split_at_run_time(spark, name):
+    """Past the broadcast size, both sides are plain shuffles: what a skew join needs."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lines = plan(QUERIES[name](session, SF_DIR)).splitlines()
+    nodes = [re.sub(r"^[\s:+\-]*", "", line).split("(")[0].split(" ")[0] for line in lines]
+    (join,) = [i for i, node in enumerate(nodes) if node == "SortMergeJoin"]
+    sorts = [i for i in range(join, len(nodes)) if nodes[i] == "Sort"][:2]
+    assert [nodes[i + 1] for i in sorts] == ["Exchange", "Exchange"]
