@@ -298,14 +298,14 @@ ORACLE_SQL: dict[str, str] = {
     "orphan_orders": over(
         "customers orders",
         """SELECT OrderID FROM (SELECT OrderID, CASE WHEN CustomerID % 10 = 0
-        THEN -CustomerID ELSE CustomerID END AS CustomerID FROM b_orders) o
+        THEN -1 - CustomerID ELSE CustomerID END AS CustomerID FROM b_orders) o
         WHERE CustomerID IS NOT NULL AND NOT EXISTS
         (SELECT 1 FROM b_customers c WHERE c.CustomerID = o.CustomerID)""",
     ),
     "orphan_lines": over(
         "orders order_lines",
         """SELECT DISTINCT OrderLineID FROM (SELECT OrderLineID, CASE WHEN OrderID % 10 = 0
-        THEN -OrderID ELSE OrderID END AS OrderID FROM b_order_lines) ol
+        THEN -1 - OrderID ELSE OrderID END AS OrderID FROM b_order_lines) ol
         WHERE OrderID IS NOT NULL AND NOT EXISTS
         (SELECT 1 FROM b_orders o WHERE o.OrderID = ol.OrderID)""",
     ),

@@ -145,7 +145,7 @@ def bronze_run(spark: SparkSession, sf: str) -> DataFrame:
 def orphan_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders, every tenth customer id made dangling, against all customers."""
     dangling = bronze_input(spark, sf, "orders").withColumn(
-        "CustomerID", F.expr("CASE WHEN CustomerID % 10 = 0 THEN -CustomerID ELSE CustomerID END")
+        "CustomerID", F.expr("CASE WHEN CustomerID % 10 = 0 THEN -1 - CustomerID ELSE CustomerID END")
     )
     return quality.orphan_rows(
         dangling, bronze_input(spark, sf, "customers"), "CustomerID", "CustomerID"
@@ -155,7 +155,7 @@ def orphan_orders(spark: SparkSession, sf: str) -> DataFrame:
 def orphan_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines, every tenth order id made dangling, against all orders."""
     dangling = bronze_input(spark, sf, "order_lines").withColumn(
-        "OrderID", F.expr("CASE WHEN OrderID % 10 = 0 THEN -OrderID ELSE OrderID END")
+        "OrderID", F.expr("CASE WHEN OrderID % 10 = 0 THEN -1 - OrderID ELSE OrderID END")
     )
     return (
         quality.orphan_rows(dangling, bronze_input(spark, sf, "orders"), "OrderID", "OrderID")
