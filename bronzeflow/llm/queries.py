@@ -4,13 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm import mixing, quality, sharding
-from bronzeflow.llm.common import table
+from bronzeflow.llm import bpe, mixing, quality, sharding, tokens
+from bronzeflow.llm.common import table, whole_text
 
 N_SHARDS = 40
+#: Context length that a document is held against.
+TOKEN_LIMIT = 1024
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
+    return tokens.count_tokens(docs, VOCABULARY).select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+    )
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.round_trip(docs, VOCABULARY))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +73,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
