@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm import bpe, mixing, quality, sharding, tokens
+from bronzeflow.llm import bpe, mixing, neighbours, quality, sharding, tokens
 from bronzeflow.llm.common import table, whole_text
 
 N_SHARDS = 40
@@ -27,6 +27,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.round_trip(docs, VOCABULARY))
@@ -74,6 +78,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
     "op8_quality_rules": op8_quality_rules,
