@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm import bpe, mixing, neighbours, quality, sharding, tokens
+from bronzeflow.llm import bpe, mixing, neighbours, quality, sharding, tokens, toxicity
 from bronzeflow.llm.common import table, whole_text
 
 N_SHARDS = 40
@@ -49,6 +49,22 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", _held_out().alias("held_out"))
+    # One label per document: toxic if any of its rows says so.
+    labels = table(spark, sf_dir, "labels").where("toxic IN (0, 1)")
+    labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labelled = docs.where(~F.col("held_out")).join(labels, "doc_id").select("text", "toxic")
+    return toxicity.score(docs, labelled).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def _held_out() -> Column:
+    """Remainder 0 of the id's checksum by 5; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select(
@@ -81,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
+    "op6_toxicity": op6_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
 }
