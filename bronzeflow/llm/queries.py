@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm import bpe, mixing, neighbours, quality, sharding, tokens, toxicity
+from bronzeflow.llm import bpe, minhash, mixing, neighbours, quality, sharding, tokens, toxicity
 from bronzeflow.llm.common import table, whole_text
 
 N_SHARDS = 40
@@ -92,6 +92,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_nearest_neighbours": op3_nearest_neighbours,
@@ -100,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
+    "op10_minhash": op10_minhash,
 }
 ORACLE_SQL: dict[str, str] = {}
