@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm import bpe, minhash, mixing, neighbours, quality, sharding, tokens, toxicity
+from bronzeflow.llm import bpe, minhash, mixing, neighbours, quality, sharding, suffixes, tokens, toxicity
 from bronzeflow.llm.common import table, whole_text
 
 N_SHARDS = 40
@@ -27,6 +27,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = suffixes.without_repeats(docs)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return kept.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept_text")).alias("n_removed"),
+        F.coalesce(F.size("kept_text_spans"), F.lit(0)).cast("long").alias("n_spans"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -98,6 +111,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
