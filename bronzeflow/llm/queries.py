@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm import bpe, minhash, mixing, neighbours, quality, sharding, suffixes, tokens, toxicity
-from bronzeflow.llm.common import table, whole_text
+from bronzeflow.llm import automata, bpe, minhash, mixing, neighbours, quality, sharding, suffixes, tokens, toxicity
+from bronzeflow.llm.common import count_words, table, whole_text
 
 N_SHARDS = 40
 #: Context length that a document is held against.
@@ -78,6 +78,20 @@ def _held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate(
+        "kept_words_spans", F.lit(0), lambda n, x: n + x["end"] - x["start"]
+    )
+    n_removed = F.coalesce(removed, F.lit(0)).cast("long")
+    return automata.without_held_passages(docs).select(
+        "doc_id",
+        (count_words(F.col("kept_words")) + n_removed).alias("n_words"),
+        n_removed.alias("n_removed"),
+        F.sha2("kept_words", 256).alias("kept_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select(
@@ -116,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_sharding": op5_sharding,
     "op6_toxicity": op6_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_minhash": op10_minhash,
