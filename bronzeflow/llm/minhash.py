@@ -169,6 +169,23 @@ def near_duplicates(
     * Equal ids with different texts are in the class of each. Null ids count as
       the largest. An empty table gives no rows. No other columns are looked at.
     """
+    signed, named = _named(docs, id_col, text_col, similarity, bands, rows)
+    named = named.select("text_key", "class_id", "text_class", "copies")
+    back = lambda c: F.nullif(F.col(c), F.lit(NO_ID))
+    return signed.select("id", "text_key").join(named, "text_key").select(
+        back("id").alias(id_col),
+        back("class_id").alias("class_id"),
+        back("text_class").alias("text_class"),
+        "copies",
+    )
+
+
+def _named(
+    docs: DataFrame, id_col: str, text_col: str, similarity: float, bands: int, rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """``(id, text_key, bands)`` of the rows, and of each text
+    ``(text_key, text_class, copies, class_id, leader)``, the leader being the text of
+    its class that has the smallest id."""
     signed = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
         whole_text(text_col).alias("text"),
@@ -185,7 +202,9 @@ def near_duplicates(
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = scratch(members.join(shared.select("band"), "band"), "minhash-members")
     involved = members.select("text_key").distinct()
-    keyed = docs.select(whole_text(text_col).alias("text")).withColumn("text_key", _key("text"))
+    keyed = docs.select(whole_text(text_col).alias("text")).withColumn(
+        "text_key", _key(F.col("text"))
+    )
     # One copy of each text before anything meets by key.
     bodies = keyed.groupBy("text_key").agg(F.first("text").alias("text"))
     bodies = bodies.join(involved, "text_key", "left_semi")
@@ -198,21 +217,20 @@ def near_duplicates(
         .withColumn("root", F.coalesce("root", "text_key"))
         .select("text_key", "text_class", "copies", "root")
     )
-    smallest = named.groupBy("root").agg(F.min("text_class").alias("class_id"))
-    named = named.join(smallest, "root").drop("root")
-    back = lambda c: F.nullif(F.col(c), F.lit(NO_ID)).alias(c)
-    return signed.select("id", "text_key").join(named, "text_key").select(
-        F.nullif(F.col("id"), F.lit(NO_ID)).alias(id_col),
-        back("class_id"),
-        back("text_class"),
+    smallest = named.groupBy("root").agg(F.min(F.struct("text_class", "text_key")).alias("least"))
+    return signed, named.join(smallest, "root").select(
+        "text_key",
+        "text_class",
         "copies",
+        F.col("least.text_class").alias("class_id"),
+        F.col("least.text_key").alias("leader"),
     )
 
 
 NO_ID = int(np.iinfo(np.int64).max)
 
 
-def _key(text: str):
+def _key(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
@@ -340,11 +358,21 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of repeated rows of that id and text one stays.
     """
-    name = free_name(docs, "near_key")
-    found = near_duplicates(docs, id_col, text_col, **options)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias(name)).distinct()
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
-    return rows.dropDuplicates([id_col])
+    key, own = free_name(docs, "near_key"), free_name(docs, "near_id")
+    settings = {"similarity": SIMILARITY, "bands": BANDS, "rows": ROWS} | options
+    _, named = _named(docs, id_col, text_col, **settings)
+    leaders = named.where("text_key = leader").select(
+        F.col("text_key").alias(key), F.col("text_class").alias(own)
+    )
+    marked = docs.withColumns(
+        {
+            key: _key(whole_text(text_col)),
+            own: F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)),
+        }
+    )
+    # Join and duplicates go by the same columns, so the texts are shuffled once.
+    kept = marked.join(leaders, [key, own], "left_semi").dropDuplicates([key, own])
+    return kept.select(*docs.columns)
 
 
 def _signer(bands: int, rows: int):

@@ -218,10 +218,12 @@ def without_repeats(
     window: int = WINDOW,
     gram: int = GRAM,
     crowded: int = CROWDED,
+    as_text: bool = False,
 ) -> DataFrame:
     """``docs`` with the bytes that remain, and the removed runs as ``<kept_col>_spans``.
 
     * The bytes that remain are binary: a removed run may start or end inside a
+      character. ``as_text`` gives a string, without what is left of such a
       character. Spans are an array of ``(start, end)``, null if there are none.
     * Null text: empty. Texts shorter than the window stay whole, as do windows
       that cross from one document to another. Repeated rows are documents of
@@ -241,10 +243,12 @@ def without_repeats(
     keyed_docs = docs.withColumn(key, F.xxhash64(whole_text(text_col)))
     joined = keyed_docs.join(per_text, F.col(key) == F.col(f"_{key}"), "left").drop(key, f"_{key}")
     span = T.ArrayType(T.StructType([T.StructField(x, T.IntegerType()) for x in ("start", "end")]))
-    fields = [*docs.schema.fields, T.StructField(kept, T.BinaryType()), T.StructField(spans, span)]
+    kept_type = T.StringType() if as_text else T.BinaryType()
+    fields = [*docs.schema.fields, T.StructField(kept, kept_type), T.StructField(spans, span)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        own_type = pa.string() if as_text else pa.binary()
         for batch in batches:
             names = batch.schema.names
             bodies = batch.column(names.index(text_col)).cast(pa.binary())
@@ -258,11 +262,12 @@ def without_repeats(
                 for start, end in runs:
                     parts.append(text[at:start])
                     at = end
-                texts.append(b"".join([*parts, text[at:]]))
+                left = b"".join([*parts, text[at:]])
+                texts.append(left.decode("utf-8", "ignore") if as_text else left)
                 removed.append([{"start": a, "end": b} for a, b in runs] or None)
             keep = [c for i, c in enumerate(batch.columns) if names[i] != places]
             yield pa.RecordBatch.from_arrays(
-                [*keep, pa.array(texts, pa.binary()), pa.array(removed, kind)],
+                [*keep, pa.array(texts, own_type), pa.array(removed, kind)],
                 [*[x for x in names if x != places], kept, spans],
             )
 

@@ -1,0 +1,69 @@
+from collections import Counter
+
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline as pipeline
+from tests.llm.test_minhash import classes
+from tests.llm.test_suffixes import brute, without
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    """What each stage gets and gives, as rows."""
+    folder = tmp_path_factory.mktemp("pipeline")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = [docs.collect()]
+    for name, stage in pipeline.STAGES:
+        given = docs.columns
+        stage(spark, docs, SF_DIR).write.parquet(str(folder / name))
+        docs = spark.read.parquet(str(folder / name))
+        if name != pipeline.STAGES[-1][0]:
+            assert docs.columns == given
+        found.append(docs.collect())
+    return found
+
+
+def test_rejected_documents_go_and_clean_ones_stay(spark, steps):
+    before, after = steps[0], {r.doc_id for r in steps[1]}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    long = {r.doc_id for r in before if len(r.text.split()) >= 50}
+    clean = [d for d, q in labels.items() if q == 1 and d in long]
+    junk = [d for d, q in labels.items() if q == 0]
+    assert after < {r.doc_id for r in before}
+    assert sum(d in after for d in clean) >= 0.95 * len(clean)
+    assert sum(d in after for d in junk) <= 0.5 * len(junk)
+
+
+def test_one_of_each_class_stays(steps):
+    wanted = {c for _, c in classes([(r.doc_id, r.text) for r in steps[1]])}
+    assert sorted(r.doc_id for r in steps[2]) == sorted(wanted)
+
+
+def test_repeated_passages_go(steps):
+    bodies = [r.text.encode() for r in steps[2]]
+    wanted = {
+        r.doc_id: without(b, runs).decode("utf-8", "ignore")
+        for r, b, runs in zip(steps[2], bodies, brute(bodies, 200))
+    }
+    assert {r.doc_id: r.text for r in steps[3]} == wanted
+    assert all(r.n_chars == len(r.text) for r in steps[3])
+
+
+def test_mix_repeats_whole_documents(steps):
+    before = {r.doc_id: r for r in steps[3]}
+    copies = Counter(r.doc_id for r in steps[4])
+    assert set(copies) <= set(before) and max(copies.values()) <= 3
+    assert all(r == before[r.doc_id] for r in steps[4])
+
+
+def test_encoded_documents(steps):
+    library = Tokenizer.from_file(pipeline.VOCABULARY)
+    wanted = Counter((r.doc_id, len(library.encode(r.text).ids)) for r in steps[4])
+    assert Counter((r.doc_id, r.n_tokens) for r in steps[5]) == wanted
+
+
+def test_run_is_all_stages(spark, steps):
+    assert sorted(pipeline.run(spark, SF_DIR).collect()) == sorted(steps[5])
