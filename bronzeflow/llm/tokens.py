@@ -31,7 +31,8 @@ CHUNK, OVERLAP = 32_768, 1024
 UNSETTLED = 64
 WIDER = 4
 
-SEAM = "struct<at:long, before:long>"
+#: Of the word starts of an overlap: where they are, and the tokens before each.
+SEAM = "struct<at:array<long>, before:array<long>>"
 
 
 @lru_cache(maxsize=2)
@@ -115,9 +116,9 @@ def _spliced(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame
     dealt = chunks.repartition(partitions(spark), "key", "n")
     encoded = dealt.mapInArrow(
         _seam_finder(path, chunk, overlap),
-        f"key string, n int, last boolean, tokens long, entry array<{SEAM}>, exit array<{SEAM}>",
+        f"key string, n int, last boolean, tokens long, entry {SEAM}, exit {SEAM}",
     )
-    none = F.lit(None).cast(f"array<{SEAM}>")
+    none = F.lit(None).cast(SEAM)
     seams = encoded.select(
         "key",
         F.explode(
@@ -138,7 +139,9 @@ def _spliced(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame
         ).alias("s"),
     ).select("key", "s.*")
     met = seams.groupBy("key", "seam").agg(
-        F.max("left").alias("left"), F.max("right").alias("right"), F.sum("tail").alias("tail")
+        F.first("left", ignorenulls=True).alias("left"),
+        F.first("right", ignorenulls=True).alias("right"),
+        F.sum("tail").alias("tail"),
     )
     total = F.when(
         F.count("gain") == F.count(F.lit(1)), F.sum(F.col("gain") + F.col("tail"))
@@ -152,11 +155,12 @@ def _splice() -> Column:
 
     0 at either end of the text, where there is one side only.
     """
-    same = F.filter("left", lambda x: F.exists("right", lambda y: y["at"] == x["at"]))
-    common = F.get(same, F.lit(0))
-    twin = F.get(F.filter("right", lambda y: y["at"] == common["at"]), F.lit(0))
+    common = F.array_min(F.array_intersect("left.at", "right.at"))
+    before = lambda side: F.element_at(
+        f"{side}.before", F.nullif(F.array_position(f"{side}.at", common), F.lit(0)).cast("int")
+    )
     inner = F.col("left").isNotNull() & F.col("right").isNotNull()
-    return F.when(inner, common["before"] - twin["before"]).otherwise(0)
+    return F.when(inner, before("left") - before("right")).otherwise(0)
 
 
 def _cutter(chunk: int, overlap: int):
@@ -181,7 +185,8 @@ def _seam_finder(path: str, chunk: int, overlap: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        seam = pa.list_(pa.struct([("at", pa.int64()), ("before", pa.int64())]))
+        numbers = pa.list_(pa.int64())
+        seam = pa.struct([("at", numbers), ("before", numbers)])
         names = ["key", "n", "last", "tokens", "entry", "exit"]
         types = [pa.string(), pa.int32(), pa.bool_(), pa.int64(), seam, seam]
         for batch in batches:
@@ -202,16 +207,13 @@ def _seam_finder(path: str, chunk: int, overlap: int):
     return run
 
 
-def word_starts(encoded: Encoding, low: int, high: int, shift: int) -> list[dict[str, int]]:
-    """Word starts between two offsets, and how many tokens come before each.
-
-    The offsets of the library may leave out white space at the start of a word,
-    in the same way for the same word, so they still name one place.
-    """
-    offsets, words = encoded.offsets, encoded.word_ids
-    found, previous = [], None
-    for k, ((at, _), word) in enumerate(zip(offsets, words)):
+def word_starts(encoded: Encoding, low: int, high: int, shift: int) -> dict[str, list[int]]:
+    """Word starts between two offsets, and how many tokens come before each."""
+    found: dict[str, list[int]] = {"at": [], "before": []}
+    previous = None
+    for k, ((at, _), word) in enumerate(zip(encoded.offsets, encoded.word_ids)):
         if (word is None or word != previous) and low <= at < high:
-            found.append({"at": at + shift, "before": k})
+            found["at"].append(at + shift)
+            found["before"].append(k)
         previous = word
     return found
