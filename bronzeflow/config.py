@@ -57,14 +57,33 @@ class PipelineConfig:
     source_system: str = "sales_source"
     table_format: str = "parquet"
     location: str | None = None
-    staged_writes: bool = False
+    staged_writes: bool = True
+    file_mb: int = 256  # of shuffled data per written file, about
+    sample_size: int = 5  # rows of the customers sample in the report
+    jdbc_partitions: int = 0  # 0: by the number of rows, see jdbc_rows_per_partition
+    jdbc_rows_per_partition: int = 1_000_000
+    jdbc_fetch_size: int = 10_000
+    jdbc_encrypt: bool = True
+    jdbc_options: Mapping[str, str] = field(default_factory=dict, repr=False)
 
     @classmethod
     def from_mapping(cls, params: Mapping[str, str]) -> PipelineConfig:
         unknown = set(params) - set(cls.__dataclass_fields__)
         if unknown:
             raise ValueError(f"unknown parameters: {sorted(unknown)}")
-        return cls(**params)
+        return cls(**{k: cls._typed(k, v) for k, v in params.items()})
+
+    @classmethod
+    def _typed(cls, name: str, value: object) -> object:
+        """A job passes text; the default tells the type."""
+        default = cls.__dataclass_fields__[name].default
+        if not isinstance(value, str) or isinstance(default, str):
+            return value
+        if isinstance(default, bool):
+            if value.lower() not in ("true", "false"):
+                raise ValueError(f"{name}: true or false, not {value}")
+            return value.lower() == "true"
+        return int(value) if isinstance(default, int) else value
 
     @property
     def target(self) -> Target:

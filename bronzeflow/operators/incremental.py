@@ -6,12 +6,12 @@ our own. Works on plain partitioned files, which know no MERGE.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
-from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeflow.config import Target
@@ -26,19 +26,21 @@ def high_water_mark(bronze: DataFrame, column: str) -> datetime | None:
 
 
 def newer_than(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
-    """Rows edited after the mark: a plain comparison, so the scan can prune.
+    """Rows edited at the mark or later, or without a time: plain tests, so the scan can prune.
 
-    Spark keeps microseconds. A source with finer times offers the rows of the
-    mark itself once more; the upsert takes them again without harm.
+    A row may be committed in the microsecond of the mark after the mark was
+    taken, and nothing tells when a row without a time was edited. Both kinds are
+    offered again; the upsert takes them again without harm.
     """
-    return df if mark is None else df.where(F.col(column) > F.lit(mark))
+    return df if mark is None else df.where((F.col(column) >= F.lit(mark)) | F.col(column).isNull())
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
     """The row with the largest ``order_by`` of each key, NULL being the smallest.
 
     Equal ``order_by`` is settled by the other columns. An aggregate, not a
-    window: it folds a key with many versions before the shuffle.
+    window: a key with many versions folds before the shuffle. Rows are sorted by
+    key on both sides of it, since a struct is no buffer for a hash aggregate.
     """
     rest = [c for c in df.columns if c not in keys]
     ordered = [order_by] + [c for c in rest if c != order_by]
@@ -57,66 +59,130 @@ def renamed_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(f"__{k}") for k in keys])
 
 
-def upsert(
+def later(left: Column, right: Column) -> Column:
+    """``left > right``, NULL being the smallest."""
+    return F.coalesce(left > right, left.isNotNull() & right.isNull())
+
+
+def not_beaten(
     base: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: str
 ) -> DataFrame:
-    """``base`` with the latest incoming row of each key in place of its own.
+    """Rows of ``base`` whose key has no incoming row edited at the same time or later.
 
     The incoming keys join undeduplicated: a small increment is broadcast by its
     size, a large one leaves the base side free to be split where it is uneven.
     """
-    replaced = renamed_keys(incoming, keys)
-    kept = base.join(replaced, same_key(base, replaced, keys), "left_anti")
-    return kept.unionByName(latest_per_key(incoming, keys, order_by))
+    new = renamed_keys(incoming, list(dict.fromkeys([*keys, order_by])))
+    beaten = same_key(base, new, keys) & ~later(base[order_by], new[f"__{order_by}"])
+    return base.join(new, beaten, "left_anti")
+
+
+def winners(
+    incoming: DataFrame, base: DataFrame, keys: Sequence[str], order_by: str
+) -> DataFrame:
+    """The latest incoming row of each key, unless ``base`` has a later one."""
+    latest = latest_per_key(incoming, keys, order_by)
+    old = renamed_keys(base, list(dict.fromkeys([*keys, order_by])))
+    lost = same_key(latest, old, keys) & later(old[f"__{order_by}"], latest[order_by])
+    return latest.join(old, lost, "left_anti")
+
+
+def upsert(
+    base: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: str
+) -> DataFrame:
+    """``base`` with the latest incoming row of each key in place of its own.
+
+    The newest edit wins, whichever side has it; of equal ones the incoming does.
+    """
+    kept = not_beaten(base, incoming, keys, order_by)
+    return kept.unionByName(winners(incoming, base, keys, order_by))
+
+
+#: Partitions that one pass of an upsert rewrites.
+PARTITIONS_PER_PASS = 1000
 
 
 def upsert_table(
-    spark: SparkSession, target: Target, spec: TableSpec, incoming: DataFrame, order_by: str
+    spark: SparkSession,
+    target: Target,
+    spec: TableSpec,
+    incoming: DataFrame,
+    order_by: str,
+    keys_stay: bool = False,
 ) -> None:
     """Upsert rows into a bronze table by its primary key.
 
     The result is written beside the table first. A partitioned table then has
-    only the touched partitions overwritten: those of the incoming rows, and
-    those the replaced versions were in. Others are neither read in full nor
-    written. Running the same increment again gives the same table, so a run
-    that stopped half way is repaired by repeating it.
+    only the touched partitions overwritten: those of the incoming rows that win,
+    and those the replaced versions were in. Their values, a list as long as the
+    touched partitions at most, are literals in the filter of the scan, so no
+    other partition is read for it, at any size of the increment.
+
+    To find the old versions, though, the key columns of the whole table are read
+    once, since plain files have no index; with ``keys_stay``, a promise that a
+    key never changes its partition, those of the incoming partitions only.
+
+    Running the same increment again gives the same table, so a run that stopped
+    half way is repaired by repeating it. Side tables have names of their own for
+    every run; a dead driver may leave some, called ``<table>__side_...``.
     """
     restore_previous(spark, target, spec.name)
-    name, keys = target.name(spec.name), spec.primary_key
+    name, keys, parts = target.name(spec.name), spec.primary_key, list(spec.partition_by)
     base = spark.table(name)
-    # The increment is used several times; the source is read once.
-    increment_name = target.name(f"{spec.name}__increment")
-    aligned = align_to_existing(incoming, base.schema).select(*base.columns)
-    save(aligned, target, increment_name)
-    increment = spark.table(increment_name)
-    staged_name = target.name(f"{spec.name}__staged")
-
-    if not spec.partition_by:
-        save(upsert(base, increment, keys, order_by), target, staged_name)
-        swap_in(spark, target, spec.name)
-    else:
-        parts = list(spec.partition_by)
-        replaced = renamed_keys(increment, keys)
-        touched = (
-            base.join(replaced, same_key(base, replaced, keys), "left_semi")
-            .select(*parts)
-            .unionByName(increment.select(*parts))
-            .distinct()
-        )
-        touched_name = target.name(f"{spec.name}__touched")
-        save(touched, target, touched_name)
-        touched = spark.table(touched_name)
-        marked = renamed_keys(touched, parts)
-        affected = base.join(marked, same_key(base, marked, parts), "left_semi")
-        save(upsert(affected, increment, keys, order_by), target, staged_name)
-        staged = spark.table(staged_name)
-        overwrite_partitions(spark, staged_name, name, parts)
-        left = renamed_keys(staged.select(*parts), parts)
-        emptied = touched.join(left, same_key(touched, left, parts), "left_anti")
-        drop_partitions(spark, name, emptied, parts)
-        spark.sql(f"DROP TABLE IF EXISTS {touched_name}")
-        spark.sql(f"DROP TABLE IF EXISTS {staged_name}")
-    spark.sql(f"DROP TABLE IF EXISTS {increment_name}")
+    run, made = uuid.uuid4().hex, []
+
+    def side(what: str, rows: DataFrame) -> DataFrame:
+        table = f"{spec.name}__side_{run}_{what}"
+        made.append(table)
+        save(rows, target, target.name(table))
+        return spark.table(target.name(table))
+
+    try:
+        # The increment is used several times; the source is read once.
+        increment = side("rows", align_to_existing(incoming, base.schema).select(*base.columns))
+        if not parts:
+            landed = f"{spec.name}__side_{run}_result"
+            side("result", upsert(base, increment, keys, order_by))
+            swap_in(spark, target, landed, spec)
+            return
+        searched = base
+        if keys_stay:
+            searched = base.where(any_of(increment.select(*parts).distinct().collect(), parts))
+        needed = list(dict.fromkeys([*keys, order_by, *parts]))
+        own = renamed_keys(increment, keys)
+        slim = searched.select(*needed)
+        met = side("met", slim.join(own, same_key(slim, own, keys), "left_semi"))
+        won = side("won", winners(increment, met, keys, order_by))
+        stay = not_beaten(met, increment, keys, order_by).select(*needed)
+        beaten = met.exceptAll(stay)
+        # As many rows as partitions are touched, at most.
+        touched = beaten.select(*parts).unionByName(won.select(*parts)).distinct().collect()
+        for at in range(0, len(touched), PARTITIONS_PER_PASS):
+            some = touched[at : at + PARTITIONS_PER_PASS]
+            old = base.where(any_of(some, parts))
+            rows = not_beaten(old, increment, keys, order_by).unionByName(
+                won.where(any_of(some, parts))
+            )
+            staged = side(f"result{at}", rows)
+            overwrite_partitions(spark, target.name(made[-1]), name, parts)
+            full = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+            drop_partitions(spark, name, [r for r in some if tuple(r) not in full], parts)
+    finally:
+        for table in made:
+            spark.sql(f"DROP TABLE IF EXISTS {target.name(table)}")
+
+
+def any_of(values: Sequence[Row], columns: Sequence[str]) -> Column:
+    """Rows of these partitions, as a test of literals that prunes a scan."""
+    if len(columns) == 1:
+        known = [r[0] for r in values if r[0] is not None]
+        test = F.col(columns[0]).isin(known) if known else F.lit(False)
+        return test | F.col(columns[0]).isNull() if len(known) < len(values) else test
+    rows = [
+        reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, r)])
+        for r in values
+    ]
+    return reduce(Column.__or__, rows) if rows else F.lit(False)
 
 
 def overwrite_partitions(
@@ -135,17 +201,21 @@ def overwrite_partitions(
 
 
 def drop_partitions(
-    spark: SparkSession, table: str, values: DataFrame, columns: Sequence[str]
+    spark: SparkSession, table: str, values: Sequence[Row], columns: Sequence[str]
 ) -> None:
     """Drop partitions whose rows all moved away: metadata, a batch at a time."""
-    rows = values.toLocalIterator()
-    while batch := list(islice(rows, 500)):
+    for at in range(0, len(values), 500):
         partitions = ", ".join(
             "PARTITION ("
-            + ", ".join(
-                f"`{c}` = " + ("NULL" if v is None else f"'{v}'") for c, v in zip(columns, row)
-            )
+            + ", ".join(f"`{c}` = {partition_literal(v)}" for c, v in zip(columns, row))
             + ")"
-            for row in batch
+            for row in values[at : at + 500]
         )
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partitions}")
+
+
+def partition_literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"

@@ -31,23 +31,38 @@ def ensure_namespace(spark: SparkSession, target: Target, use: bool = False) ->
 def align_to_existing(df: DataFrame, existing: T.StructType) -> DataFrame:
     """Keep columns a table already has: a removed column comes back as NULL.
 
-    New columns go last. A column whose type changed is an error. This is what a
-    merging table format does by itself; plain parquet would drop the column.
+    New columns go last. Names are compared as the session compares them, that is
+    without case unless it says otherwise, and keep the spelling of the table. A
+    column whose type changed is an error, and so are two that are one name. This
+    is what a merging table format does by itself; plain parquet would drop the
+    column.
     """
-    incoming = {f.name: f.dataType for f in df.schema.fields}
+    by_case = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    folded = (lambda name: name) if by_case else str.lower
+    incoming: dict[str, T.StructField] = {}
+    for f in df.schema.fields:
+        if folded(f.name) in incoming:
+            raise ValueError(f"column {f.name} is there twice")
+        incoming[folded(f.name)] = f
     clash = [
-        f"{f.name}: {f.dataType.simpleString()} -> {incoming[f.name].simpleString()}"
+        f"{f.name}: {f.dataType.simpleString()} -> {new.dataType.simpleString()}"
         for f in existing.fields
-        if f.name in incoming and incoming[f.name] != f.dataType
+        if (new := incoming.get(folded(f.name))) and new.dataType != f.dataType
     ]
     if clash:
         raise ValueError(f"column types changed: {'; '.join(clash)}")
-    known = {f.name for f in existing.fields}
+    known = {folded(f.name) for f in existing.fields}
     kept = [
-        F.col(f.name) if f.name in incoming else F.lit(None).cast(f.dataType).alias(f.name)
+        F.col(f"`{incoming[folded(f.name)].name}`").alias(f.name)
+        if folded(f.name) in incoming
+        else F.lit(None).cast(f.dataType).alias(f.name)
         for f in existing.fields
     ]
-    return df.select(*kept, *[F.col(c) for c in df.columns if c not in known])
+    return df.select(*kept, *[F.col(f"`{c}`") for c in df.columns if folded(c) not in known])
+
+
+#: Formats whose files are the table: an overwrite has no transaction.
+PLAIN_FORMATS = {"parquet", "orc", "avro", "csv", "json"}
 
 
 def write_bronze(
@@ -56,7 +71,7 @@ def write_bronze(
     spec: TableSpec,
     metrics: Sequence[Column] = (),
     evolve: bool = True,
-    staged: bool = False,
+    staged: bool = True,
 ) -> dict[str, Any]:
     """Overwrite a bronze table; return the metrics observed during that write.
 
@@ -67,28 +82,26 @@ def write_bronze(
     * The metrics sit after that shuffle, in the stage that writes the files.
       Spark counts each task of that stage once, also when an executor is lost
       and tasks run again.
-    * ``staged`` lands the rows beside the table first, so that ``df`` may read
-      the table it replaces and a source that fails leaves the old rows. The
-      landed table is then renamed, or, if partitioned, copied.
+    * ``staged``: where a table of plain files is there already, the rows are
+      written once, beside it, and then take its place by renaming. A source that
+      fails leaves the old rows, and ``df`` may read the table it replaces.
     """
     spark = df.sparkSession
     name = target.name(spec.name)
-    if evolve and spark.catalog.tableExists(name):
+    exists = spark.catalog.tableExists(name)
+    if evolve and exists:
         df = align_to_existing(df, spark.table(name).schema)
-    observation = None
-    if staged:
-        df, observation = observed(df, spec.name, metrics)
-        landed = target.name(f"{spec.name}__staged")
-        save(df, target, landed)
-        if spec.partition_by:
-            save(spark.table(landed).hint("rebalance", *spec.partition_by), target, name, spec)
-            spark.sql(f"DROP TABLE {landed}")
-        else:
-            swap_in(spark, target, spec.name)
+    if spec.partition_by:
+        df = df.hint("rebalance", *spec.partition_by)
+    df, observation = observed(df, spec.name, metrics)
+    if staged and exists and target.table_format in PLAIN_FORMATS:
+        landed = f"{spec.name}__staged_{uuid.uuid4().hex}"
+        try:
+            save(df, target, target.name(landed), spec)
+            swap_in(spark, target, landed, spec)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {target.name(landed)}")
     else:
-        if spec.partition_by:
-            df = df.hint("rebalance", *spec.partition_by)
-        df, observation = observed(df, spec.name, metrics)
         save(df, target, name, spec)
     # Only after the write: before it has succeeded this call would wait for ever.
     return observation.get if observation else {}
@@ -103,25 +116,32 @@ def observed(
     return df.observe(observation, *metrics), observation
 
 
-def save(df: DataFrame, target: Target, name: str, spec: TableSpec | None = None) -> None:
-    writer = df.write.mode("overwrite").format(target.table_format)
+def save(
+    df: DataFrame,
+    target: Target,
+    name: str,
+    spec: TableSpec | None = None,
+    mode: str = "overwrite",
+) -> None:
+    writer = df.write.mode(mode).format(target.table_format)
     if spec and spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     writer.saveAsTable(name)
 
 
-def swap_in(spark: SparkSession, target: Target, table: str) -> None:
-    """Put ``<table>__staged`` in the place of ``<table>``, by renaming.
+def swap_in(spark: SparkSession, target: Target, landed: str, spec: TableSpec) -> None:
+    """Put table ``landed`` in the place of the table of ``spec``, by renaming.
 
-    Not for partitioned tables: a catalog may keep the old folders of their
-    partitions. The old table is dropped last; ``restore_previous`` brings it back if the
+    The old table is dropped last; ``restore_previous`` brings it back if the
     driver died in between.
     """
-    previous = target.name(f"{table}__previous")
+    table, previous = spec.name, target.name(f"{spec.name}__previous")
+    parts = bool(spec.partition_by)
     if spark.catalog.tableExists(target.name(table)):
         spark.sql(f"DROP TABLE IF EXISTS {previous}")
-        rename(spark, target, table, f"{table}__previous")
-    rename(spark, target, f"{table}__staged", table)
+        rename(spark, target, table, f"{table}__previous", parts)
+    rename(spark, target, landed, table, parts)
+    spark.catalog.refreshTable(target.name(table))
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
@@ -130,12 +150,20 @@ def restore_previous(spark: SparkSession, target: Target, table: str) -> bool:
     name, previous = target.name(table), target.name(f"{table}__previous")
     if spark.catalog.tableExists(name) or not spark.catalog.tableExists(previous):
         return False
-    rename(spark, target, f"{table}__previous", table)
+    parts = any(c.isPartition for c in spark.catalog.listColumns(previous))
+    rename(spark, target, f"{table}__previous", table, parts)
     return True
 
 
-def rename(spark: SparkSession, target: Target, old: str, new: str) -> None:
+def rename(spark: SparkSession, target: Target, old: str, new: str, parts: bool) -> None:
+    """Rename a table; ``parts`` tells that it has partitions.
+
+    A catalog may keep the folders that partitions had before. They are told anew
+    at once: dropped with the table, they might be those of its successor.
+    """
     spark.sql(f"ALTER TABLE {target.name(old)} RENAME TO {target.name_in_catalog(new)}")
+    if parts:
+        spark.sql(f"MSCK REPAIR TABLE {target.name(new)} SYNC PARTITIONS")
 
 
 def verify_load(
@@ -152,11 +180,24 @@ def verify_load(
     )
 
 
-def append_if_empty(df: DataFrame, target: Target, table: str) -> bool:
-    """Seed a table once. True if rows were appended, False if it had some."""
+def append_if_empty(df: DataFrame, target: Target, spec: TableSpec) -> bool:
+    """Seed a table once. True if rows were appended, False if it had some.
+
+    The table gets the layout of its contract; columns of an empty table that is
+    there already stay.
+    """
     spark = df.sparkSession
-    name = target.name(table)
-    if spark.catalog.tableExists(name) and not spark.table(name).isEmpty():
+    name = target.name(spec.name)
+    exists = spark.catalog.tableExists(name)
+    if exists and not spark.table(name).isEmpty():
         return False
-    df.write.mode("append").format(target.table_format).saveAsTable(name)
+    if exists:
+        old = spark.table(name).schema
+        df = align_to_existing(df, old)
+        if len(df.columns) > len(old):  # new columns: an append cannot add them
+            write_bronze(df, target, spec)
+            return True
+    if spec.partition_by:
+        df = df.hint("rebalance", *spec.partition_by)
+    save(df, target, name, spec, mode="append")
     return True

@@ -9,6 +9,7 @@ from typing import Any, Protocol
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from bronzeflow.config import PipelineConfig, RunContext, Target
 from bronzeflow.operators import quality
@@ -25,7 +26,7 @@ from bronzeflow.plans import reports
 from bronzeflow.session import job_session
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.sources.jdbc import JdbcSource
-from bronzeflow.specs import CUSTOMERS, SPECS, TableSpec
+from bronzeflow.specs import CUSTOMERS, SPECS, TableSpec, spark_type
 
 log = logging.getLogger(__name__)
 
@@ -58,11 +59,11 @@ def load_table(
     spec: TableSpec,
     run: RunContext,
     strict: bool = True,
-    staged: bool = False,
+    staged: bool = True,
 ) -> dict[str, Any]:
     """Read a source table once, write it to bronze, return what was measured."""
     restore_previous(spark, target, spec.name)
-    rows = project(source.read(spark, spec), spec, strict)
+    rows = project(without_missing_options(source.read(spark, spec), spec), spec, strict)
     metrics = write_bronze(
         add_lineage(rows, spec, run),
         target,
@@ -91,19 +92,40 @@ def load_increment(
     evaluates it itself, a partitioned file source prunes by it.
     """
     mark = high_water_mark(read_bronze(spark, target, spec.name), spec.edited_column)
-    edited = newer_than(source.read(spark, spec), spec.edited_column, mark)
+    # A source that can, puts the mark into its own query and splits what is left.
+    read = getattr(source, "read_since", None)
+    offered = read(spark, spec, mark) if read else source.read(spark, spec)
+    edited = newer_than(
+        without_missing_options(offered, spec), spec.edited_column, mark
+    )
     rows = add_lineage(project(edited, spec, strict), spec, run)
     upsert_table(spark, target, spec, rows, spec.edited_column)
 
 
-def run_reports(spark: SparkSession, target: Target, result: BronzeRun) -> None:
-    """Fill in the reports over bronze. One that fails is logged, not raised."""
+def without_missing_options(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Optional columns that the source lacks come in as NULL."""
+    missing = [c for c in spec.optional if c not in df.columns]
+    types = dict(spec.fields)
+    return df.withColumns({c: F.lit(None).cast(spark_type(types[c])) for c in missing})
+
+
+def run_reports(
+    spark: SparkSession, target: Target, result: BronzeRun, sample_size: int = 5
+) -> None:
+    """Fill in the reports over bronze. One that fails is logged, not raised.
+
+    The report of group names is their number; the names themselves, as many as
+    there are, are ``quality.group_names`` of the bronze table. ``sample_size``
+    is the number of customers that the sample shows.
+    """
 
     def table(name: str) -> DataFrame:
         return read_bronze(spark, target, name)
 
     plans = {
-        "customers_sample": lambda: sample_rows(table("customers"), CUSTOMERS.primary_key),
+        "customers_sample": lambda: sample_rows(
+            table("customers"), CUSTOMERS.primary_key, sample_size
+        ),
         "customers": lambda: quality.dq_customers(table("customers")),
         "orders": lambda: reports.orders_quality_report(table("orders"), table("order_lines")),
         "stock_counts": lambda: table_inventory({t: table(t) for t in STOCK_TABLES}),
@@ -114,8 +136,8 @@ def run_reports(spark: SparkSession, target: Target, result: BronzeRun) -> None:
         "category_distribution": lambda: reports.category_distribution(
             table("stock_groups"), table("stock_item_stock_groups")
         ),
-        "group_names": lambda: sample_rows(
-            quality.group_names(table("stock_groups")), ["StockGroupName"], 20
+        "group_names": lambda: quality.group_names(table("stock_groups")).agg(
+            F.count(F.lit(1)).alias("names")
         ),
         "item_groups": lambda: quality.stats_item_groups(table("stock_item_stock_groups")),
         "stock_completeness": lambda: reports.stock_completeness(table("stock_items")),
@@ -140,7 +162,10 @@ def run_bronze(
 
     An extraction that fails ends the run. Reports come last and do not.
     """
-    caller, spark = spark, job_session(spark)
+    caller = spark
+    spark = job_session(
+        spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{cfg.file_mb}MB"}
+    )
     source = source or JdbcSource.from_config(cfg)
     run = run or RunContext.now(cfg.source_system)
     target, result = cfg.target, BronzeRun()
@@ -166,5 +191,5 @@ def run_bronze(
         ]
     for branch in branches:
         branch.result()
-    run_reports(spark, target, result)
+    run_reports(spark, target, result, cfg.sample_size)
     return result

@@ -22,7 +22,7 @@ def silver(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Current, typed, trimmed rows of a bronze table, one per primary key.
 
     Rows without a key drop out. Of several rows of a key the one edited last
-    stays.
+    stays, so without the column that tells this is an error.
     """
     types = dict(spec.fields)
     columns = [c for c in df.columns if c not in lineage_columns(spec)]
@@ -42,9 +42,9 @@ def silver(df: DataFrame, spec: TableSpec) -> DataFrame:
     rows = df.select(*[clean(c) for c in columns]).where(
         " AND ".join(f"{k} IS NOT NULL" for k in spec.primary_key)
     )
-    others = [c for c in columns if c not in spec.primary_key]
-    order_by = spec.edited_column if spec.edited_column in columns else others[0]
-    return latest_per_key(rows, spec.primary_key, order_by)
+    if spec.edited_column not in columns:
+        raise ValueError(f"{spec.name}: no column {spec.edited_column} to tell the last edit")
+    return latest_per_key(rows, spec.primary_key, spec.edited_column)
 
 
 def daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:

@@ -7,7 +7,15 @@ cast, since engines differ in the types of aggregates.
 from __future__ import annotations
 
 from bronzeflow.registry.queries import ROW_COUNT_TABLES, RUN, STOCK_COUNT_TABLES
-from bronzeflow.sources.fixtures import ADAPTERS, bronze_input_sql
+from bronzeflow.sources.fixtures import (
+    ADAPTERS,
+    FIRST_EDIT,
+    LOADED_UNTIL,
+    SECOND_EDIT,
+    VERSIONED,
+    bronze_input_sql,
+)
+from bronzeflow.specs import SPECS
 
 
 def over(inputs: str, body: str, ctes: str = "") -> str:
@@ -120,6 +128,48 @@ INVENTORY_VALUE = "CAST(sum(QuantityOnHand * LastCostPrice) AS DECIMAL(38,2)) AS
 
 PRICED = """CAST(CAST(o_totalprice AS DECIMAL(18,2)) + {markup} AS DECIMAL(18,2)) AS TotalPrice"""
 
+# Texts among the columns of the versioned inputs.
+TEXTS = {"CustomerName", "CustomerCategory", "StockItemName", "Brand", "Size"}
+
+
+def silver(name: str) -> str:
+    """Latest row per key of the versioned input, ended rows aside, texts trimmed."""
+    spec, columns = SPECS[name], VERSIONED[name]
+    (key,) = spec.primary_key
+    made = ", ".join(f"{e} AS {c}" for c, e in columns.items())
+    clean = ", ".join(f"nullif(trim({c}), '') AS {c}" if c in TEXTS else c for c in columns)
+    current = (
+        "ValidTo IS NULL OR ValidTo >= TIMESTAMP '9999-12-31 23:59:59.999999'"
+        if "ValidTo" in columns
+        else "true"
+    )
+    edited = spec.edited_column
+    order = [edited, *[c for c in columns if c not in (key, edited)]]
+    best = ", ".join(f"{c} DESC NULLS LAST" for c in order)
+    return over(
+        name,
+        f"""SELECT {", ".join(columns)} FROM (SELECT *, row_number() OVER (PARTITION BY {key}
+        ORDER BY {best}) AS nth FROM (SELECT {clean} FROM (SELECT {made} FROM b_{name},
+        (VALUES (1), (2)) versions(v) WHERE v = 1 OR {key} % 3 = 0) WHERE {current})
+        WHERE {key} IS NOT NULL) WHERE nth = 1""",
+    )
+
+
+INCREMENTAL_LOAD = f"""WITH first AS (SELECT CAST(o_orderkey AS INT) AS OrderID,
+    CAST(o_custkey AS INT) AS CustomerID, {FIRST_EDIT} AS LastEditedWhen,
+    CAST(year(o_orderdate) AS INT) AS OrderYear FROM orders),
+    base AS (SELECT * FROM first WHERE LastEditedWhen <= {LOADED_UNTIL}),
+    offered AS (SELECT CAST(o_orderkey AS INT) AS OrderID,
+    CAST(o_custkey + 1 AS INT) AS CustomerID, {SECOND_EDIT} AS LastEditedWhen,
+    CAST(year(o_orderdate) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS INT) AS OrderYear
+    FROM orders),
+    since AS (SELECT * FROM offered WHERE LastEditedWhen IS NULL
+    OR LastEditedWhen >= (SELECT max(LastEditedWhen) FROM base))
+    SELECT * FROM since s WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.OrderID = s.OrderID
+    AND (s.LastEditedWhen IS NULL OR b.LastEditedWhen > s.LastEditedWhen))
+    UNION ALL SELECT * FROM base b WHERE NOT EXISTS (SELECT 1 FROM since s
+    WHERE b.OrderID = s.OrderID AND s.LastEditedWhen >= b.LastEditedWhen)"""
+
 ORACLE_SQL: dict[str, str] = {
     **{f"project_{name}": projection(name) for name in ADAPTERS if name != "suppliers"},
     "lineage_standard": over("orders", f"SELECT OrderID, {STANDARD_LINEAGE} FROM b_orders"),
@@ -358,6 +408,9 @@ ORACLE_SQL: dict[str, str] = {
     "column_completeness": over(
         "stock_items", union(*[complete(c) for c in ADAPTERS["stock_items"].columns])
     ),
+    "append_if_empty_orders": f"""SELECT o_orderkey AS OrderID, {PRICED.format(markup=0)},
+        CAST(year(o_orderdate) AS INT) AS OrderYear FROM orders""",
+    "incremental_load": INCREMENTAL_LOAD,
     "incremental_upsert": f"""WITH incoming AS (SELECT o_orderkey AS OrderID,
         {PRICED.format(markup=1)} FROM orders WHERE o_orderdate >= TIMESTAMP '1999-07-01')
         SELECT OrderID, TotalPrice, 'incoming' AS version FROM incoming UNION ALL
@@ -371,19 +424,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o_orderkey, {PRICED.format(markup=0)}, CAST(year(o_orderdate) AS INT)
         FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'
         AND o_orderkey NOT IN (SELECT OrderID FROM incoming)""",
-    "silver_customers": over(
-        "customers",
-        """SELECT CustomerID, max(CustomerName) AS CustomerName,
-        max(DeliveryCityID) AS DeliveryCityID, max(CustomerCategory) AS CustomerCategory
-        FROM b_customers GROUP BY CustomerID""",
-    ),
-    "silver_orders": over("orders", "SELECT OrderID, CustomerID, OrderDate FROM b_orders"),
-    "silver_stock_items": over(
-        "stock_items",
-        """SELECT StockItemID, nullif(trim(StockItemName), '') AS StockItemName,
-        nullif(trim(Brand), '') AS Brand, nullif(trim(Size), '') AS Size, IsChillerStock,
-        UnitPrice FROM b_stock_items""",
-    ),
+    **{f"silver_{name}": silver(name) for name in VERSIONED},
     "gold_daily_sales": over(
         "orders order_lines",
         """SELECT o.OrderDate, count(*) AS orders, CAST(coalesce(sum(ol.n), 0) AS BIGINT) AS lines,
@@ -401,6 +442,7 @@ ORACLE_SQL: dict[str, str] = {
         JOIN b_order_lines ol ON ol.StockItemID = j.StockItemID GROUP BY g.StockGroupName""",
     ),
     "stream_events": f"""SELECT event_id, ts, user_id, event_type, "value", props,
+        TIMESTAMP '{RUN.ts:%Y-%m-%d %H:%M:%S}' AS _extract_timestamp,
         '{RUN.source_system}' AS _source_system, '{RUN.batch_id("events")}' AS _batch_id
         FROM events""",
 }

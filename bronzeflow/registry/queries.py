@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +15,22 @@ from bronzeflow.operators import incremental, profile, quality
 from bronzeflow.operators.lineage import add_lineage, lineage_columns, project
 from bronzeflow.operators.listing import sample_rows, table_inventory
 from bronzeflow.operators.sinks import (
-    align_to_existing,
     append_if_empty,
     ensure_namespace,
     verify_load,
     write_bronze,
 )
 from bronzeflow.plans import layers, reports, views
-from bronzeflow.plans.job import run_bronze
+from bronzeflow.plans.job import load_increment, load_table, run_bronze
 from bronzeflow.session import job_session, scratch_path
 from bronzeflow.sources.catalog import read_bronze
-from bronzeflow.sources.fixtures import FixtureSource, bronze_input, read_fixture
+from bronzeflow.sources.fixtures import (
+    FixtureSource,
+    OrderEdits,
+    bronze_input,
+    read_fixture,
+    versioned_input,
+)
 from bronzeflow.specs import CUSTOMERS, ORDER_LINES, ORDERS, SPECS
 from bronzeflow.streaming.append import append_stream, read_files
 
@@ -32,7 +38,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Pinned, so that both sides of a comparison see the same run.
 RUN = RunContext(datetime(2024, 1, 20, 2, 0, 0, tzinfo=timezone.utc), "sales_source")
-YEARLY_ORDERS = ORDERS.with_layout("OrderYear")
+YEARLY_ORDERS = replace(
+    ORDERS, ddl=f"{ORDERS.ddl}\n        OrderYear int", partition_by=("OrderYear",)
+)
 
 ROW_COUNT_TABLES = ("customers", "suppliers", "stock_items", "orders", "order_lines")
 STOCK_COUNT_TABLES = (
@@ -101,12 +109,14 @@ def bronze_roundtrip_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
-    """A second load without OrderDate and with a new column."""
-    old = bronze_input(spark, sf, "orders")
+    """A second load without OrderDate, with a new column, and one name in other case."""
+    target, plain = fresh_target(spark), ORDERS.with_layout()
+    write_bronze(bronze_input(spark, sf, "orders"), target, plain)
     new = read_fixture(spark, sf, "orders").selectExpr(
-        "o_orderkey AS OrderID", "o_custkey AS CustomerID", "o_orderpriority AS Priority"
+        "o_orderkey AS OrderID", "o_custkey AS customerid", "o_orderpriority AS Priority"
     )
-    return align_to_existing(new, old.schema)
+    write_bronze(new, target, plain)
+    return read_bronze(spark, target, "orders")
 
 
 def load_and_verify(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,12 +130,38 @@ def seed_twice(spark: SparkSession, sf: str) -> DataFrame:
     """Seed customers twice; the second time must add nothing."""
     target = fresh_target(spark)
     customers = bronze_input(spark, sf, "customers")
-    append_if_empty(customers, target, "customers")
+    append_if_empty(customers, target, CUSTOMERS)
     written = read_bronze(spark, target, "customers").count()
-    append_if_empty(customers, target, "customers")
+    append_if_empty(customers, target, CUSTOMERS)
     return verify_load(spark, target, "customers", written)
 
 
+def seed_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Seed orders by year: an absent table twice, then the emptied one twice."""
+    target, orders = fresh_target(spark), incremental_rows(spark, sf, 0, "true")
+    for _ in range(2):
+        append_if_empty(orders, target, YEARLY_ORDERS)
+    write_bronze(orders.where("false"), target, YEARLY_ORDERS)
+    for _ in range(2):
+        append_if_empty(orders, target, YEARLY_ORDERS)
+    return read_bronze(spark, target, "orders").select("OrderID", "TotalPrice", "OrderYear")
+
+
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders up to a mark, then two loads of what the source offers since.
+
+    Among that are rows at the mark, without a time, edited later, edited before
+    the mark (not offered), and some that move to another partition.
+    """
+    target = fresh_target(spark)
+    load_table(spark, OrderEdits(sf, False), target, YEARLY_ORDERS, RUN, strict=False)
+    for _ in range(2):
+        load_increment(spark, OrderEdits(sf, True), target, YEARLY_ORDERS, RUN, strict=False)
+    return read_bronze(spark, target, "orders").select(
+        "OrderID", "CustomerID", "LastEditedWhen", "OrderYear"
+    )
+
+
 def bronze_run(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job; rows written and read back per bronze table."""
     cfg = PipelineConfig(
@@ -230,7 +266,8 @@ def incremental_rows(spark: SparkSession, sf: str, shift: int, where: str) -> Da
 
 
 def silver(name: str) -> Query:
-    return over(name, lambda df: layers.silver(df, SPECS[name]))
+    (key,) = SPECS[name].primary_key
+    return lambda spark, sf: layers.silver(versioned_input(spark, sf, name, key), SPECS[name])
 
 
 def stream_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -240,7 +277,7 @@ def stream_events(spark: SparkSession, sf: str) -> DataFrame:
     append_stream(
         rows, target, "events", "events", RUN, scratch_path(spark, "stream")
     ).awaitTermination()
-    return read_bronze(spark, target, "events").drop("_extract_timestamp")
+    return read_bronze(spark, target, "events")
 
 
 QUERIES: dict[str, Query] = {
@@ -251,6 +288,8 @@ QUERIES: dict[str, Query] = {
     "schema_evolution": schema_evolution,
     "verify_load": load_and_verify,
     "append_if_empty": seed_twice,
+    "append_if_empty_orders": seed_partitioned,
+    "incremental_load": incremental_load,
     "bronze_run": bronze_run,
     "dup_customer_ids": over(
         "customers", lambda df: quality.duplicate_keys(df, CUSTOMERS.primary_key)

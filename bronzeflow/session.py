@@ -27,15 +27,17 @@ def local_session(cpus: int | str = 8, app: str = "bronzeflow", **conf: str) ->
 
 
 def job_session(spark: SparkSession, **conf: str) -> SparkSession:
-    """A session for a job that writes: the caller's catalog, settings of its own.
+    """A session for a job that writes: everything as the caller has it, then ``conf``.
 
-    Writing one folder per date costs time per file, not per byte, so small
-    writes stay spread over the tasks instead of being merged into one.
+    Settings changed at run time, the current catalog and the current schema come
+    along; static settings are shared by all sessions anyway.
     """
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        session.conf.set(key, spark.conf.get(key))
-    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32KB")
+    for key, value in spark.conf.getAll.items():
+        if session.conf.get(key, None) != value and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
+    session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
     # Many small folders are listed by a few tasks per core, not by one task each.
     listing = min(10_000, 4 * spark.sparkContext.defaultParallelism)
     session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listing))
@@ -44,14 +46,21 @@ def job_session(spark: SparkSession, **conf: str) -> SparkSession:
     return session
 
 
+def runs_on_one_machine(master: str) -> bool:
+    """Whether driver and executors are one process, so that they share every folder."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session without the setting (a test on one machine) gets a folder of
-    its own.
+    Only a session on one machine may do without the setting (a test, say); it
+    gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder and not (folder := spark.sparkContext.getCheckpointDir()):
+        if not runs_on_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="bronzeflow-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -119,6 +119,93 @@ def bronze_input_sql(name: str) -> str:
     return sql
 
 
+_EDITED = (
+    "CASE WHEN v = 2 THEN TIMESTAMP '2024-02-01 00:00:00'"
+    " ELSE TIMESTAMP '2024-01-01 00:00:00' END"
+)
+
+
+def _valid_to(key: str) -> str:
+    return (
+        f"CASE WHEN {key} % 5 = 0 THEN TIMESTAMP '2024-03-01 00:00:00'"
+        f" WHEN {key} % 2 = 0 THEN NULL ELSE TIMESTAMP '9999-12-31 23:59:59.999999' END"
+    )
+
+
+def _padded(column: str, key: str) -> str:
+    return (
+        f"CASE WHEN v = 2 AND {key} % 7 = 0 THEN '   '"
+        f" WHEN v = 2 THEN '  ' || {column} || ' ' ELSE {column} END"
+    )
+
+
+# Bronze inputs with edits. Version 1 of every row, version 2 of
+# each third key: padded and blank texts, later edit times, ended validity.
+VERSIONED = {
+    "customers": {
+        "CustomerID": "CustomerID",
+        "CustomerName": _padded("CustomerName", "CustomerID"),
+        "DeliveryCityID": "DeliveryCityID",
+        "CustomerCategory": "CustomerCategory",
+        "ValidFrom": _EDITED,
+        "ValidTo": _valid_to("CustomerID"),
+    },
+    "orders": {
+        "OrderID": "OrderID",
+        "CustomerID": "CASE WHEN v = 2 THEN CustomerID + 1 ELSE CustomerID END",
+        "OrderDate": "OrderDate",
+        "LastEditedWhen": _EDITED,
+    },
+    "stock_items": {
+        "StockItemID": "StockItemID",
+        "StockItemName": _padded("StockItemName", "StockItemID"),
+        "Brand": _padded("Brand", "StockItemID"),
+        "Size": "Size",
+        "IsChillerStock": "IsChillerStock",
+        "UnitPrice": "UnitPrice",
+        "ValidFrom": _EDITED,
+        "ValidTo": _valid_to("StockItemID"),
+    },
+}
+
+
+def versioned_input(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A bronze input with the edits of ``VERSIONED``."""
+    versions = f"explode(CASE WHEN {key} % 3 = 0 THEN array(1, 2) ELSE array(1) END) AS v"
+    rows = bronze_input(spark, sf_dir, name).selectExpr("*", versions)
+    return rows.selectExpr(*[f"{e} AS {c}" for c, e in VERSIONED[name].items()])
+
+
+#: Orders as a source shows them at two times, for loads by high-water mark.
+LOADED_UNTIL = "TIMESTAMP '1999-06-30 00:00:00'"
+FIRST_EDIT = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP) END"
+SECOND_EDIT = (
+    "CASE WHEN o_orderkey % 7 = 0 THEN TIMESTAMP '2001-01-01 00:00:00'"
+    " WHEN o_orderkey % 11 = 0 THEN TIMESTAMP '1990-01-01 00:00:00'"
+    " WHEN o_orderkey % 13 = 0 OR o_orderkey % 50 = 0 THEN NULL"
+    f" WHEN o_orderkey % 17 = 0 THEN {LOADED_UNTIL}"
+    " ELSE CAST(o_orderdate AS TIMESTAMP) END"
+)
+
+
+@dataclass(frozen=True)
+class OrderEdits:
+    """A source of orders with edit times; the second look moves each seventh to the next year."""
+
+    sf_dir: str
+    second: bool
+
+    def read(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
+        edited, moved = (SECOND_EDIT, "1") if self.second else (FIRST_EDIT, "0")
+        rows = read_fixture(spark, self.sf_dir, "orders").selectExpr(
+            "CAST(o_orderkey AS INT) AS OrderID",
+            f"CAST(o_custkey + {moved} AS INT) AS CustomerID",
+            f"{edited} AS LastEditedWhen",
+            f"year(o_orderdate) + CASE WHEN o_orderkey % 7 = 0 THEN {moved} ELSE 0 END AS OrderYear",
+        )
+        return rows if self.second else rows.where(f"LastEditedWhen <= {LOADED_UNTIL}")
+
+
 @dataclass(frozen=True)
 class FixtureSource:
     """Source of the whole bronze run over the given parquet tables."""

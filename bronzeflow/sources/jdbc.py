@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,18 +32,26 @@ class JdbcSource:
     encrypt: bool = True
     trust_server_certificate: bool = True
     url: str | None = None  # set it to reach a database of another kind
-    partitions: int = 32
+    partitions: int = 0  # 0: as many as the rows need
+    rows_per_partition: int = 1_000_000
     fetch_size: int = 10_000
     options: dict[str, str] = field(default_factory=dict, repr=False)
 
     @classmethod
     def from_config(cls, cfg: PipelineConfig, **kwargs) -> JdbcSource:
+        tuning = {
+            "partitions": cfg.jdbc_partitions,
+            "rows_per_partition": cfg.jdbc_rows_per_partition,
+            "fetch_size": cfg.jdbc_fetch_size,
+            "encrypt": cfg.jdbc_encrypt,
+            "options": dict(cfg.jdbc_options),
+        }
         return cls(
             cfg.sql_server_host,
             cfg.sql_database_name,
             cfg.sql_username,
             cfg.sql_password,
-            **kwargs,
+            **(tuning | kwargs),
         )
 
     @property
@@ -63,10 +72,37 @@ class JdbcSource:
         return opts | self.options
 
     def read(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
-        """Snapshot of one bronze table, split over its numeric primary key."""
-        return read_jdbc_table(
-            spark, self, spec.select_sql, key_partitioning(spark, self, spec), alias=spec.name
-        )
+        """Snapshot of one bronze table, split over its numeric primary key.
+
+        The parts are transactions of their own, so rows that change while they
+        run may be seen before or after the change.
+        """
+        return self.read_since(spark, spec, None)
+
+    def read_since(
+        self, spark: SparkSession, spec: TableSpec, mark: datetime | None
+    ) -> DataFrame:
+        """Rows edited at the mark or later, or without a time; all without a mark.
+
+        The mark is part of the database's query, and the split goes by the keys
+        of the rows that are left: edited rows often lie at the top of the range.
+        """
+        where = ""
+        if mark is not None:
+            where = (
+                f" WHERE {spec.edited_column} >= '{mark:%Y-%m-%dT%H:%M:%S.%f}'"
+                f" OR {spec.edited_column} IS NULL"
+            )
+        present = self.present_columns(spark, spec) if spec.optional else spec.columns
+        query = f"SELECT {', '.join(present)} FROM {spec.source_table}{where}"
+        split = key_partitioning(spark, self, spec, where)
+        return read_jdbc_table(spark, self, query, split, alias=spec.name)
+
+    def present_columns(self, spark: SparkSession, spec: TableSpec) -> list[str]:
+        """Columns of the contract, without optional ones that the source lacks."""
+        none = read_jdbc_query(spark, self, f"SELECT * FROM {spec.source_table} WHERE 1 = 0")
+        have = {c.lower() for c in none.columns}
+        return [c for c in spec.columns if c not in spec.optional or c.lower() in have]
 
 
 def read_jdbc_query(spark: SparkSession, source: JdbcSource, query: str) -> DataFrame:
@@ -105,14 +141,16 @@ def read_jdbc_table(
 
 
 def key_partitioning(
-    spark: SparkSession, source: JdbcSource, spec: TableSpec
+    spark: SparkSession, source: JdbcSource, spec: TableSpec, where: str = ""
 ) -> Partitioning | None:
-    """Ranges over the primary key, from one min/max query the database answers.
+    """Ranges over the primary key, from one query that the database answers.
 
-    NULL keys and keys outside the bounds are still read: Spark leaves the first
-    and the last range open. None for an empty table or a key that is no number.
+    It counts the rows that ``where`` leaves, too: without a number of partitions
+    there is one for each ``rows_per_partition`` of them. NULL keys and keys
+    outside the bounds are still read: Spark leaves the first and the last range
+    open. None for an empty table, a key that is no number, or a single range.
     """
-    if source.partitions <= 1 or len(spec.primary_key) != 1:
+    if source.partitions == 1 or len(spec.primary_key) != 1:
         return None
     (key,) = spec.primary_key
     if dict(spec.fields)[key] not in ("int", "bigint"):
@@ -120,8 +158,11 @@ def key_partitioning(
     bounds = read_jdbc_query(
         spark,
         source,
-        f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {spec.source_table}",
+        f"SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {spec.source_table}{where}",
     ).first()
     if bounds[0] is None or bounds[0] == bounds[1]:
         return None
-    return Partitioning(key, int(bounds[0]), int(bounds[1]), source.partitions)
+    parts = source.partitions or -(-int(bounds[2]) // source.rows_per_partition)
+    if parts <= 1:
+        return None
+    return Partitioning(key, int(bounds[0]), int(bounds[1]), parts)

@@ -44,6 +44,7 @@ class TableSpec:
     lineage: str = "standard"
     foreign_keys: tuple[ForeignKey, ...] = ()
     edited_column: str | None = None
+    optional: tuple[str, ...] = ()  # columns that a source may lack
 
     @property
     def fields(self) -> list[tuple[str, str]]:
@@ -191,6 +192,7 @@ STOCK_ITEMS = TableSpec(
     primary_key=("StockItemID",),
     not_null=("StockItemID", "StockItemName"),
     batch_prefix="stock_items",
+    optional=("Photo",),
     edited_column="ValidFrom",
 )
 

@@ -1,8 +1,11 @@
 """Upserts, high-water marks and the streaming append."""
 
+import re
 import shutil
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from bronzeflow.config import RunContext
@@ -46,11 +49,64 @@ def test_upsert_takes_incoming_and_keeps_the_rest(spark):
     assert rows == {(1, 1, "a"), (2, 2, "B2"), (3, 1, "C"), (None, 2, "N")}
 
 
+def test_newest_edit_wins_and_ties_take_incoming(spark):
+    base = edits(spark, [(1, 5, "a"), (2, 5, "b"), (3, None, "c"), (4, 5, "d"), (5, 5, "e")])
+    incoming = edits(
+        spark, [(1, 4, "old"), (2, 5, "tie"), (3, None, "tie"), (4, None, "none"), (5, 4, "x"), (5, 6, "y")]
+    )
+    rows = {tuple(r) for r in incremental.upsert(base, incoming, ["k"], "edited").collect()}
+    assert rows == {(1, 5, "a"), (2, 5, "tie"), (3, None, "tie"), (4, 5, "d"), (5, 6, "y")}
+
+
+@pytest.mark.parametrize("keys_stay", [False, True])
+def test_upsert_reads_touched_partitions_only(spark, target, monkeypatch, keys_stay):
+    spec = replace(SPECS["stock_groups"], partition_by=("StockGroupName",))
+    rows = [{"StockGroupID": i, "StockGroupName": n} for i, n in enumerate("abc")]
+    quoted = {"StockGroupID": 3, "StockGroupName": "it's \\ odd"}
+    write_bronze(seed.table(spark, "stock_groups", [*rows, quoted]), target, spec)
+    plans = []
+    kept = incremental.not_beaten
+
+    def watched(base, *rest):
+        plans.append(base._jdf.queryExecution().executedPlan().toString())
+        return kept(base, *rest)
+
+    monkeypatch.setattr(incremental, "not_beaten", watched)
+    moved = {"StockGroupID": 3, "StockGroupName": "a"}
+    incoming = seed.table(spark, "stock_groups", [rows[1], rows[1] if keys_stay else moved])
+    incremental.upsert_table(spark, target, spec, incoming, "ValidFrom", keys_stay)
+    (filters,) = re.findall(r"PartitionFilters: (\[[^\n]*?\]), Pushed", plans[-1])
+    assert "StockGroupName" in filters
+    back = read_bronze(spark, target, "stock_groups").collect()
+    names = {r.StockGroupID: r.StockGroupName for r in back}
+    assert names == {0: "a", 1: "b", 2: "c", 3: quoted["StockGroupName"] if keys_stay else "a"}
+    assert table_names(spark, target) == {"stock_groups"}
+
+
+def test_a_failed_upsert_leaves_no_side_tables(spark, target):
+    write_bronze(seed.orders(spark), target, ORDERS)
+    failing = seed.orders(spark).withColumn("CustomerID", F.raise_error(F.lit("gone")).cast("int"))
+    with pytest.raises(Exception, match="gone"):
+        incremental.upsert_table(spark, target, ORDERS, failing, "LastEditedWhen")
+    assert table_names(spark, target) == {"orders"}
+    assert read_bronze(spark, target, "orders").count() == 5
+
+
+def test_partition_literals_are_escaped():
+    assert incremental.partition_literal("it's \\ odd") == "'it\\'s \\\\ odd'"
+    assert incremental.partition_literal(None) == "NULL"
+
+
 def test_high_water_mark(spark):
     orders = seed.orders(spark)
     mark = incremental.high_water_mark(orders, "LastEditedWhen")
     assert mark == seed.EDITED
-    assert incremental.newer_than(orders, "LastEditedWhen", mark).count() == 0
+    # Rows at the mark come again, and so do rows without a time.
+    assert incremental.newer_than(orders, "LastEditedWhen", mark).count() == 5
+    later = mark + timedelta(microseconds=1)
+    assert incremental.newer_than(orders, "LastEditedWhen", later).count() == 0
+    unknown = orders.withColumn("LastEditedWhen", F.lit(None).cast("timestamp"))
+    assert incremental.newer_than(unknown, "LastEditedWhen", later).count() == 5
     assert incremental.high_water_mark(orders.where("false"), "LastEditedWhen") is None
     assert incremental.newer_than(orders, "LastEditedWhen", None).count() == 5
 

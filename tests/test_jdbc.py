@@ -1,6 +1,7 @@
 """What is asked of the JDBC reader. No database is started for it."""
 
 import inspect
+from datetime import datetime
 
 from pyspark.sql import DataFrameReader
 
@@ -12,8 +13,9 @@ from bronzeflow.specs import SPECS
 class Reader:
     """Stands in for ``spark.read``: records the calls, answers min/max queries."""
 
-    def __init__(self, bounds=(1, 1000)):
+    def __init__(self, bounds=(1, 1000, 5_000_000), columns=()):
         self.bounds = bounds
+        self.columns = columns
         self.calls = []
         self.current = {}
 
@@ -95,11 +97,13 @@ def test_subquery_read_without_split():
 
 
 def test_table_read_is_split_over_its_key():
-    reader = Reader(bounds=(5, 900))
+    reader = Reader(bounds=(5, 900, 10))
     source = jdbc.JdbcSource.from_config(CFG, partitions=16)
     source.read(reader, SPECS["orders"])
     bounds, read = reader.calls
-    assert bounds["query"] == "SELECT MIN(OrderID) AS lo, MAX(OrderID) AS hi FROM Sales.Orders"
+    assert bounds["query"] == (
+        "SELECT MIN(OrderID) AS lo, MAX(OrderID) AS hi, COUNT(*) AS n FROM Sales.Orders"
+    )
     assert (read["column"], read["lowerBound"], read["upperBound"], read["numPartitions"]) == (
         "OrderID",
         5,
@@ -109,7 +113,7 @@ def test_table_read_is_split_over_its_key():
 
 
 def test_small_or_empty_tables_are_read_at_once():
-    for bounds in ((None, None), (7, 7)):
+    for bounds in ((None, None, 0), (7, 7, 9), (1, 900, 1_000_000)):
         reader = Reader(bounds)
         jdbc.JdbcSource.from_config(CFG).read(reader, SPECS["orders"])
         assert "column" not in reader.calls[-1]
@@ -117,3 +121,46 @@ def test_small_or_empty_tables_are_read_at_once():
     jdbc.JdbcSource.from_config(CFG, partitions=1).read(reader, SPECS["orders"])
     assert len(reader.calls) == 1
 
+
+
+def test_split_follows_the_number_of_rows():
+    reader = Reader(bounds=(5, 900, 4_500_000))
+    jdbc.JdbcSource.from_config(CFG).read(reader, SPECS["orders"])
+    assert reader.calls[-1]["numPartitions"] == 5
+
+
+def test_increment_is_bounded_by_its_own_rows():
+    reader = Reader()
+    jdbc.JdbcSource.from_config(CFG).read_since(
+        reader, SPECS["orders"], datetime(2024, 1, 2, 3, 4, 5, 6)
+    )
+    bounds, read = reader.calls
+    where = (
+        "FROM Sales.Orders WHERE LastEditedWhen >= '2024-01-02T03:04:05.000006'"
+        " OR LastEditedWhen IS NULL"
+    )
+    assert bounds["query"].endswith(where)
+    assert read["dbtable"].endswith(where + ") orders")
+
+
+def test_missing_optional_column_is_not_asked_for():
+    columns = [c for c in SPECS["stock_items"].columns if c != "Photo"]
+    for have, asked in ((columns, False), ([*columns, "photo"], True)):
+        reader = Reader(columns=have)
+        jdbc.JdbcSource.from_config(CFG).read(reader, SPECS["stock_items"])
+        assert ("Photo" in reader.calls[-1]["dbtable"]) == asked
+
+
+def test_tuning_comes_from_the_parameters():
+    cfg = PipelineConfig.from_mapping(
+        {
+            "jdbc_partitions": 3,
+            "jdbc_fetch_size": "50",
+            "jdbc_encrypt": False,
+            "jdbc_options": {"queryTimeout": "9"},
+        }
+    )
+    source = jdbc.JdbcSource.from_config(cfg)
+    assert (source.partitions, "encrypt=false" in source.jdbc_url) == (3, True)
+    assert source.connection_options["fetchsize"] == "50"
+    assert source.connection_options["queryTimeout"] == "9"

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from bronzeflow.config import PipelineConfig, RunContext, Target
-from bronzeflow.plans import job, reports
-from bronzeflow.session import scratch_path, shared_folder
+from bronzeflow.plans import job, layers, reports
+from bronzeflow.session import job_session, runs_on_one_machine, scratch_path, shared_folder
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.specs import SPECS
 from tests import seed
@@ -43,7 +43,7 @@ def test_run_loads_and_reports(spark, cfg):
         ("Freight", 2),
     ]
     assert [r.CustomerID for r in result.reports["customers_sample"]] == [1, 2, 3, 4, 5]
-    assert [r[0] for r in result.reports["group_names"]] == ["Freight", "Wrap"]
+    assert [r.names for r in result.reports["group_names"]] == [2]
     for name, spec in SPECS.items():
         table = read_bronze(spark, cfg.target, name)
         assert table.count() == result.metrics[name]["total"]
@@ -138,18 +138,17 @@ def test_increment_brings_over_later_edits(spark, cfg):
         job.load_increment(spark, Later(), cfg.target, SPECS["orders"], later)
         rows = read_bronze(spark, cfg.target, "orders").collect()
         assert {(r.OrderID, r.OrderDate.day, r._batch_id[-15:]) for r in rows} == {
-            (1, 15, "20240120_020000"),
+            (1, 30, "20240121_020000"),  # edited at the mark itself
             (2, 25, "20240121_020000"),
-            (3, 17, "20240120_020000"),
-            (4, 18, "20240120_020000"),
-            (5, 19, "20240120_020000"),
+            (3, 17, "20240121_020000"),
+            (4, 18, "20240121_020000"),
+            (5, 19, "20240121_020000"),
             (6, 16, "20240121_020000"),
         }
         assert len(rows) == 6
 
 
-def test_staged_run_keeps_old_rows_when_a_source_fails(spark, cfg):
-    cfg = replace(cfg, staged_writes=True)
+def test_run_keeps_old_rows_when_a_source_fails(spark, cfg):
     job.run_bronze(spark, cfg, seed.SeedSource(), RUN)
 
     class Failing(seed.SeedSource):
@@ -172,6 +171,63 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_all_group_names_count(spark, cfg):
+    names = [{"StockGroupID": i, "StockGroupName": f"g{i}"} for i in range(30)]
+
+    class Many(seed.SeedSource):
+        def read(self, spark, spec):
+            if spec.name == "stock_groups":
+                return seed.table(spark, "stock_groups", names)
+            return super().read(spark, spec)
+
+    result = job.run_bronze(spark, replace(cfg, sample_size=2), Many(), RUN)
+    assert [r.names for r in result.reports["group_names"]] == [30]
+    assert len(result.reports["customers_sample"]) == 2
+
+
+def test_source_may_lack_an_optional_column(spark, cfg):
+    class NoPhoto(seed.SeedSource):
+        def read(self, spark, spec):
+            return super().read(spark, spec).drop("Photo")
+
+    job.run_bronze(spark, cfg, NoPhoto(), RUN)
+    back = read_bronze(spark, cfg.target, "stock_items")
+    assert dict(back.dtypes)["Photo"] == "binary" and back.count() > 0
+
+
+def test_job_session_is_as_the_caller_has_it(spark, target):
+    caller = spark.newSession()
+    caller.conf.set("spark.sql.ansi.enabled", "false")
+    caller.conf.set("spark.sql.autoBroadcastJoinThreshold", "12345")
+    caller.catalog.setCurrentDatabase(target.schema)
+    session = job_session(caller, **{"spark.sql.shuffle.partitions": "3"})
+    assert session.conf.get("spark.sql.ansi.enabled") == "false"
+    assert session.conf.get("spark.sql.autoBroadcastJoinThreshold") == "12345"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert session.catalog.currentDatabase() == target.schema
+    assert session.catalog.currentCatalog() == caller.catalog.currentCatalog()
+
+
+@pytest.mark.parametrize(
+    ("master", "alone"),
+    [("local", True), ("local[*]", True), ("local-cluster[2,1,1024]", False), ("yarn", False)],
+)
+def test_only_one_machine_may_use_a_folder_of_its_own(master, alone):
+    assert runs_on_one_machine(master) == alone
+
+
+def test_silver_needs_the_edit_time(spark):
+    with pytest.raises(ValueError, match="LastEditedWhen"):
+        layers.silver(seed.orders(spark).drop("LastEditedWhen"), SPECS["orders"])
+
+
+def test_parameters_have_the_types_of_their_defaults():
+    cfg = PipelineConfig.from_mapping({"jdbc_partitions": "7", "staged_writes": "false"})
+    assert (cfg.jdbc_partitions, cfg.staged_writes) == (7, False)
+    with pytest.raises(ValueError, match="true or false"):
+        PipelineConfig.from_mapping({"jdbc_encrypt": "maybe"})
+
+
 def test_parameters():
     cfg = PipelineConfig.from_mapping({"schema_name": "landing"})
     assert cfg.target == Target("landing", "spark_catalog")

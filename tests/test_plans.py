@@ -11,6 +11,9 @@ WRITES = {
     "bronze_roundtrip_orders",
     "verify_load",
     "append_if_empty",
+    "append_if_empty_orders",
+    "incremental_load",
+    "schema_evolution",
     "bronze_run",
     "upsert_partitioned_table",
     "stream_events",
