@@ -39,7 +39,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Pinned, so that both sides of a comparison see the same run.
 RUN = RunContext(datetime(2024, 1, 20, 2, 0, 0, tzinfo=timezone.utc), "sales_source")
 YEARLY_ORDERS = replace(
-    ORDERS, ddl=f"{ORDERS.ddl}\n        OrderYear int", partition_by=("OrderYear",)
+    ORDERS, ddl=f"{ORDERS.ddl.rstrip()}\n        OrderYear int", partition_by=("OrderYear",)
 )
 
 ROW_COUNT_TABLES = ("customers", "suppliers", "stock_items", "orders", "order_lines")
