@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bronzeflow.llm.common import free_name, partitions, scratch, whole_text
-from bronzeflow.llm.repeats import Windows, anchors, contexts, keyed, release
+from bronzeflow.llm.common import free_name, partitions, release, scratch, whole_text
+from bronzeflow.llm.repeats import Windows, anchors, contexts, keyed
 
 WINDOW, GRAM = 13, 5
 CROWDED = 2000

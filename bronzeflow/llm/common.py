@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +56,13 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of the steps that are done.
+
+    It does so when the driver's garbage is collected, which a driver with little
+    to do may put off for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

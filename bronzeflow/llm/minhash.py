@@ -18,12 +18,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bronzeflow.llm.common import free_name, scratch, whole_text
+from bronzeflow.llm.common import free_name, release, scratch, whole_text
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -200,7 +201,10 @@ def _named(
     # A text's key stands for it from here on: ids may be shared by several.
     members = texts.select("text_key", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = scratch(members.join(shared.select("band"), "band"), "minhash-members")
+    met = F.sum("n").over(Window.partitionBy("text_key")).alias("crowd")
+    members = scratch(
+        members.join(shared, "band").select("band", "text_key", met), "minhash-members"
+    )
     involved = members.select("text_key").distinct()
     keyed = docs.select(whole_text(text_col).alias("text")).withColumn(
         "text_key", _key(F.col("text"))
@@ -211,6 +215,7 @@ def _named(
     bodies = scratch(
         bodies.mapInArrow(_shingler(), "text_key binary, shingles binary"), "minhash-shingles"
     )
+    release(docs.sparkSession)
     classes = _merge(members, bodies, similarity)
     named = (
         texts.join(classes, "text_key", "left")
@@ -238,28 +243,32 @@ def _merge(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFram
     """``(text_key, root)`` of the texts that have a link.
 
     In a bucket the class with most members is its core. Every round some texts
-    outside the core are pivots, twice as many as in the round before, and are
-    compared with the texts of all other classes. Texts that were pivots have met
-    everything, and a bucket is done when all outside its core were. So every
+    outside the core are pivots, eight times as many as in the round before: first
+    the one that meets most others in all its buckets, which of near copies is
+    likely their original. They are compared with the texts of all other classes. Texts that were pivots have
+    met everything, and a bucket is done when all outside its core were. So every
     pair of different classes that shares a band has been compared, while a
     group of near copies, of any size, is mostly joined by its first pivot.
     """
-    state = scratch(
-        members.select("band", "text_key", F.col("text_key").alias("root"), F.lit(False).alias("used")),
-        "minhash-state",
+    spark = members.sparkSession
+    state = members.select(
+        "band", "text_key", "crowd", F.col("text_key").alias("root"), F.lit(False).alias("used")
     )
-    links, n = None, 0
+    maps: list[DataFrame] = []
+    n = 0
     while True:
+        waiting = state.where("NOT used")
         sizes = state.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
         cores = sizes.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("core"))
-        outside = state.where("NOT used").join(cores, "band").where("root != core")
+        outside = waiting.join(cores, "band").where("root != core")
         left = outside.groupBy("band").agg(
             F.count(F.lit(1)).alias("left"),
-            F.min(F.struct(_turn(n).alias("turn"), F.col("text_key").alias("key"))).alias("first"),
+            F.max(F.struct("crowd", _turn(n), F.col("text_key").alias("key"))).alias("first"),
         )
+        # So many besides the first, by chance; at most a few hundred a round.
         chance = (_turn(n).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)) * F.col("left")
         chosen = outside.join(left, "band").where(
-            (F.col("text_key") == F.col("first.key")) | (chance < 2**n - 1)
+            (F.col("text_key") == F.col("first.key")) | (chance < min(8**n, 512) - 1)
         )
         pivots = scratch(
             chosen.select("band", F.col("text_key").alias("pivot"), F.col("root").alias("pivot_root")),
@@ -267,28 +276,30 @@ def _merge(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFram
         )
         if pivots.isEmpty():
             break
-        met = state.where("NOT used").join(pivots, "band").where("root != pivot_root")
-        pairs = met.select(
-            F.least("text_key", "pivot").alias("a"), F.greatest("text_key", "pivot").alias("b")
-        ).distinct()
-        found = scratch(_linked(pairs, bodies, similarity), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-        was = pivots.select("band", F.col("pivot").alias("text_key"), F.lit(True).alias("now"))
-        open_bands = pivots.select("band").distinct()  # the others are done
-        state = scratch(
-            state.join(open_bands, "band", "left_semi")
-            .join(was, ["band", "text_key"], "left")
-            .withColumn("used", F.col("used") | F.coalesce("now", F.lit(False)))
-            .select("band", "text_key", "used")
-            .join(roots, "text_key", "left")
-            .select("band", "text_key", F.coalesce("root", "text_key").alias("root"), "used"),
-            "minhash-state",
+        links = _compared(waiting, pivots, bodies, similarity)
+        new = components(scratch(links.distinct(), "minhash-links"))
+        release(spark)
+        of_band = pivots.groupBy("band").agg(F.collect_set("pivot").alias("pivots"))
+        state = state.join(of_band, "band").select(  # the other buckets are done
+            "band",
+            "text_key",
+            "crowd",
+            "root",
+            (F.col("used") | F.array_contains("pivots", F.col("text_key"))).alias("used"),
         )
+        state = scratch(_renamed(state, new), "minhash-state")
+        maps += new
         n += 1
-    if links is None:
-        return members.select("text_key", F.col("text_key").alias("root")).limit(0)
-    return roots
+    texts = members.select("text_key", F.col("text_key").alias("root")).distinct()
+    return _renamed(texts, maps)
+
+
+def _renamed(df: DataFrame, maps: list[DataFrame]) -> DataFrame:
+    """``df`` with its roots led through the maps ``(key, to)``, one after another."""
+    for step in maps:
+        known = step.withColumnRenamed("key", "root")
+        df = df.join(known, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
+    return df
 
 
 def _turn(n: int) -> Column:
@@ -296,11 +307,67 @@ def _turn(n: int) -> Column:
     return F.xxhash64("text_key", F.lit(n))
 
 
+#: Texts of a bucket from which it is compared in tiles, and texts of a tile.
+LARGE, TILE = 64, 512
+
+
+def _compared(
+    waiting: DataFrame, pivots: DataFrame, bodies: DataFrame, similarity: float
+) -> DataFrame:
+    """``(root, pivot_root)`` of the pairs of text and pivot that are similar enough.
+
+    In a small bucket each pair meets by itself. The texts of a large one are
+    dealt into tiles, to each of which all pivots go, so that a set is moved once
+    per tile and not once per pair.
+    """
+    sizes = waiting.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    sized = pivots.join(sizes, "band")
+    met = waiting.join(sized.where(f"n <= {LARGE}"), "band").where("root != pivot_root")
+    pairs = met.select(F.col("text_key").alias("a"), F.col("pivot").alias("b"), "root", "pivot_root")
+    small = _linked(pairs.distinct(), bodies, similarity)
+
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    open_ = sized.where(f"n > {LARGE}").select("band", tiles.alias("tiles")).distinct()
+    texts = waiting.join(open_, "band").select(
+        "band", F.pmod(F.xxhash64("text_key"), F.col("tiles")).cast("int").alias("tile"), "text_key", "root"
+    )
+    heads = sized.where(f"n > {LARGE}").select(
+        "band",
+        F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"),
+        F.col("pivot").alias("text_key"),
+        "pivot_root",
+    )
+    # New names, since both sides of the grouping come from one table.
+    sides = [
+        df.join(bodies.select("text_key", F.col("shingles").alias(f"{side}_set")), "text_key")
+        .select(*[F.col(c).alias(c) for c in ("band", "tile", root)], f"{side}_set")
+        .groupBy("band", "tile")
+        for df, side, root in ((texts, "text", "root"), (heads, "pivot", "pivot_root"))
+    ]
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in left["text_set"]]
+        sizes = np.array([len(x) for x in sets], dtype=np.int64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        every = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
+        roots, found = left["root"].to_numpy(), set()
+        for blob, root in zip(right["pivot_set"], right["pivot_root"]):
+            own = np.frombuffer(blob, dtype=np.uint64)
+            at = np.minimum(np.searchsorted(own, every), max(len(own) - 1, 0))
+            common = np.bincount(owner[own[at] == every], minlength=len(sets))
+            near = common >= similarity * (sizes + len(own) - common) - 1e-9
+            found |= {(r, root) for r in roots[near & (common > 0)] if r != root}
+        return pd.DataFrame(sorted(found), columns=["root", "pivot_root"])
+
+    schema = "root binary, pivot_root binary"
+    return small.unionByName(sides[0].cogroup(sides[1]).applyInPandas(compare, schema))
+
+
 def _linked(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets are similar enough."""
+    """``(root, pivot_root)`` of the pairs whose shingle sets are similar enough."""
     left = bodies.withColumnsRenamed({"text_key": "a", "shingles": "left"})
     right = bodies.withColumnsRenamed({"text_key": "b", "shingles": "right"})
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    both = pairs.join(left, "a").join(right, "b").select("root", "pivot_root", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,44 +380,31 @@ def _linked(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame
                 keep.append(common > 0 and common >= similarity * (len(x) + len(y) - common) - 1e-9)
             yield batch.filter(pa.array(keep)).select([0, 1])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "root binary, pivot_root binary")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``(text_key, root)``: the smallest key of the component of each end of a link.
+def components(links: DataFrame) -> list[DataFrame]:
+    """Maps ``(key, to)`` that lead, one after another, each end of a link to its component.
 
-    Every round a node takes the smallest root among its neighbours, then the
-    root of its root, so paths shorten by halves; written out between rounds.
+    Every round each node goes to the smallest of itself and its neighbours, and
+    the links are drawn anew between where their ends went. A star is one point
+    after two rounds, and what is left shrinks by a factor each time.
     """
-    edges = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = scratch(edges.distinct(), "minhash-edges")
-    roots = scratch(
-        edges.groupBy(F.col("a").alias("text_key")).agg(F.least(F.min("b"), F.col("a")).alias("root")),
-        "minhash-roots",
-    )
-    while True:
-        offers = (
-            edges.join(roots, F.col("b") == F.col("text_key"))
-            .groupBy("a")
-            .agg(F.min("root").alias("offer"))
-        )
-        heard = roots.join(offers, F.col("text_key") == F.col("a"))
-        # The old root hears of the offer too: what hangs on it follows.
-        named = heard.select("text_key", F.least("root", "offer").alias("root")).unionByName(
-            heard.select(F.col("root").alias("text_key"), F.least("root", "offer").alias("root"))
-        )
-        best = scratch(named.groupBy("text_key").agg(F.min("root").alias("root")), "minhash-roots")
-        above = best.withColumnsRenamed({"text_key": "key", "root": "next"})
-        before = roots.withColumnsRenamed({"text_key": "was_key", "root": "was"})
-        new = scratch(
-            best.join(above, F.col("root") == F.col("key"))
-            .join(before, F.col("text_key") == F.col("was_key"))
-            .select("text_key", F.least("root", "next").alias("root"), "was"),
-            "minhash-roots",
+    maps = []
+    links = links.toDF("a", "b")
+    while not links.isEmpty():
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("to"))
+        least = least.where("to < key")
+        maps.append(scratch(least, "minhash-map"))
+        ends = maps[-1]
+        moved = (
+            links.join(ends.toDF("a", "x"), "a", "left")
+            .join(ends.toDF("b", "y"), "b", "left")
+            .select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
         )
-        if new.where("root != was").isEmpty():
-            return new.drop("was")
-        roots = new.drop("was")
+        links = scratch(moved.where("a != b").distinct(), "minhash-moved")
+    return maps
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: float) -> DataFrame:
