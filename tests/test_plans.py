@@ -84,13 +84,32 @@ def test_lines_fold_before_the_join(spark):
         assert any("partial_sum" in line for line in above[first_exchange:])
 
 
-@pytest.mark.parametrize("name", ["orphan_orders", "incremental_upsert", "category_distribution"])
+def joins_that_cannot_be_split(text):
+    """Sort-merge joins with a side that is no plain shuffle: a skew join needs two."""
+    lines = text.splitlines()
+    nodes = [re.sub(r"^[\s:+\-]*", "", line).split("(")[0].split(" ")[0] for line in lines]
+    depth = [len(re.match(r"^[\s:+\-]*", line).group()) for line in lines]
+    bad = 0
+    for i in [i for i, node in enumerate(nodes) if node == "SortMergeJoin"]:
+        sides = [j for j in range(i + 1, len(nodes)) if depth[j] == depth[i] + 3]
+        end = next((j for j in range(i + 1, len(nodes)) if depth[j] <= depth[i]), len(nodes))
+        sides = [j for j in sides if j < end][:2]
+        bad += [nodes[j] + nodes[j + 1] for j in sides] != ["SortExchange"] * 2
+    return bad
+
+
+#: Joins with an aggregated side, whose keys are unique there: the other side may
+#: be uneven only if a declared key repeats.
+ACCEPTED = {
+    "customer_order_summary": 2,
+    "customer_order_summary_sorted": 2,
+    "gold_daily_sales": 1,
+    "gold_category_revenue": 2,
+}
+
+
+@pytest.mark.parametrize("name", READS)
 def test_large_joins_can_be_split_at_run_time(spark, name):
-    """Past the broadcast size, both sides are plain shuffles: what a skew join needs."""
     session = spark.newSession()
     session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    lines = plan(QUERIES[name](session, SF_DIR)).splitlines()
-    nodes = [re.sub(r"^[\s:+\-]*", "", line).split("(")[0].split(" ")[0] for line in lines]
-    (join,) = [i for i, node in enumerate(nodes) if node == "SortMergeJoin"]
-    sorts = [i for i in range(join, len(nodes)) if nodes[i] == "Sort"][:2]
-    assert [nodes[i + 1] for i in sorts] == ["Exchange", "Exchange"]
+    assert joins_that_cannot_be_split(plan(QUERIES[name](session, SF_DIR))) == ACCEPTED.get(name, 0)
