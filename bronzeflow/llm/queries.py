@@ -135,4 +135,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_minhash": op10_minhash,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: Windows of 13 words and their smallest document, by comparing all of them.
+SUBSTRING_SQL = r"""WITH texts AS (SELECT doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (SELECT doc_id, i, list_slice(ws, i, i + 12) AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM texts)),
+    firsts AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
+    held AS (SELECT w.doc_id, w.i FROM windows w JOIN firsts f ON w.g = f.g WHERE f.m < w.doc_id),
+    gone AS (SELECT DISTINCT doc_id, i + k AS j
+    FROM (SELECT doc_id, i, unnest(range(13)) AS k FROM held)),
+    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM texts),
+    marked AS (SELECT w.*, g.j IS NOT NULL AS out FROM words w
+    LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.j = g.j),
+    kept AS (SELECT doc_id, count(*) FILTER (WHERE out) AS n_removed,
+    string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT out) AS kept FROM marked GROUP BY doc_id)
+    SELECT t.doc_id, CAST(len(t.ws) AS BIGINT) AS n_words,
+    CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(k.kept, '')) AS kept_sha256 FROM texts t LEFT JOIN kept k USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op7_substring_dedup": SUBSTRING_SQL}
