@@ -26,7 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bronzeflow.llm.common import free_name, partitions, release, scratch, whole_text
-from bronzeflow.llm.repeats import Windows, anchors, contexts, keyed
+from bronzeflow.llm.repeats import (
+    Windows,
+    anchors,
+    bodies,
+    contexts_of,
+    keyed,
+    window_hashes,
+    with_texts,
+)
 
 WINDOW, GRAM = 13, 5
 CROWDED = 2000
@@ -139,10 +147,10 @@ def held_before(
     )
     grams = scratch(grams, "automata-grams")
     release(spark)
-    shared = anchors(texts, spec).select("gram", "key", "pos", "context").join(grams, "gram")
+    shared = anchors(texts, spec).join(grams, "gram")
     shared = scratch(
         shared.groupBy("gram", "key", "pos", "context", "n", "mixed", "owner").agg(
-            F.count(F.lit(1)).alias("copies")
+            F.count(F.lit(1)).alias("copies"), F.min("doc").alias("doc")
         ),
         "automata-places",
     )
@@ -150,25 +158,24 @@ def held_before(
     same = shared.where("NOT mixed").select(
         "key", "pos", F.lit(None).cast("int").alias("back"), "owner"
     )
-    few = shared.where(f"mixed AND n < {crowded}")
-    many = shared.where(f"mixed AND n >= {crowded}")
-    found = _by_automata(texts, few, spec).unionByName(_by_hash(texts, many, spec))
+    differing = shared.where("mixed").select(
+        "gram", "key", "pos", "context", "copies", "doc", (F.col("n") >= crowded).alias("crowded")
+    )
+    chosen = scratch(contexts_of(differing), "automata-contexts")
+    placed = with_texts(texts, chosen)
+    found = _by_automata(placed, spec).unionByName(_by_hash(placed, spec))
     found = scratch(found, "automata-found")
     release(spark)
-    placed = shared.where("mixed").select("key", "pos", "context").join(found, "context")
-    return same.unionByName(placed.select("key", "pos", "back", "owner"))
+    by_context = differing.select("key", "pos", "context").join(found, "context")
+    return same.unionByName(by_context.select("key", "pos", "back", "owner"))
 
 
-def _by_automata(texts: DataFrame, places: DataFrame, spec: Windows) -> DataFrame:
+def _by_automata(placed: DataFrame, spec: Windows) -> DataFrame:
     """``(context, back, owner)`` of all windows of the contexts."""
-    reference = (
-        contexts(texts, places, spec)
-        .groupBy("gram", "context", "left", "body")
-        .agg(F.min("doc").alias("doc"))
-    )
-    dealt = reference.repartition(partitions(texts.sparkSession), "gram").sortWithinPartitions("gram")
+    reference = bodies(placed, spec).select("gram", "context", "left", "body", "doc")
+    dealt = reference.repartition(partitions(placed.sparkSession), "gram")
     schema = "context long, back int, owner long"
-    return dealt.select("gram", "context", "left", "body", "doc").mapInArrow(_streamed(spec), schema)
+    return dealt.sortWithinPartitions("gram").mapInArrow(_streamed(spec), schema)
 
 
 def _streamed(spec: Windows):
@@ -205,14 +212,11 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
-def _by_hash(texts: DataFrame, places: DataFrame, spec: Windows) -> DataFrame:
-    windows = contexts(texts, places, spec, with_windows=True).select(
+def _by_hash(placed: DataFrame, spec: Windows) -> DataFrame:
+    windows = window_hashes(placed, spec).select(
         "context", "doc", F.posexplode("windows").alias("back", "window")
     )
-    windows = windows.where("window IS NOT NULL").groupBy("context", "back", "window").agg(
-        F.min("doc").alias("doc")
-    )
-    windows = scratch(windows, "automata-windows")
+    windows = windows.where("window IS NOT NULL")
     # One context may stand in many documents, so even a single one has an owner to tell.
     owners = windows.groupBy("window").agg(F.min("doc").alias("owner"))
     return windows.join(owners, "window").select("context", "back", "owner")

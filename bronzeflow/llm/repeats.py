@@ -13,7 +13,7 @@ named by a 64-bit hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -181,57 +181,92 @@ def keyed(docs: DataFrame, text_col: str, doc: Column) -> DataFrame:
     return docs.select(F.xxhash64(text).alias("key"), doc.alias("doc"), text.alias("text"))
 
 
-def contexts(
-    texts: DataFrame, places: DataFrame, spec: Windows, with_windows: bool = False
-) -> DataFrame:
-    """``(gram, context, doc, left, body)`` of places ``(key, pos, gram, context)``.
+def contexts_of(places: DataFrame) -> DataFrame:
+    """One place of each context: ``(key, pos, context, gram, crowded, count, doc)``.
 
-    ``body`` holds the symbols of the context: bytes, or words joined by a space.
-    ``with_windows`` gives, in its place, the hashes of its windows: for the k-th
-    the window that starts k symbols before the anchor, null if there is none.
+    ``places`` is ``(gram, key, pos, context, crowded, copies, doc)``. The count is
+    that of all places and copies of the texts, the document the smallest; so a
+    context is fetched and compared once, however many texts have it.
     """
-    # One copy of each text, that of the smallest document, before anything meets by key.
-    once = texts.groupBy("key").agg(F.min("doc").alias("doc"), F.first("text").alias("text"))
-    per_text = places.groupBy("key").agg(
-        F.collect_list(F.struct("pos", "gram", "context")).alias("places")
-    )
-    joined = once.join(per_text, "key").select(
-        "doc", "text", "places.pos", "places.gram", "places.context"
+    return places.groupBy("context").agg(
+        F.min(F.struct("key", "pos", "gram", "crowded")).alias("place"),
+        F.sum("copies").alias("count"),
+        F.min("doc").alias("doc"),
+    ).select("place.*", "context", "count", "doc")
+
+
+def with_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The texts of the places, each text once with its arrays of places."""
+    per_text = chosen.groupBy("key").agg(
+        F.collect_list(F.struct("pos", "gram", "context", "crowded", "count", "doc")).alias("p")
     )
-    last = "windows array<long>" if with_windows else "body binary"
+    # One copy of each text before anything meets by key.
+    once = texts.groupBy("key").agg(F.first("text").alias("text"))
+    return once.join(per_text, "key").select("text", "p")
+
+
+def bodies(placed: DataFrame, spec: Windows) -> DataFrame:
+    """``(gram, context, count, doc, left, body)`` of the places that are not crowded.
+
+    ``body`` holds the symbols of the context: bytes, or words joined by a space.
+    """
+
+    def cut(text: bytes, at, left, right) -> pa.Array:
+        symbols = text.split() if spec.words else text
+        found = [symbols[p - a : p + b] for p, a, b in zip(at.tolist(), left.tolist(), right.tolist())]
+        return pa.array([b" ".join(c) for c in found] if spec.words else found, pa.binary())
+
+    return _around(placed, spec, False, "body binary", lambda _, *place: cut(*place))
+
+
+def window_hashes(placed: DataFrame, spec: Windows) -> DataFrame:
+    """``(gram, context, count, doc, left, windows)`` of the crowded places.
+
+    ``windows`` holds hashes: the k-th is that of the window that starts k symbols
+    before the anchor, null if there is none.
+    """
+
+    def hashed(hashes: WordHashes, text: bytes, at, left, right) -> pa.Array:
+        symbols = spec.symbols(text, hashes)
+        sums = Sums(symbols)
+        back = np.arange(spec.before + 1)
+        there = (back <= left[:, None]) & (back >= spec.length - right[:, None])
+        start = np.where(there, at[:, None] - back, 0)
+        value = sums.of(start, np.minimum(start + spec.length, len(symbols))).view(np.int64)
+        flat = pa.array(value.ravel(), mask=~there.ravel())
+        offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(back))
+        return pa.ListArray.from_arrays(offsets, flat)
+
+    return _around(placed, spec, True, "windows array<long>", hashed)
+
+
+def _around(placed: DataFrame, spec: Windows, crowded: bool, last: str, make: Callable) -> DataFrame:
+    names = ["gram", "context", "count", "doc", "left", last.split()[0]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for i in range(batch.num_rows):
-                doc = batch.column(0)[i].as_py()
-                text = batch.column(1)[i].as_py().encode()
-                at, gram, context = (np.asarray(batch.column(c)[i].values) for c in (2, 3, 4))
-                words = text.split() if spec.words else text
-                size = len(words)
+                place = batch.column(1)[i].values
+                value = lambda n: np.asarray(place.field(n))  # noqa: B023, E731
+                own = np.flatnonzero(np.asarray(place.field("crowded").cast(pa.int8())) == crowded)
+                if not own.size:
+                    continue
+                text = batch.column(0)[i].as_py().encode()
+                size = len(text.split()) if spec.words else len(text)
+                at = value("pos")[own].astype(np.int64)
                 left = np.minimum(spec.before, at)
                 right = np.minimum(spec.length, size - at)
-                if with_windows:
-                    tail = _window_hashes(spec.symbols(text, hashes), at, left, right, spec)
-                else:
-                    cut = [words[p - a : p + b] for p, a, b in zip(at.tolist(), left.tolist(), right.tolist())]
-                    tail = pa.array([b" ".join(c) for c in cut] if spec.words else cut, pa.binary())
-                columns = [gram, context, np.full(len(at), doc), left.astype(np.int32)]
+                columns = [value(n)[own] for n in ("gram", "context", "count", "doc")]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c) for c in columns], tail],
-                    ["gram", "context", "doc", "left", last.split()[0]],
+                    [
+                        *[pa.array(c) for c in columns],
+                        pa.array(left.astype(np.int32)),
+                        make(hashes, text, at, left, right),
+                    ],
+                    names,
                 )
 
-    return joined.mapInArrow(run, f"gram long, context long, doc long, left int, {last}")
-
-
-def _window_hashes(symbols, at, left, right, spec: Windows) -> pa.Array:
-    sums = Sums(symbols)
-    back = np.arange(spec.before + 1)
-    start = at[:, None] - back
-    there = (back <= left[:, None]) & (back >= spec.length - right[:, None])
-    safe = np.where(there, start, 0)
-    value = sums.of(safe, np.minimum(safe + spec.length, len(symbols))).view(np.int64)
-    flat = pa.array(value.ravel(), mask=~there.ravel())
-    offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(back))
-    return pa.ListArray.from_arrays(offsets, flat)
+    return placed.mapInArrow(
+        run, f"gram long, context long, count long, doc long, left int, {last}"
+    )

@@ -24,7 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bronzeflow.llm.common import free_name, partitions, release, scratch, whole_text
-from bronzeflow.llm.repeats import Windows, anchors, contexts, keyed
+from bronzeflow.llm.repeats import (
+    Windows,
+    anchors,
+    bodies,
+    contexts_of,
+    keyed,
+    window_hashes,
+    with_texts,
+)
 
 WINDOW, GRAM = 200, 40
 #: Places of a gram from which its windows are compared one by one.
@@ -69,43 +77,33 @@ def repeated_spans(
     same = shared.where("NOT mixed").select(
         "key", "pos", F.lit(0).alias("low"), F.lit(spec.before).alias("high")
     )
-    few = shared.where(f"mixed AND n < {crowded}")
-    many = shared.where(f"mixed AND n >= {crowded}")
-    # A context counts once for each place, and for each copy of the text.
-    counts = shared.where("mixed").groupBy("context").agg(F.sum("copies").alias("count"))
-    counts = scratch(counts, "suffixes-counts")
-    sorted_ = _by_sorting(texts, few, counts, spec)
-    crowd = _by_hash(texts, many, counts, spec)
-    found = scratch(sorted_.unionByName(crowd), "suffixes-found")
+    differing = shared.where("mixed").select(
+        "gram", "key", "pos", "context", "copies",
+        (F.col("n") >= crowded).alias("crowded"), F.lit(0).cast("long").alias("doc"),
+    )
+    chosen = scratch(contexts_of(differing), "suffixes-contexts")
+    placed = with_texts(texts, chosen)
+    found = scratch(_by_sorting(placed, spec).unionByName(_by_hash(placed, spec)), "suffixes-found")
     release(spark)
-    placed = shared.where("mixed").join(found, "context").select("key", "pos", "low", "high")
-    return same.unionByName(placed)
+    by_context = differing.join(found, "context").select("key", "pos", "low", "high")
+    return same.unionByName(by_context)
 
 
-def _by_sorting(texts: DataFrame, places: DataFrame, counts: DataFrame, spec: Windows) -> DataFrame:
+def _by_sorting(placed: DataFrame, spec: Windows) -> DataFrame:
     """``(context, low, high)`` from sorted buckets."""
-    bodies = contexts(texts, places, spec).groupBy("context", "left", "body").agg(
-        F.count(F.lit(1)).alias("_")
-    )
-    counted = bodies.drop("_").join(counts, "context")
     lead = F.expr(f"substring(body, left + 1, {spec.gram})")
-    dealt = counted.withColumn("lead", lead).repartitionByRange(
-        partitions(texts.sparkSession), "lead"
-    )
+    dealt = bodies(placed, spec).select("context", "left", "body", "count", lead.alias("lead"))
+    dealt = dealt.repartitionByRange(partitions(placed.sparkSession), "lead")
     schema = "context long, low int, high int"
     return dealt.select("context", "left", "body", "count").mapInArrow(_bucket(spec), schema)
 
 
-def _by_hash(texts: DataFrame, places: DataFrame, counts: DataFrame, spec: Windows) -> DataFrame:
+def _by_hash(placed: DataFrame, spec: Windows) -> DataFrame:
     windows = (
-        contexts(texts, places, spec, with_windows=True)
-        .select("context", "windows")
-        .dropDuplicates(["context"])
-        .join(counts, "context")
+        window_hashes(placed, spec)
         .select("context", "count", F.posexplode("windows").alias("back", "window"))
         .where("window IS NOT NULL")
     )
-    windows = scratch(windows, "suffixes-windows")
     # By distance too: one window of one place belongs to several anchors.
     same = ["window", "back"]
     twice = windows.groupBy(*same).agg(F.sum("count").alias("n")).where("n > 1")
