@@ -128,6 +128,43 @@ INVENTORY_VALUE = "CAST(sum(QuantityOnHand * LastCostPrice) AS DECIMAL(38,2)) AS
 
 PRICED = """CAST(CAST(o_totalprice AS DECIMAL(18,2)) + {markup} AS DECIMAL(18,2)) AS TotalPrice"""
 
+# Metrics of the whole run, per bronze table.
+METRICS = {
+    "customers": {"null_names": count_if("CustomerName IS NULL")},
+    "orders": {"null_order_id": count_if("OrderID IS NULL")},
+    "order_lines": {
+        "null_order_line_id": count_if("OrderLineID IS NULL"),
+        "null_order_id": count_if("OrderID IS NULL"),
+        "total_quantity": "sum(Quantity)",
+        "avg_unit_price": avg("UnitPrice", 2),
+    },
+    "stock_items": {
+        "null_stock_item_id": count_if("StockItemID IS NULL"),
+        "null_name": count_if("StockItemName IS NULL"),
+        "price_not_positive": count_if("UnitPrice <= 0"),
+        "avg_unit_price": avg("UnitPrice", 4),
+        "max_unit_price": "max(UnitPrice)",
+        "chiller_items": count_if("IsChillerStock"),
+    },
+    "stock_item_holdings": {
+        "negative_stock": count_if("QuantityOnHand < 0"),
+        "zero_stock": count_if("QuantityOnHand = 0"),
+        "below_reorder": count_if("QuantityOnHand < ReorderLevel"),
+        "inventory_value": "CAST(sum(QuantityOnHand * LastCostPrice) AS DECIMAL(38,2))",
+    },
+    "stock_groups": {},
+    "stock_item_stock_groups": {},
+}
+METRICS = {
+    t: {"total": "count(*)", "read_back": "count(*)"} | own for t, own in METRICS.items()
+}
+
+
+def metric(table: str, name: str, expression: str) -> str:
+    return f"""SELECT '{table}' AS "table", '{name}' AS metric,
+        CAST({expression} AS DOUBLE) AS value FROM b_{table}"""
+
+
 # Texts among the columns of the versioned inputs.
 TEXTS = {"CustomerName", "CustomerCategory", "StockItemName", "Brand", "Size"}
 
@@ -187,8 +224,8 @@ ORACLE_SQL: dict[str, str] = {
     "verify_load": over("order_lines", loaded("order_lines")),
     "append_if_empty": over("customers", loaded("customers")),
     "bronze_run": over(
-        " ".join(n for n in ADAPTERS if n != "suppliers"),
-        union(*[loaded(n) for n in ADAPTERS if n != "suppliers"]),
+        " ".join(METRICS),
+        union(*[metric(t, m, e) for t, own in METRICS.items() for m, e in own.items()]),
     ),
     "dup_customer_ids": over(
         "customers",
