@@ -171,8 +171,8 @@ def held_before(
 
 
 def _by_automata(placed: DataFrame, spec: Windows) -> DataFrame:
-    """``(context, back, owner)`` of all windows of the contexts."""
-    reference = bodies(placed, spec).select("gram", "context", "left", "body", "doc")
+    """``(context, back, owner)`` of the windows that a document may lose."""
+    reference = bodies(placed, spec).select("gram", "context", "left", "body", "doc", "count")
     dealt = reference.repartition(partitions(placed.sparkSession), "gram")
     schema = "context long, back int, owner long"
     return dealt.sortWithinPartitions("gram").mapInArrow(_streamed(spec), schema)
@@ -182,15 +182,17 @@ def _streamed(spec: Windows):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _shards(batches):
             automaton = SuffixAutomaton()
-            split = [(context, left, body.split(b" "), doc) for _, context, left, body, doc in rows]
-            for _, _, words, doc in split:
+            split = [(context, left, body.split(b" "), *rest) for _, context, left, body, *rest in rows]
+            for _, _, words, doc, _ in split:
                 automaton.add(words, doc)
             automaton.settle()
             out: tuple[list[int], list[int], list[int]] = ([], [], [])
-            for context, left, words, _ in split:
+            for context, left, words, doc, count in split:
                 for k, owner in enumerate(automaton.window_owners(words, spec.length)):
-                    for column, value in zip(out, (context, left - k, owner)):
-                        column.append(value)
+                    # A context of one place only loses what another document has.
+                    if owner < doc or count > 1:
+                        for column, value in zip(out, (context, left - k, owner)):
+                            column.append(value)
             columns = [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int32(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["context", "back", "owner"])
 
