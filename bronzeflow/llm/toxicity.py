@@ -7,7 +7,8 @@ a text scores by its matched clauses, not by isolated words.
 
 The insults are learned: stems (beginnings of words, or whole words) that stand
 in toxic texts far more often than in others, each with a weight. The other
-lexicons are fixed lists of function words. A logistic curve, fitted to the
+lexicons are fixed lists; a threat counts with a target on either side of it in
+its clause, by a weight that is fitted to the labelled texts. A logistic curve, fitted to the
 labelled texts, turns the weight of a text into a probability.
 """
 
@@ -33,18 +34,28 @@ STEMS = (4, 5, 6, 7)
 #: Toxic texts that a stem must stand in, and how many stems of pure chance the
 #: lexicon may be expected to hold, as a power of e.
 LEAST_TEXTS, CHANCE = 4, -2.0
+#: Weight of a threat with its target if no insult is learned, else their median is
+#: taken; it counts as LEAST_TEXTS texts beside the labelled ones with such a threat.
+THREAT_WEIGHT = 4.0
 #: Tokens that a task remembers.
 REMEMBERED = 300_000
 
 #: Words of the other lexicons, in English, German, French, Spanish.
 TARGETS = "you your yours yourself he she him her they them these those du dich dir ihr euch sie er tu toi te vous ils elles lui usted ustedes tú ti ellos ellas"
-NEGATIONS = "not no never nor isn't aren't wasn't don't doesn't didn't nicht kein keine keinen nie niemals pas jamais ni nunca jamás"
+NEGATIONS = "not no never nor isn't aren't wasn't don't doesn't didn't won't wouldn't can't couldn't nicht kein keine keinen nie niemals pas jamais ni nunca jamás"
 REPORTS = "said says say wrote writes claimed claims called quoted sagte sagt schrieb behauptet dit disait écrit dijo dice escribió"
-THREATS = "kill hurt destroy beat burn shoot stab töten umbringen schlagen tuer frapper brûler matar golpear quemar"
+THREATS = (
+    "kill kills killing killed hurt hurts hurting destroy destroys destroying destroyed "
+    "beat beats beating beaten burn burns burning burned shoot shoots shooting stab stabs "
+    "stabbing stabbed töten töte tötet getötet umbringen umbringe umbringt umgebracht schlagen "
+    "schlage schlägt geschlagen tuer tue tuez tuerai tuera frapper frappe frapperai frappera "
+    "brûler brûle brûlerai brûlera matar mato mata mataré matará golpear golpeo golpea golpearé "
+    "golpeará quemar quemo quema quemaré quemará"
+)
 
 #: Symbols that the lexicon writes and the others rewrite.
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, STOP = range(7)
-NEGATED, REPORTED = 8, 16
+NEGATED, REPORTED, MET = 8, 16, 32
 #: How far a negation reaches, in words.
 REACH = 3
 
@@ -86,24 +97,44 @@ def reported_speech() -> Transducer:
     return Transducer(2, step)
 
 
+def open_threats() -> Transducer:
+    """Marks targets that a threat of the clause stands before, with the marks of that threat.
+
+    State: none, or one more than the marks of the threat; of several the one marked least.
+    """
+    marks = (0, REPORTED, NEGATED, NEGATED | REPORTED)
+
+    def step(state: int, symbol: int) -> tuple[int, int, float]:
+        if symbol == STOP:
+            return 0, symbol, 1.0
+        if symbol & 7 == THREAT:
+            own = marks.index(symbol & (NEGATED | REPORTED)) + 1
+            return min(state, own) if state else own, symbol, 1.0
+        if symbol == TARGET and state:
+            return state, symbol | MET | marks[state - 1], 1.0
+        return state, symbol, 1.0
+
+    return Transducer(len(marks) + 1, step)
+
+
 def matches() -> Transducer:
     """Weights of the insults and threats of a clause; a target makes them heavier.
 
-    A threat counts only with a target; negated and reported ones count less.
+    A threat counts only with a target: itself if that stands before it, else the
+    target that ``open_threats`` has marked. Negated and reported ones count less.
     """
 
     def step(state: int, symbol: int) -> tuple[int, int, float]:
         if symbol == STOP:
             return 0, symbol, 0.0
-        if symbol == TARGET:
-            return 1, symbol, 0.0
-        kind = symbol & 7
-        weight = {INSULT: 1.25 if state else 1.0, THREAT: 0.5 if state else 0.0}.get(kind, 0.0)
+        kind, met = symbol & 7, bool(symbol & MET)
+        factors = {INSULT: 1.25 if state else 1.0, THREAT: float(state), TARGET: float(met)}
+        weight = factors.get(kind, 0.0)
         if symbol & NEGATED:
             weight *= 0.6
         if symbol & REPORTED:
             weight *= 0.7
-        return state, symbol, weight
+        return 1 if kind == TARGET else state, symbol, weight
 
     return Transducer(2, step)
 
@@ -129,9 +160,16 @@ PENALTY = 0.1
 
 
 class Lexicon(NamedTuple):
-    """Weights of stems; ``=word`` is a whole word."""
+    """Weights of stems, ``=word`` being a whole word, and of threats.
+
+    ``threat`` is the weight of one after a target, ``aimed`` that of one before a
+    target. Learning sets both; the defaults are those of a lexicon that nothing
+    was fitted for.
+    """
 
     stems: dict[str, float]
+    threat: float = 0.5
+    aimed: float = 0.0
 
 
 def tokens_of(text: Column) -> Column:
@@ -173,7 +211,7 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     )
     tried, share = counts.count(), toxic / max(totals["n"], 1)
     if not 0 < share < 1 or not tried:
-        return Lexicon({})
+        return Lexicon({}, THREAT_WEIGHT, THREAT_WEIGHT)
     t, c = F.col("t"), F.col("n") - F.col("t")
     gain = t * F.log(t / F.col("n") / share) + F.when(
         c > 0, c * F.log(c / F.col("n") / (1 - share))
@@ -187,7 +225,19 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
         .limit(LEXICON)
         .collect()
     )
-    return Lexicon({r["stem"]: round(r["odds"], 6) for r in rows})
+    stems = {r["stem"]: round(r["odds"], 6) for r in rows}
+    usual = float(np.median(list(stems.values()))) if stems else THREAT_WEIGHT
+    threat = threat_weight(labelled, toxic, clean, usual)
+    return Lexicon(stems, threat, threat)
+
+
+def threat_weight(labelled: DataFrame, toxic: int, clean: int, usual: float) -> float:
+    """Log-odds of texts with a threat and its target, drawn towards ``usual``; never negative."""
+    found = clause_weights(labelled, Lexicon({}, 1.0, 1.0), "text", "weight").where("weight > 0")
+    hit = found.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
+    t, n = hit["t"] or 0, hit["n"]
+    odds = math.log((t + 0.5) / (toxic + 1)) - math.log((n - t + 0.5) / (clean + 1))
+    return round(max((usual * LEAST_TEXTS + odds * n) / (LEAST_TEXTS + n), 0.0), 6)
 
 
 class Reader:
@@ -197,7 +247,8 @@ class Reader:
         self.stems = lexicon.stems
         kinds = ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT))
         self.fixed = {w: kind for words, kind in kinds for w in words.split()}
-        self.table = composed(negation(), reported_speech(), matches())
+        self.own = {THREAT: lexicon.threat, TARGET: lexicon.aimed}
+        self.table = composed(negation(), reported_speech(), open_threats(), matches())
         self.known: dict[str, tuple[int, float, bool]] = {}
 
     def token(self, raw: str) -> tuple[int, float, bool]:
@@ -209,7 +260,7 @@ class Reader:
         weight = max((self.stems.get(k, 0.0) for k in keys), default=0.0)
         if weight > 0 and kind in (OTHER, THREAT):
             return INSULT, weight, ends
-        return kind, float(kind == THREAT), ends
+        return kind, self.own.get(kind, 0.0), ends
 
     def weight(self, text: str) -> float:
         """Sum of the weights of the matched clauses, a clause counting by its heaviest match."""

@@ -77,3 +77,25 @@ def test_curve_of_separate_and_of_equal_weights():
     assert slope > 0 and offset < -3 and slope * 4 + offset > 3
     slope, offset = tox.fit_curve([(0.0, 10, 100)])
     assert slope >= 0 and -3 < offset < -1.5
+
+
+def test_threats_weigh_with_a_target_on_either_side(spark):
+    rows = [(f"w{i} x{i} grobian{i % 9}", 1) for i in range(40)] + [(f"w{i} y{i} nett", 0) for i in range(200)]
+    lexicon = tox.learn_lexicon(spark.createDataFrame(rows, SCHEMA))
+    read = tox.Reader(lexicon).weight
+    full = read("kill you")
+    assert full > 3  # as much as an insult
+    assert read("you kill") == read("I will kill you") == read("killing you") == full
+    assert read("kill the light") == read("kill. you") == read("") == 0.0
+    assert read("never kill you") == pytest.approx(full * 0.6)
+    assert read("she wrote kill him") == pytest.approx(full * 0.7)
+    assert read("never kill, kill you") == read("never kill or so, you") + full
+    docs = spark.createDataFrame([("we will hurt them",), ("we will paint it",), ("",)], "text string")
+    scores = {r.text: r.score for r in tox.score(docs, spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert scores["we will hurt them"] > 0.5 > scores["we will paint it"] == scores[""]
+
+
+def test_weight_of_threats_follows_the_labels(spark):
+    harmless = [(f"they beat him {i} w{i}", 0) for i in range(100)]
+    rows = harmless + [(f"w{i} grobian", 1) for i in range(40)]
+    assert tox.learn_lexicon(spark.createDataFrame(rows, SCHEMA)).threat == 0.0
