@@ -328,14 +328,33 @@ def fit_curve(counts: list[tuple[float, int, int]]) -> tuple[float, float]:
     return round(max(a, 0.0), 9), round(b, 9)
 
 
+def drawn_texts(labelled: DataFrame) -> DataFrame:
+    """``(text, toxic)`` of the ``TRAINING_ROWS`` different texts with the lowest hashes."""
+    draw = F.xxhash64("text", F.lit(7))
+    share = min(1.0, 2 * TRAINING_ROWS / max(labelled.count(), 1))
+    while True:
+        # Most of what a large table has is passed over before anything is ordered.
+        low = labelled.where(draw <= F.lit(min(int((2 * share - 1) * 2.0**63), (1 << 63) - 1)))
+        texts = low.groupBy("text").agg(
+            (F.sum("toxic") * 2 >= F.count(F.lit(1))).cast("long").alias("toxic")
+        )
+        drawn = scratch(texts.orderBy(draw, "text").limit(TRAINING_ROWS), "toxicity-training")
+        found = drawn.count()
+        if share == 1.0 or found >= TRAINING_ROWS:
+            return drawn
+        # Rows are more than texts: the share of the hashes was too small.
+        share = min(1.0, max(2.0, 2 * TRAINING_ROWS / max(found, 1)) * share)
+
+
 def score(
     docs: DataFrame, labelled: DataFrame, text_col: str = "text", score_col: str = "score"
 ) -> DataFrame:
     """``docs`` with one more column, the probability that a text is toxic.
 
-    ``labelled`` is ``(text, toxic)``; at most ``TRAINING_ROWS`` of it are used,
-    drawn by a hash of the text.
+    ``labelled`` is ``(text, toxic)``; at most ``TRAINING_ROWS`` different texts of
+    it are used, drawn by a hash of the text.
 
+    * Copies of a labelled text are one text, toxic if at least half of them are.
     * Null and empty texts match nothing and have the score of such texts. Only
       the text enters a score.
     * Labels that are null, or neither 0 nor 1, are left out. Without any, or
@@ -349,12 +368,7 @@ def score(
     labelled = labelled.where("toxic IN (0, 1)").select(
         whole_text("text").alias("text"), F.col("toxic").cast("long").alias("toxic")
     )
-    # Most of what a large table has is passed over before anything is ordered.
-    draw = F.xxhash64("text", F.lit(7))
-    share = min(1.0, 2 * TRAINING_ROWS / max(labelled.count(), 1))
-    low = labelled.where(draw <= F.lit(min(int((2 * share - 1) * 2.0**63), (1 << 63) - 1)))
-    drawn = low.orderBy(draw, "text", "toxic").limit(TRAINING_ROWS)
-    training = scratch(drawn, "toxicity-training")
+    training = drawn_texts(labelled)
     lexicon = learn_lexicon(training)
     weighed = clause_weights(training, lexicon, "text", "weight")
     # Weights by halves up to a hundred: the rows that come to the driver are bounded.

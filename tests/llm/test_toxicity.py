@@ -1,6 +1,7 @@
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from bronzeflow.llm import toxicity as tox
 from bronzeflow.llm.queries import op6_toxicity
@@ -99,3 +100,19 @@ def test_weight_of_threats_follows_the_labels(spark):
     harmless = [(f"they beat him {i} w{i}", 0) for i in range(100)]
     rows = harmless + [(f"w{i} grobian", 1) for i in range(40)]
     assert tox.learn_lexicon(spark.createDataFrame(rows, SCHEMA)).threat == 0.0
+
+
+def test_copies_of_a_labelled_text_are_one_text(spark, monkeypatch):
+    monkeypatch.setattr(tox, "TRAINING_ROWS", 60)
+    insults = [(f"w{i} x{i} grobian", 1) for i in range(20)]
+    clean = [(f"y{i} z{i} wetter morgen", 0) for i in range(80)]
+    # By its hash this text comes first, so that its copies would fill the sample.
+    names = spark.range(500).selectExpr("concat('wetter laterne', id) AS text")
+    text = names.orderBy(F.xxhash64("text", F.lit(7))).first().text
+    labelled = spark.createDataFrame([(text, 1)] * 400 + [(text, 0)] * 40 + insults + clean, SCHEMA)
+    got = tox.drawn_texts(labelled.selectExpr("text", "CAST(toxic AS long) AS toxic")).collect()
+    assert len(got) == len({r.text for r in got}) == 60
+    assert [r.toxic for r in got if r.text == text] == [1]
+    docs = spark.createDataFrame([(text,), ("grobian",), ("",)], "text string")
+    scores = {r.text: r.score for r in tox.score(docs, labelled).collect()}
+    assert scores[text] == scores[""] < scores["grobian"]
