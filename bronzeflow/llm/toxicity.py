@@ -15,6 +15,7 @@ labelled texts, turns the weight of a text into a probability.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -248,41 +249,60 @@ class Reader:
         kinds = ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT))
         self.fixed = {w: kind for words, kind in kinds for w in words.split()}
         self.own = {THREAT: lexicon.threat, TARGET: lexicon.aimed}
-        self.table = composed(negation(), reported_speech(), open_threats(), matches())
-        self.known: dict[str, tuple[int, float, bool]] = {}
-
-    def token(self, raw: str) -> tuple[int, float, bool]:
-        """Symbol, weight, and whether a clause ends here."""
-        word = raw.strip(PUNCTUATION)
-        ends = raw[-1] in CLAUSE_ENDS
+        table = composed(negation(), reported_speech(), open_threats(), matches())
+        self.steps = [[(int(state), weight) for state, weight in row] for row in table.tolist()]
+        self.known: dict[str, tuple[int, float]] = {}
+
+    def token(self, word: str) -> tuple[int, float]:
+        """Symbol and weight of a run of letters, or of a character that ends a clause."""
+        if word in CLAUSE_ENDS:
+            return STOP, 0.0
+        word = word.replace("’", "'")
         kind = self.fixed.get(word, OTHER)
+        word = word.partition("'")[0]
         keys = ["=" + word, *[word[:n] for n in STEMS if len(word) > n]]
         weight = max((self.stems.get(k, 0.0) for k in keys), default=0.0)
         if weight > 0 and kind in (OTHER, THREAT):
-            return INSULT, weight, ends
-        return kind, self.own.get(kind, 0.0), ends
+            return INSULT, weight
+        return kind, self.own.get(kind, 0.0)
 
     def weight(self, text: str) -> float:
         """Sum of the weights of the matched clauses, a clause counting by its heaviest match."""
-        raw = text.lower().split()
+        words = runs_of(text)
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known, token = self.known, self.token
-        read = [known.get(t) or known.setdefault(t, token(t)) for t in raw]
-        if not any(s in (INSULT, THREAT) for s, _, _ in read):
+        read = {w: known.get(w) or known.setdefault(w, token(w)) for w in set(words)}
+        if not any(s in (INSULT, THREAT) for s, _ in read.values()):
             return 0.0
         total, state, best = 0.0, 0, 0.0
-        for symbol, own, ends in read:
-            state, factor = self.table[int(state), symbol]
-            best = max(best, own * factor)
-            if ends:
-                state, _ = self.table[int(state), STOP]
+        for word in words:
+            symbol, own = read[word]
+            state, factor = self.steps[state][symbol]
+            if symbol == STOP:
                 total, best = total + best, 0.0
+            elif own * factor > best:
+                best = own * factor
         return total + best
 
 
 CLAUSE_ENDS = ".,;:!?"
-PUNCTUATION = ".,;:!?\"'()[]{}«»„“”‘’*-_…¡¿"
+#: Runs of letters, as learning sees them but of any length; a negation's "'t" belongs to
+#: its word, and characters that end a clause stand for themselves.
+RUNS = re.compile(rf"[^\W\d_]+(?:['’]t\b)?|[{CLAUSE_ENDS}]")
+
+
+def runs_of(text: str) -> list[str]:
+    """Lower-case runs of letters of a text, and the characters that end its clauses."""
+    words = RUNS.findall(text.lower())
+    if text.isascii():
+        return words
+    # Numbers that are no digits are word characters to a pattern, but no letters.
+    odd = {w for w in set(words) if not w.isalpha() and w[0] not in CLAUSE_ENDS}
+    if odd:
+        apart = {w: "".join(c if c.isalpha() or c in "'’" else " " for c in w).split() for w in odd}
+        words = [x for w in words for x in apart.get(w, (w,))]
+    return words
 
 
 def clause_weights(docs: DataFrame, lexicon: Lexicon, text_col: str, name: str) -> DataFrame:

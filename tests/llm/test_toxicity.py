@@ -116,3 +116,16 @@ def test_copies_of_a_labelled_text_are_one_text(spark, monkeypatch):
     docs = spark.createDataFrame([(text,), ("grobian",), ("",)], "text string")
     scores = {r.text: r.score for r in tox.score(docs, labelled).collect()}
     assert scores[text] == scores[""] < scores["grobian"]
+
+
+def test_scoring_reads_the_letter_runs_that_learning_reads(spark):
+    read = reader(**{"=scum": 4.0, "insul": 4.0}).weight
+    for text in ("###scum", "scum$$$", "a/scum", "l'insulte", "scum’s", "1scum²", "_scum_", "scum't"):
+        assert read(text) == pytest.approx(4.0), text
+    assert read("isn't scum") == read("isn’t scum") == pytest.approx(2.4)
+    assert read("you/scum") == pytest.approx(5.0) and read("you...scum") == pytest.approx(4.0)
+    assert read("scum!scum") == pytest.approx(8.0) and read("scump") == 0.0
+    odd = "Ab1cdé_fgh²ijk Ⅷxyz l'été ǆabc 日本語 don't état ªbcd Straße"
+    learned = spark.createDataFrame([(odd,)], "text string").select(tox.tokens_of(F.col("text"))).first()[0]
+    found = [w.partition("'")[0] for w in tox.runs_of(odd)]
+    assert [w for w in found if len(w) > 2] == learned
