@@ -7,7 +7,9 @@ space of the balancing constraints (document count and word count), which keeps
 both totals exactly, until a unit reaches 0 or 1 and is decided. A block of units
 ends with at most two of them undecided; these meet those of other blocks in the
 next round, until each source has one block left. Only its last two units land
-by a draw, so a source misses its target by less than two documents' words.
+by a draw, so a source misses its target by less than two units' words. A unit is
+one document if ids are unique; rows of equal id, source and size are one unit,
+and a source may then miss its target by all the words of such a group.
 """
 
 from __future__ import annotations
@@ -77,7 +79,9 @@ def mix(
 ) -> DataFrame:
     """``(id, size, source_size, target, copies)``: how often the mix takes each row.
 
-    * Rows of equal id, source and size are one unit: they share a decision.
+    * Rows of equal id, source and size are one unit: they share a decision, even
+      with different texts. A large group of them is not divided, so its source
+      may miss the target by up to the words of the group.
     * Null text: no words. Null id and null source: values like any other, the
       null source last. A source without words has target 0 and is not taken.
     * Reruns agree: all draws are hashes of id, source, size and seed.
