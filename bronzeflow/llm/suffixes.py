@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,8 @@ from bronzeflow.llm.repeats import (
 WINDOW, GRAM = 200, 40
 #: Places of a gram from which its windows are compared one by one.
 CROWDED = 2000
+#: Contexts that a bucket takes on average at most; there are more buckets for more.
+BUCKET = 50_000
 WORD = 8
 
 
@@ -83,17 +85,24 @@ def repeated_spans(
     )
     chosen = scratch(contexts_of(differing), "suffixes-contexts")
     placed = with_texts(texts, chosen)
-    found = scratch(_by_sorting(placed, spec).unionByName(_by_hash(placed, spec)), "suffixes-found")
+    ranges = _ranges(spark, chosen.count())
+    sorted_ = _by_sorting(placed, spec, ranges)
+    found = scratch(sorted_.unionByName(_by_hash(placed, spec)), "suffixes-found")
     release(spark)
     by_context = differing.join(found, "context").select("key", "pos", "low", "high")
     return same.unionByName(by_context)
 
 
-def _by_sorting(placed: DataFrame, spec: Windows) -> DataFrame:
+def _ranges(spark: SparkSession, contexts: int) -> int:
+    """Buckets for so many contexts: what one task holds does not grow with the corpus."""
+    return max(partitions(spark), -(-contexts // BUCKET))
+
+
+def _by_sorting(placed: DataFrame, spec: Windows, ranges: int) -> DataFrame:
     """``(context, low, high)`` from sorted buckets."""
     lead = F.expr(f"substring(body, left + 1, {spec.gram})")
     dealt = bodies(placed, spec).select("context", "left", "body", "count", lead.alias("lead"))
-    dealt = dealt.repartitionByRange(partitions(placed.sparkSession), "lead")
+    dealt = dealt.repartitionByRange(ranges, "lead")
     schema = "context long, low int, high int"
     return dealt.select("context", "left", "body", "count").mapInArrow(_bucket(spec), schema)
 

@@ -96,3 +96,20 @@ def test_long_text_is_taken_in_stretches(monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 300)
     parts = repeats._long_anchors(text, spec)
     assert [x.tolist() for x in parts] == [x.tolist() for x in whole]
+
+
+def test_buckets_grow_in_number_with_the_contexts(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "BUCKET", 2)
+    asked, by_range = [], type(spark.range(0)).repartitionByRange
+    monkeypatch.setattr(
+        type(spark.range(0)),
+        "repartitionByRange",
+        lambda self, n, *cols: asked.append(n) or by_range(self, n, *cols),
+    )
+    texts = made_texts(5)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = suffixes.without_repeats(df, window=40, gram=12).collect()
+    assert asked and asked[0] > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bodies = [(t or "").encode() for t in texts]
+    wanted = brute(bodies, 40)
+    assert all([tuple(x) for x in r.kept_text_spans or []] == wanted[r.doc_id] for r in rows)
