@@ -168,6 +168,8 @@ def bronze_run(spark: SparkSession, sf: str) -> DataFrame:
         schema_name=f"bronze_{uuid.uuid4().hex}", location=scratch_path(spark, "run")
     )
     result = run_bronze(spark, cfg, FixtureSource(sf), RUN, strict=False)
+    if result.failed_reports:
+        raise RuntimeError(f"reports failed: {result.failed_reports}")
     rows = [
         (table, metric, float(value))
         for table, metrics in result.metrics.items()

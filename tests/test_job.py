@@ -234,3 +234,13 @@ def test_parameters():
     assert cfg.target.name("orders") == "`spark_catalog`.`landing`.`orders`"
     with pytest.raises(ValueError, match="schema"):
         PipelineConfig.from_mapping({"schema": "typo"})
+
+
+def test_the_query_of_the_run_fails_with_a_report(spark, monkeypatch):
+    from bronzeflow.plans.job import BronzeRun
+    from bronzeflow.registry import queries
+
+    run = BronzeRun(metrics={"orders": {"total": 1}}, failed_reports={"customers": "no table"})
+    monkeypatch.setattr(queries, "run_bronze", lambda *args, **options: run)
+    with pytest.raises(RuntimeError, match="customers"):
+        queries.bronze_run(spark, "unused")
