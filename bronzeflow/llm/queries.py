@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bronzeflow.llm import automata, bpe, minhash, mixing, neighbours, quality, sharding, suffixes, tokens, toxicity
-from bronzeflow.llm.common import count_words, table, whole_text
+from bronzeflow.llm import (
+    automata,
+    bpe,
+    codes,
+    dialogues,
+    minhash,
+    mixing,
+    neighbours,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    tokens,
+    toxicity,
+)
+from bronzeflow.llm.common import count_words, scratch, table, whole_text
+from bronzeflow.llm.oracle import ORACLE_SQL  # noqa: F401
 
 N_SHARDS = 40
 #: Context length that a document is held against.
@@ -123,6 +138,52 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = dialogues.repair(damaged(table(spark, sf_dir, "conversations")))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    return dialogues.summaries(pieces).select(
+        F.when(F.col("name") != "", F.substring("name", 2, 64).cast("long")).alias("conv_id"), *counts
+    )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults put in by the checksum of id and turn; nulls are one space."""
+    conv, turn, role, text = (
+        F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")
+    )
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(fault == 1, F.lit(""))
+        .when(fault == 2, F.regexp_replace(text, r"[.!?]", ""))
+        .otherwise(text)
+        .alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    coded, books = codes.compress(vectors, carry=["vec_id", "label"])
+    coded = scratch(coded.select("row.vec_id", "row.label", "code", "error"), "op12-codes")
+    # Sums beyond a long end at it. Names of their own, since both sides are one table.
+    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(codes.MOST))
+    by_label = coded.groupBy(F.col("label").alias("of_label")).agg(
+        total.cast("long").alias("label_error")
+    )
+    return coded.join(by_label, F.col("label").eqNullSafe(F.col("of_label"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -134,23 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_minhash": op10_minhash,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_simhash": op13_simhash,
 }
-#: Windows of 13 words and their smallest document, by comparing all of them.
-SUBSTRING_SQL = r"""WITH texts AS (SELECT doc_id,
-    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-    windows AS (SELECT doc_id, i, list_slice(ws, i, i + 12) AS g
-    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM texts)),
-    firsts AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
-    held AS (SELECT w.doc_id, w.i FROM windows w JOIN firsts f ON w.g = f.g WHERE f.m < w.doc_id),
-    gone AS (SELECT DISTINCT doc_id, i + k AS j
-    FROM (SELECT doc_id, i, unnest(range(13)) AS k FROM held)),
-    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM texts),
-    marked AS (SELECT w.*, g.j IS NOT NULL AS out FROM words w
-    LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.j = g.j),
-    kept AS (SELECT doc_id, count(*) FILTER (WHERE out) AS n_removed,
-    string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT out) AS kept FROM marked GROUP BY doc_id)
-    SELECT t.doc_id, CAST(len(t.ws) AS BIGINT) AS n_words,
-    CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
-    sha256(coalesce(k.kept, '')) AS kept_sha256 FROM texts t LEFT JOIN kept k USING (doc_id)"""
-
-ORACLE_SQL: dict[str, str] = {"op7_substring_dedup": SUBSTRING_SQL}
