@@ -9,12 +9,18 @@ from datetime import datetime, timezone
 
 @dataclass(frozen=True)
 class Target:
-    """Where bronze tables live: ``[catalog.]schema``, with an optional folder."""
+    """Where bronze tables live: ``[catalog.]schema``, with an optional folder.
+
+    ``catalog_partitions``: the catalog keeps the folder of every partition. If it
+    does not, partitions are found by listing folders, and a partitioned table can
+    be overwritten by one call of the catalog.
+    """
 
     schema: str = "bronze"
     catalog: str | None = None
     location: str | None = None
     table_format: str = "parquet"
+    catalog_partitions: bool = True
 
     @property
     def namespace(self) -> str:
@@ -58,6 +64,7 @@ class PipelineConfig:
     table_format: str = "parquet"
     location: str | None = None
     staged_writes: bool = True
+    catalog_partitions: bool = False  # see Target; readers never miss a table without them
     file_mb: int = 256  # of shuffled data per written file, about
     sample_size: int = 5  # rows of the customers sample in the report
     jdbc_partitions: int = 0  # 0: by the number of rows, see jdbc_rows_per_partition
@@ -87,4 +94,10 @@ class PipelineConfig:
 
     @property
     def target(self) -> Target:
-        return Target(self.schema_name, self.catalog_name, self.location, self.table_format)
+        return Target(
+            self.schema_name,
+            self.catalog_name,
+            self.location,
+            self.table_format,
+            self.catalog_partitions,
+        )

@@ -15,7 +15,17 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeflow.config import Target
-from bronzeflow.operators.sinks import align_to_existing, restore_previous, save, swap_in
+from bronzeflow.operators.sinks import (
+    align_to_existing,
+    drop_versions,
+    literal,
+    partitions_tracked,
+    restore_previous,
+    save,
+    sorted_by_key,
+    swap_in,
+    version_name,
+)
 from bronzeflow.session import job_session
 from bronzeflow.specs import TableSpec
 
@@ -100,6 +110,49 @@ def upsert(
 
 #: Partitions that one pass of an upsert rewrites.
 PARTITIONS_PER_PASS = 1000
+#: Keys of an increment that stand as a list in the filter of a scan.
+KEY_LIST = 1000
+
+
+def of_keys(rows: DataFrame, keys: Sequence[str], most: int = KEY_LIST) -> Column:
+    """A test of literals that every row with a key of ``rows`` passes.
+
+    Up to ``most`` keys are listed, and a scan asks the statistics and the Bloom
+    filter of each row group for them; of more keys the range is given. It only
+    spares reading: rows that pass are still joined by key.
+    """
+    listed = rows.select(*keys).distinct().limit(most + 1).collect()
+    if len(listed) <= most:
+        tests = []
+        for k in keys:
+            test = one_of(k, sorted({r[k] for r in listed if r[k] is not None}))
+            tests.append(test | F.col(k).isNull() if any(r[k] is None for r in listed) else test)
+        return reduce(Column.__and__, tests)
+    ends = rows.agg(
+        *[f(k).alias(f"{n}_{i}") for i, k in enumerate(keys) for n, f in (("low", F.min), ("high", F.max))],
+        *[F.count_if(F.col(k).isNull()).alias(f"nulls_{i}") for i, k in enumerate(keys)],
+    ).first()
+    tests = []
+    for i, k in enumerate(keys):
+        low, high, nulls = ends[f"low_{i}"], ends[f"high_{i}"], ends[f"nulls_{i}"]
+        test = F.col(k).between(low, high) if low is not None else F.lit(False)
+        tests.append(test | F.col(k).isNull() if nulls else test)
+    return reduce(Column.__and__, tests)
+
+
+def one_of(column: str, values: Sequence[object]) -> Column:
+    """``column IN (...)``; numbers and texts as one SQL text, since a list is long."""
+    if not values:
+        return F.lit(False)
+    if all(type(v) in (int, str) for v in values):
+        listed = ", ".join(literal(v) if isinstance(v, str) else str(v) for v in values)
+        return F.expr(f"`{column}` IN ({listed})")
+    return F.col(column).isin(list(values))
+
+
+def key_session(spark: SparkSession) -> SparkSession:
+    """A session whose scans are told the keys of a list one by one, not as a range."""
+    return job_session(spark, **{"spark.sql.parquet.pushdown.inFilterThreshold": str(KEY_LIST)})
 
 
 def upsert_table(
@@ -118,14 +171,17 @@ def upsert_table(
     touched partitions at most, are literals in the filter of the scan, so no
     other partition is read for it, at any size of the increment.
 
-    To find the old versions, though, the key columns of the whole table are read
-    once, since plain files have no index; with ``keys_stay``, a promise that a
-    key never changes its partition, those of the incoming partitions only.
+    The old versions are searched for by the keys of the increment, as literals
+    (``of_keys``): files are sorted by key and have Bloom filters on it, so of the
+    key columns only row groups that may hold one of the keys are read. With
+    ``keys_stay``, a promise that a key never changes its partition, only the
+    incoming partitions are looked at.
 
     Running the same increment again gives the same table, so a run that stopped
     half way is repaired by repeating it. Side tables have names of their own for
     every run; a dead driver may leave some, called ``<table>__side_...``.
     """
+    caller, spark = spark, key_session(spark)
     restore_previous(spark, target, spec.name)
     name, keys, parts = target.name(spec.name), spec.primary_key, list(spec.partition_by)
     base = spark.table(name)
@@ -141,13 +197,19 @@ def upsert_table(
         # The increment is used several times; the source is read once.
         increment = side("rows", align_to_existing(incoming, base.schema).select(*base.columns))
         if not parts:
-            landed = f"{spec.name}__side_{run}_result"
-            side("result", upsert(base, increment, keys, order_by))
-            swap_in(spark, target, landed, spec)
+            drop_versions(spark, target, spec.name)
+            landed = version_name(spec.name)
+            rows = sorted_by_key(upsert(base, increment, keys, order_by), spec)
+            try:
+                save(rows, target, target.name(landed), spec)
+                swap_in(spark, target, landed, spec)
+            except BaseException:
+                drop_versions(spark, target, spec.name, only=landed)
+                raise
             return
-        searched = base
+        searched = base.where(of_keys(increment, keys))
         if keys_stay:
-            searched = base.where(any_of(increment.select(*parts).distinct().collect(), parts))
+            searched = searched.where(any_of(increment.select(*parts).distinct().collect(), parts))
         needed = list(dict.fromkeys([*keys, order_by, *parts]))
         own = renamed_keys(increment, keys)
         slim = searched.select(*needed)
@@ -164,12 +226,14 @@ def upsert_table(
                 won.where(any_of(some, parts))
             )
             staged = side(f"result{at}", rows)
-            overwrite_partitions(spark, target.name(made[-1]), name, parts)
+            overwrite_partitions(spark, target.name(made[-1]), name, spec)
             full = {tuple(r) for r in staged.select(*parts).distinct().collect()}
             drop_partitions(spark, name, [r for r in some if tuple(r) not in full], parts)
     finally:
         for table in made:
             spark.sql(f"DROP TABLE IF EXISTS {target.name(table)}")
+        # The caller's session may have listed the replaced files.
+        caller.catalog.refreshTable(name)
 
 
 def any_of(values: Sequence[Row], columns: Sequence[str]) -> Column:
@@ -185,17 +249,15 @@ def any_of(values: Sequence[Row], columns: Sequence[str]) -> Column:
     return reduce(Column.__or__, rows) if rows else F.lit(False)
 
 
-def overwrite_partitions(
-    spark: SparkSession, rows_of: str, table: str, parts: Sequence[str]
-) -> None:
+def overwrite_partitions(spark: SparkSession, rows_of: str, table: str, spec: TableSpec) -> None:
     """Replace the partitions that table ``rows_of`` has rows for, and no others.
 
     The overwrite mode is a setting, so the insert runs in a session of its own.
     """
     session = job_session(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"})
     columns = session.table(table).columns
-    rows = session.table(rows_of).select(*columns).hint("rebalance", *parts)
-    rows.write.insertInto(table, overwrite=True)
+    rows = session.table(rows_of).select(*columns).hint("rebalance", *spec.partition_by)
+    sorted_by_key(rows, spec).write.insertInto(table, overwrite=True)
     # The caller's session may have listed the replaced files.
     spark.catalog.refreshTable(table)
 
@@ -203,19 +265,32 @@ def overwrite_partitions(
 def drop_partitions(
     spark: SparkSession, table: str, values: Sequence[Row], columns: Sequence[str]
 ) -> None:
-    """Drop partitions whose rows all moved away: metadata, a batch at a time."""
+    """Drop partitions whose rows all moved away.
+
+    In the catalog that is metadata, a batch at a time. Where partitions are found
+    by listing, each is overwritten with no rows.
+    """
+    if values and not partitions_tracked(spark, table):
+        fields = [f for f in spark.table(table).schema.fields if f.name not in columns]
+        rest = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields]
+        session = job_session(spark, **{"spark.sql.sources.partitionOverwriteMode": "static"})
+        for row in values:
+            session.sql(
+                f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_spec(row, columns)})"
+                f" SELECT {', '.join(rest)} WHERE false"
+            )
+        spark.catalog.refreshTable(table)
+        return
     for at in range(0, len(values), 500):
         partitions = ", ".join(
-            "PARTITION ("
-            + ", ".join(f"`{c}` = {partition_literal(v)}" for c, v in zip(columns, row))
-            + ")"
-            for row in values[at : at + 500]
+            f"PARTITION ({partition_spec(row, columns)})" for row in values[at : at + 500]
         )
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partitions}")
 
 
+def partition_spec(row: Row, columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` = {partition_literal(v)}" for c, v in zip(columns, row))
+
+
 def partition_literal(value: object) -> str:
-    if value is None:
-        return "NULL"
-    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{text}'"
+    return "NULL" if value is None else literal(str(value))

@@ -23,6 +23,7 @@ from bronzeflow.operators.sinks import (
     write_bronze,
 )
 from bronzeflow.plans import reports
+from bronzeflow.plans.ledger import Ledger
 from bronzeflow.session import job_session
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.sources.jdbc import JdbcSource
@@ -124,7 +125,7 @@ def run_reports(
 
     plans = {
         "customers_sample": lambda: sample_rows(
-            table("customers"), CUSTOMERS.primary_key, sample_size
+            table("customers"), [*CUSTOMERS.primary_key, "CustomerName"], sample_size
         ),
         "customers": lambda: quality.dq_customers(table("customers")),
         "orders": lambda: reports.orders_quality_report(table("orders"), table("order_lines")),
@@ -157,10 +158,16 @@ def run_bronze(
     source: Source | None = None,
     run: RunContext | None = None,
     strict: bool = True,
+    run_id: str | None = None,
 ) -> BronzeRun:
     """Customers first; then orders with their lines beside the stock tables.
 
     An extraction that fails ends the run. Reports come last and do not.
+
+    With a ``run_id`` the run keeps a ledger of the tables it has loaded. Called
+    again with the same id after it stopped, it passes over these tables, returns
+    their metrics as they were, and loads the others. A table is in the ledger
+    once it was written and read back.
     """
     caller = spark
     spark = job_session(
@@ -170,9 +177,14 @@ def run_bronze(
     run = run or RunContext.now(cfg.source_system)
     target, result = cfg.target, BronzeRun()
     ensure_namespace(spark, target)
+    ledger = Ledger(spark, target, run_id) if run_id else None
+    done = ledger.done() if ledger else {}
 
     def load(*names: str) -> None:
         for name in names:
+            if name in done:
+                result.metrics[name] = done[name]
+                continue
             metrics = load_table(
                 spark, source, target, SPECS[name], run, strict, cfg.staged_writes
             )
@@ -182,6 +194,8 @@ def run_bronze(
             # The caller's session may have listed the files of the last run.
             caller.catalog.refreshTable(target.name(name))
             result.metrics[name] = metrics | {"read_back": check["read_back"]}
+            if ledger:
+                ledger.record(name, result.metrics[name])
 
     load("customers")
     with ThreadPoolExecutor(max_workers=2) as pool:

@@ -47,11 +47,11 @@ def silver(df: DataFrame, spec: TableSpec) -> DataFrame:
     return latest_per_key(rows, spec.primary_key, spec.edited_column)
 
 
-def daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Orders, lines and revenue per order date.
+def sales_per_order(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(OrderID, OrderDate, orders, lines, revenue)`` of the dated orders.
 
-    Lines fold per order before the join, orders per date after it. Orders
-    without an id match no line and take a branch of their own.
+    Lines fold per order before the join. Orders without an id match no line and
+    take a branch of their own, a row for each.
     """
     dated = orders.where(F.col("OrderDate").isNotNull()).select("OrderID", "OrderDate")
     keyed = (
@@ -60,6 +60,7 @@ def daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("copies"))
         .join(lines_per_order(lines), "OrderID", "left")
         .select(
+            "OrderID",
             "OrderDate",
             F.col("copies").alias("orders"),
             (F.col("copies") * F.col("line_count")).alias("lines"),
@@ -67,22 +68,29 @@ def daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
         )
     )
     unkeyed = dated.where(F.col("OrderID").isNull()).select(
+        "OrderID",
         "OrderDate",
         F.lit(1).cast("bigint").alias("orders"),
         F.lit(None).cast("bigint").alias("lines"),
         F.lit(None).cast("decimal(38,2)").alias("revenue"),
     )
-    return (
-        keyed.unionByName(unkeyed)
-        .groupBy("OrderDate")
-        .agg(
-            F.sum("orders").alias("orders"),
-            F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
-            F.coalesce(F.sum("revenue"), F.lit(0)).cast("decimal(38,2)").alias("revenue"),
-        )
+    return keyed.unionByName(unkeyed)
+
+
+def sales_by_date(sales: DataFrame) -> DataFrame:
+    """Sums of orders, lines and revenue per order date."""
+    return sales.groupBy("OrderDate").agg(
+        F.sum("orders").alias("orders"),
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast("decimal(38,2)").alias("revenue"),
     )
 
 
+def daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders, lines and revenue per order date."""
+    return sales_by_date(sales_per_order(orders, lines))
+
+
 def category_revenue(lines: DataFrame, groups: DataFrame, junction: DataFrame) -> DataFrame:
     """Quantity and revenue per group name.
 

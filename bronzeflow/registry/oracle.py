@@ -11,6 +11,7 @@ from bronzeflow.sources.fixtures import (
     ADAPTERS,
     FIRST_EDIT,
     LOADED_UNTIL,
+    SALES_CHANGES,
     SECOND_EDIT,
     VERSIONED,
     bronze_input_sql,
@@ -207,6 +208,52 @@ INCREMENTAL_LOAD = f"""WITH first AS (SELECT CAST(o_orderkey AS INT) AS OrderID,
     UNION ALL SELECT * FROM base b WHERE NOT EXISTS (SELECT 1 FROM since s
     WHERE b.OrderID = s.OrderID AND s.LastEditedWhen >= b.LastEditedWhen)"""
 
+STREAM_UPSERT = f"""WITH first AS (SELECT CAST(o_orderkey AS INT) AS OrderID,
+    CAST(o_custkey AS INT) AS CustomerID, {FIRST_EDIT} AS LastEditedWhen,
+    CAST(year(o_orderdate) AS INT) AS OrderYear FROM orders),
+    looks AS (SELECT *, 1 AS look FROM first WHERE LastEditedWhen <= {LOADED_UNTIL}
+    UNION ALL SELECT CAST(o_orderkey AS INT), CAST(o_custkey + 1 AS INT), {SECOND_EDIT},
+    CAST(year(o_orderdate) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS INT), 2 FROM orders)
+    SELECT OrderID, CustomerID, LastEditedWhen, OrderYear,
+    (SELECT count(*) FROM looks) AS streamed_rows FROM (SELECT *, row_number() OVER
+    (PARTITION BY OrderID ORDER BY LastEditedWhen DESC NULLS LAST, look DESC) AS n FROM looks)
+    WHERE n = 1"""
+
+
+def newest(name: str, key: str, *changes: str) -> str:
+    """CTE of the newest version of each changed row, the rows of the base that none has replaced with it."""
+    every = " UNION ALL ".join(
+        f"SELECT *, {n} AS look FROM ({SALES_CHANGES[c].format(orders='b_orders', lines='b_order_lines')})"
+        for n, c in enumerate(changes)
+    )
+    return (
+        f"{name} AS (SELECT * FROM (SELECT *, max(look) OVER (PARTITION BY {key}) AS newest"
+        f" FROM ({every})) WHERE look = newest)"
+    )
+
+
+def report(name: str, row: str, key: str, columns: str, numbers: str = "") -> str:
+    """Figures of a report, one row each, over the SQL of a registered query."""
+    branches = [
+        f"""SELECT '{name}' AS report, {row} AS "row", '{c}' AS metric, CAST("{c}" AS VARCHAR) AS "value"
+        FROM ({key})"""
+        for c in columns.split()
+    ]
+    branches += [
+        f"""SELECT '{name}', {row}, '{c}', printf('%.4f', CAST("{c}" AS DOUBLE)) FROM ({key})"""
+        for c in numbers.split()
+    ]
+    return " UNION ALL ".join(branches)
+
+
+def changed_profile(column: str) -> str:
+    return f"""SELECT '{column}' AS "column", count(*) AS "rows", count(*) - count({column}) AS "nulls",
+        CAST(min({column}) AS VARCHAR) AS "min", CAST(max({column}) AS VARCHAR) AS "max",
+        round(avg(CAST({column} AS DOUBLE)), 4) AS "mean",
+        round(stddev_samp(CAST({column} AS DOUBLE)), 4) AS "stddev", true AS distinct_is_near,
+        (SELECT count(DISTINCT OrderYear) FROM t WHERE recent) AS partitions_read FROM t"""
+
+
 ORACLE_SQL: dict[str, str] = {
     **{f"project_{name}": projection(name) for name in ADAPTERS if name != "suppliers"},
     "lineage_standard": over("orders", f"SELECT OrderID, {STANDARD_LINEAGE} FROM b_orders"),
@@ -483,3 +530,77 @@ ORACLE_SQL: dict[str, str] = {
         '{RUN.source_system}' AS _source_system, '{RUN.batch_id("events")}' AS _batch_id
         FROM events""",
 }
+
+LINE_RULE_SQL = {
+    "has_stock_item": "StockItemID IS NOT NULL",
+    "positive_quantity": "Quantity > 0",
+    "known_item_sold": "StockItemID > 0 AND Quantity > 0",
+    "price_at_least_quantity": "UnitPrice >= Quantity",
+}
+
+ORACLE_SQL |= {
+    "bronze_run_resumed": ORACLE_SQL["bronze_run"]
+    + "".join(
+        f""" UNION ALL SELECT '{name}', 'source_reads', CAST({2 if name == "orders" else 1} AS DOUBLE)"""
+        for name in SPECS
+    ),
+    "bronze_run_reports": union(
+        report(
+            "customers_sample",
+            "n",
+            f"""SELECT CAST(row_number() OVER (ORDER BY CustomerID ASC NULLS FIRST,
+            CustomerName ASC NULLS FIRST) AS VARCHAR) AS n, * FROM ({ORACLE_SQL["sample_rows"]})""",
+            "CustomerID CustomerName DeliveryCityID",
+        ),
+        report("customers", "'1'", ORACLE_SQL["dq_customers"], "total null_names duplicate_ids"),
+        report("orders", "metric", ORACLE_SQL["orders_quality_report"], "value text", "pct"),
+        report("stock_counts", "TableName", ORACLE_SQL["stock_table_inventory"], "RecordCount"),
+        report(
+            "price_statistics",
+            "'1'",
+            ORACLE_SQL["price_statistics"],
+            "",
+            "avg_price min_price max_price price_stddev",
+        ),
+        report(
+            "inventory_statistics",
+            "'1'",
+            ORACLE_SQL["inventory_statistics"],
+            "total_quantity zero_stock_items below_reorder_items",
+            "avg_quantity inventory_value",
+        ),
+        report("category_distribution", "StockGroupName", ORACLE_SQL["category_distribution"], "item_count"),
+        report("group_names", "'1'", f"SELECT count(*) AS names FROM ({ORACLE_SQL['group_names']})", "names"),
+        report("item_groups", "'1'", ORACLE_SQL["item_group_stats"], "items groups"),
+        report(
+            "stock_completeness",
+            "'1'",
+            ORACLE_SQL["stock_completeness"],
+            "total_items items_with_name items_with_price items_with_brand items_with_size",
+            "pct_name pct_price pct_brand pct_size",
+        ),
+    ),
+    "overwrite_by_pointer": f"""SELECT o_orderkey AS OrderID, {PRICED.format(markup=1)}, 'later' AS Kind,
+        CAST(year(o_orderdate) + 1 AS INT) AS OrderYear FROM orders WHERE o_orderkey % 3 <> 0""",
+    "gold_daily_sales_incremental": over(
+        "orders order_lines",
+        """SELECT CAST(o.OrderDate AS DATE) AS OrderDate, count(*) AS orders,
+        CAST(coalesce(sum(ol.n), 0) AS BIGINT) AS lines,
+        CAST(coalesce(sum(ol.v), 0) AS DECIMAL(38,2)) AS revenue FROM o
+        LEFT JOIN (SELECT OrderID, count(*) AS n, sum(Quantity * UnitPrice) AS v
+        FROM ol GROUP BY OrderID) ol ON o.OrderID = ol.OrderID
+        WHERE o.OrderDate IS NOT NULL GROUP BY CAST(o.OrderDate AS DATE)""",
+        f"""{newest("o", "OrderID", "orders_0", "orders_1", "orders_2")},
+        {newest("ol", "OrderLineID", "lines_0", "lines_2")}""",
+    ),
+    "stream_upsert_orders": STREAM_UPSERT,
+    "profile_of_growing_table": f"""WITH t AS (SELECT o_orderkey AS OrderID, {PRICED.format(markup=0)},
+        year(o_orderdate) AS OrderYear, o_orderdate >= TIMESTAMP '1998-07-01' AS recent FROM orders)
+        {union(changed_profile("OrderID"), changed_profile("TotalPrice"))}""",
+    "quarantined_order_lines": over(
+        "order_lines",
+        f"""SELECT *, concat_ws(',', {", ".join(
+            f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END"
+            for name, rule in LINE_RULE_SQL.items())}) AS broken FROM b_order_lines""",
+    ),
+}

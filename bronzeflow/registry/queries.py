@@ -7,11 +7,12 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bronzeflow.config import PipelineConfig, RunContext, Target
-from bronzeflow.operators import incremental, profile, quality
+from bronzeflow.operators import incremental, profile, profile_store, quality, quarantine
 from bronzeflow.operators.lineage import add_lineage, lineage_columns, project
 from bronzeflow.operators.listing import sample_rows, table_inventory
 from bronzeflow.operators.sinks import (
@@ -20,19 +21,22 @@ from bronzeflow.operators.sinks import (
     verify_load,
     write_bronze,
 )
-from bronzeflow.plans import layers, reports, views
+from bronzeflow.plans import gold, layers, reports, views
 from bronzeflow.plans.job import load_increment, load_table, run_bronze
 from bronzeflow.session import job_session, scratch_path
 from bronzeflow.sources.catalog import read_bronze
 from bronzeflow.sources.fixtures import (
     FixtureSource,
     OrderEdits,
+    StoppingSource,
     bronze_input,
     read_fixture,
+    sales_change,
     versioned_input,
 )
 from bronzeflow.specs import CUSTOMERS, ORDER_LINES, ORDERS, SPECS
 from bronzeflow.streaming.append import append_stream, read_files
+from bronzeflow.streaming.upsert import applied_batches, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +46,11 @@ YEARLY_ORDERS = replace(
     ORDERS, ddl=f"{ORDERS.ddl.rstrip()}\n        OrderYear int", partition_by=("OrderYear",)
 )
 
+# Orders in parts that some edits change, for the gold table.
+SALES_ORDERS = replace(
+    ORDERS, ddl=f"{ORDERS.ddl.rstrip()}\n        OrderPart int", partition_by=("OrderPart",)
+)
+
 ROW_COUNT_TABLES = ("customers", "suppliers", "stock_items", "orders", "order_lines")
 STOCK_COUNT_TABLES = (
     "stock_items",
@@ -68,10 +77,10 @@ LINE_RULES = {
 PROFILED = ("StockItemID", "StockItemName", "Brand", "Size", "UnitPrice", "IsChillerStock")
 
 
-def fresh_target(spark: SparkSession) -> Target:
+def fresh_target(spark: SparkSession, **options: bool) -> Target:
     """A schema of its own in the shared folder, for queries that write."""
     run = uuid.uuid4().hex
-    target = Target(f"bronze_{run}", location=scratch_path(spark, "bronze"))
+    target = Target(f"bronze_{run}", location=scratch_path(spark, "bronze"), **options)
     ensure_namespace(spark, target)
     return target
 
@@ -179,6 +188,159 @@ def bronze_run(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "table string, metric string, value double")
 
 
+def shown(value: object) -> str | None:
+    if value is None or isinstance(value, (int, str)):
+        return None if value is None else str(value)
+    return f"{float(value):.4f}"
+
+
+#: Column that names the rows of a report; rows without one are numbered.
+REPORT_ROWS = {
+    "orders": "metric",
+    "stock_counts": "TableName",
+    "category_distribution": "StockGroupName",
+}
+
+
+def bronze_run_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Every figure of every report of the whole job."""
+    cfg = PipelineConfig(
+        schema_name=f"bronze_{uuid.uuid4().hex}", location=scratch_path(spark, "run")
+    )
+    result = run_bronze(spark, cfg, FixtureSource(sf), RUN, strict=False)
+    if result.failed_reports:
+        raise RuntimeError(f"reports failed: {result.failed_reports}")
+    rows = [
+        (report, row[REPORT_ROWS[report]] if report in REPORT_ROWS else str(n), metric, shown(value))
+        for report, found in result.reports.items()
+        for n, row in enumerate(found, 1)
+        for metric, value in row.asDict().items()
+        if metric not in (REPORT_ROWS.get(report), *lineage_columns(CUSTOMERS))
+    ]
+    return spark.createDataFrame(rows, "report string, row string, metric string, value string")
+
+
+def bronze_run_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job, stopped at its second table and taken up again: metrics, and reads of the source."""
+    cfg = PipelineConfig(
+        schema_name=f"bronze_{uuid.uuid4().hex}", location=scratch_path(spark, "run")
+    )
+    source = StoppingSource(sf, "orders")
+    try:
+        run_bronze(spark, cfg, source, RUN, strict=False, run_id="daily")
+    except ConnectionError:
+        result = run_bronze(spark, cfg, source, RUN, strict=False, run_id="daily")
+    rows = [
+        (table, metric, float(value))
+        for table, metrics in result.metrics.items()
+        for metric, value in (metrics | {"source_reads": source.reads[table]}).items()
+        if value is not None
+    ]
+    return spark.createDataFrame(rows, "table string, metric string, value double")
+
+
+def overwrite_by_pointer(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by year, then in their place all of them a year later, with a column more."""
+    target = fresh_target(spark, catalog_partitions=False)
+    write_bronze(incremental_rows(spark, sf, 0, "true"), target, YEARLY_ORDERS)
+    later = incremental_rows(spark, sf, 1, "OrderID % 3 <> 0").withColumn("Kind", F.lit("later"))
+    write_bronze(later, target, YEARLY_ORDERS)
+    return read_bronze(spark, target, "orders")
+
+
+def gold_daily_sales_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily sales after two increments of orders, the second one with lines."""
+    target = fresh_target(spark)
+    write_bronze(sales_change(spark, sf, "orders_0"), target, SALES_ORDERS)
+    write_bronze(sales_change(spark, sf, "lines_0"), target, ORDER_LINES)
+    gold.build_daily_sales(spark, target, SALES_ORDERS)
+    gold.refresh_daily_sales(
+        spark, target, sales_change(spark, sf, "orders_1"), orders=SALES_ORDERS
+    )
+    gold.refresh_daily_sales(
+        spark,
+        target,
+        sales_change(spark, sf, "orders_2"),
+        sales_change(spark, sf, "lines_2"),
+        SALES_ORDERS,
+    )
+    return read_bronze(spark, target, "daily_sales").drop("SalesYear")
+
+
+def stream_upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Two looks at orders as files of a stream; its second batch fails once when it is in the table."""
+    target, landing = fresh_target(spark), scratch_path(spark, "landing")
+    checkpoint, failures = scratch_path(spark, "stream"), []
+    for second in (False, True):
+        look = OrderEdits(sf, second).read(spark, YEARLY_ORDERS)
+        look.coalesce(1).write.mode("append").parquet(landing)
+
+    def fail_once(_: SparkSession, batch_id: int) -> None:
+        if batch_id == 1 and not failures:
+            failures.append(batch_id)
+            raise ConnectionError("stopped")
+
+    for attempt in range(2):
+        rows = read_files(spark, landing, look.schema, files_per_batch=1)
+        query = upsert_stream(rows, target, YEARLY_ORDERS, checkpoint, then=fail_once)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if attempt or not failures:
+                raise
+    counted = applied_batches(spark, target, YEARLY_ORDERS).agg(F.sum("rows").alias("streamed_rows"))
+    streamed = counted.first()[0]
+    spark.catalog.refreshTable(target.name("orders"))
+    return read_bronze(spark, target, "orders").select(
+        "OrderID",
+        "CustomerID",
+        "LastEditedWhen",
+        "OrderYear",
+        F.lit(streamed).cast("bigint").alias("streamed_rows"),
+    )
+
+
+#: Share by which the sketch of a column may miss its distinct values: four standard errors.
+SKETCH_ERROR = 0.065
+
+
+def profile_of_growing_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Profile of orders by year, kept up to date over two loads of different years."""
+    target = fresh_target(spark)
+    first = incremental_rows(spark, sf, 0, "LastEditedWhen < TIMESTAMP_NTZ '1999-01-01 00:00:00'")
+    write_bronze(first, target, YEARLY_ORDERS)
+    profile_store.refresh_profile(spark, target, YEARLY_ORDERS)
+    later = incremental_rows(spark, sf, 0, "LastEditedWhen >= TIMESTAMP_NTZ '1998-07-01 00:00:00'")
+    incremental.upsert_table(spark, target, YEARLY_ORDERS, later, "TotalPrice")
+    read = profile_store.refresh_profile(spark, target, YEARLY_ORDERS)
+    orders = read_bronze(spark, target, "orders")
+    exact = profile.column_profile(orders, ["OrderID", "TotalPrice"], distinct="exact")
+    found = profile_store.stored_profile(spark, target, YEARLY_ORDERS)
+    near = F.abs(F.col("distinct") - F.col("exact")) <= SKETCH_ERROR * F.col("exact")
+    return found.join(exact.select("column", F.col("distinct").alias("exact")), "column").select(
+        "column",
+        "rows",
+        "nulls",
+        "min",
+        "max",
+        "mean",
+        "stddev",
+        near.alias("distinct_is_near"),
+        F.lit(read).cast("bigint").alias("partitions_read"),
+    )
+
+
+def quarantined_order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that meet all rules, and those that do not with the rules they break."""
+    target = fresh_target(spark)
+    lines = bronze_input(spark, sf, "order_lines")
+    quarantine.write_checked(lines, target, ORDER_LINES, LINE_RULES)
+    good = quarantine.passing(spark, target, ORDER_LINES).withColumn("broken", F.lit(""))
+    bad = quarantine.quarantined(spark, target, ORDER_LINES)
+    bad = bad.withColumn("broken", F.array_join(quarantine.BROKEN, ",")).drop(quarantine.BROKEN)
+    return good.unionByName(bad)
+
+
 def orphan_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders, every tenth customer id made dangling, against all customers."""
     dangling = bronze_input(spark, sf, "orders").withColumn(
@@ -292,6 +454,9 @@ QUERIES: dict[str, Query] = {
     "append_if_empty_orders": seed_partitioned,
     "incremental_load": incremental_load,
     "bronze_run": bronze_run,
+    "bronze_run_reports": bronze_run_reports,
+    "bronze_run_resumed": bronze_run_resumed,
+    "overwrite_by_pointer": overwrite_by_pointer,
     "dup_customer_ids": over(
         "customers", lambda df: quality.duplicate_keys(df, CUSTOMERS.primary_key)
     ),
@@ -359,5 +524,9 @@ QUERIES: dict[str, Query] = {
     "gold_category_revenue": lambda spark, sf: layers.category_revenue(
         bronze_input(spark, sf, "order_lines"), *groups_and_junction(spark, sf)
     ),
+    "gold_daily_sales_incremental": gold_daily_sales_incremental,
+    "profile_of_growing_table": profile_of_growing_table,
+    "quarantined_order_lines": quarantined_order_lines,
     "stream_events": stream_events,
+    "stream_upsert_orders": stream_upsert_orders,
 }

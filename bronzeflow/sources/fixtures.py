@@ -7,9 +7,10 @@ Spark and in DuckDB: the same text gives the bronze-shaped input on both sides.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bronzeflow.specs import TableSpec
 
@@ -206,6 +207,38 @@ class OrderEdits:
         return rows if self.second else rows.where(f"LastEditedWhen <= {LOADED_UNTIL}")
 
 
+#: Orders and lines as two increments change them, for gold tables. Each is a
+#: query over ``{orders}`` or ``{lines}``, valid in Spark and in DuckDB. Orders move
+#: to other dates, lose or get one, and some are new; lines move to other orders.
+DATED = "CAST(OrderDate AS DATE)"
+SALES_CHANGES = {
+    "orders_0": f"""SELECT OrderID, CustomerID, {DATED} AS OrderDate,
+        TIMESTAMP '2024-01-01 00:00:00' AS LastEditedWhen, CAST(OrderID % 8 AS INT) AS OrderPart
+        FROM {{orders}} WHERE OrderID % 10 <> 3""",
+    "orders_1": f"""SELECT OrderID, CustomerID, CASE WHEN OrderID % 21 = 0 THEN NULL
+        ELSE {DATED} + INTERVAL 40 DAY END AS OrderDate,
+        TIMESTAMP '2024-02-01 00:00:00' AS LastEditedWhen, CAST(OrderID % 8 AS INT) AS OrderPart
+        FROM {{orders}} WHERE OrderID % 7 = 0 OR OrderID % 10 = 3""",
+    "orders_2": f"""SELECT OrderID, CustomerID, coalesce({DATED}, DATE '1996-05-05') AS OrderDate,
+        TIMESTAMP '2024-03-01 00:00:00' AS LastEditedWhen, CAST(OrderID % 5 AS INT) AS OrderPart
+        FROM {{orders}} WHERE OrderID % 14 = 0 OR OrderDate IS NULL""",
+    "lines_0": """SELECT OrderLineID, OrderID, StockItemID, Quantity, UnitPrice,
+        TIMESTAMP '2024-01-01 00:00:00' AS LastEditedWhen FROM {lines}""",
+    "lines_2": """SELECT OrderLineID, min(OrderID) + 1 AS OrderID, min(StockItemID) AS StockItemID,
+        CAST(min(Quantity) + 1 AS INT) AS Quantity, min(UnitPrice) AS UnitPrice,
+        TIMESTAMP '2024-03-01 00:00:00' AS LastEditedWhen FROM {lines}
+        WHERE OrderLineID % 9 = 0 GROUP BY OrderLineID""",
+}
+
+
+def sales_change(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text = SALES_CHANGES[name].format(orders="{rows}", lines="{rows}")
+    table = "orders" if name.startswith("orders") else "order_lines"
+    rows = spark.sql(text, rows=bronze_input(spark, sf_dir, table))
+    dates = {"OrderDate": F.col("OrderDate").cast("date")} if table == "orders" else {}
+    return rows.withColumns(dates)
+
+
 @dataclass(frozen=True)
 class FixtureSource:
     """Source of the whole bronze run over the given parquet tables."""
@@ -214,3 +247,18 @@ class FixtureSource:
 
     def read(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
         return bronze_input(spark, self.sf_dir, spec.name)
+
+
+@dataclass
+class StoppingSource:
+    """The same source, but reading ``stops_at`` fails once; ``reads`` counts per table."""
+
+    sf_dir: str
+    stops_at: str
+    reads: dict[str, int] = field(default_factory=dict)
+
+    def read(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
+        self.reads[spec.name] = self.reads.get(spec.name, 0) + 1
+        if spec.name == self.stops_at and self.reads[spec.name] == 1:
+            raise ConnectionError(f"{spec.name}: connection lost")
+        return bronze_input(spark, self.sf_dir, spec.name)

@@ -14,13 +14,17 @@ from bronzeflow.config import RunContext, Target
 
 
 def read_files(
-    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet"
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    pattern: str = "*.parquet",
+    files_per_batch: int = 1000,
 ) -> DataFrame:
     """Files of a folder as a stream; new ones join as they arrive."""
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", "1000")
+        .option("maxFilesPerTrigger", str(files_per_batch))
         .parquet(folder)
     )
 

@@ -10,7 +10,12 @@ from tests.compare import duck, duck_rows, duck_types, same_types, spark_rows
 SF_DIR = "/root/testdata/sf0.01"
 # They write one folder per date; fewer dates will do.
 SMALL_SF_DIR = "/root/testdata/sf0.001"
-WRITES_DATES = {"bronze_roundtrip_orders", "bronze_run"}
+WRITES_DATES = {
+    "bronze_roundtrip_orders",
+    "bronze_run",
+    "bronze_run_reports",
+    "bronze_run_resumed",
+}
 
 
 @pytest.fixture(scope="module")

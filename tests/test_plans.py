@@ -15,6 +15,13 @@ WRITES = {
     "incremental_load",
     "schema_evolution",
     "bronze_run",
+    "bronze_run_reports",
+    "bronze_run_resumed",
+    "overwrite_by_pointer",
+    "gold_daily_sales_incremental",
+    "profile_of_growing_table",
+    "quarantined_order_lines",
+    "stream_upsert_orders",
     "upsert_partitioned_table",
     "stream_events",
 }
