@@ -384,10 +384,7 @@ class Encoder:
         is_stop = codes[starts] >= STOP
         owner = (np.cumsum(is_stop) - is_stop)[~is_stop]
         begin, end = begin[~is_stop], end[~is_stop]
-        # Equal words of the piece are found by hash, so each is looked up once.
-        _, first, which = np.unique(
-            _word_hashes(octets, begin, end), return_index=True, return_inverse=True
-        )
+        first, which = _different_words(raw, octets, begin, end)
         words = [raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]
         if len(self.known) > REMEMBERED:
             self.forget()
@@ -432,6 +429,29 @@ def _word_hashes(octets: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.n
     return h ^ (h >> np.uint64(32))
 
 
+def _different_words(
+    raw: bytes, octets: np.ndarray, begin: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different word, and of each place the number of its word.
+
+    Words are brought together by hash, so each is looked up once. Every place is
+    then compared with the word that stands for it; if two words have one hash,
+    the words themselves are the keys.
+    """
+    _, first, which = np.unique(
+        _word_hashes(octets, begin, end), return_index=True, return_inverse=True
+    )
+    sizes, own = end - begin, first[which]
+    if np.array_equal(sizes, sizes[own]) and np.array_equal(
+        octets[spread(begin, sizes)], octets[spread(begin[own], sizes)]
+    ):
+        return first, which
+    numbers: dict[bytes, int] = {}
+    words = (raw[a:b] for a, b in zip(begin.tolist(), end.tolist()))
+    which = np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.int64)
+    return np.unique(which, return_index=True)[1], which
+
+
 _CUT = regex.compile(rb"[!-~](?= )")
 
 

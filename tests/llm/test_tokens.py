@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -126,3 +127,19 @@ def test_queries_against_the_library(spark, library):
         assert own.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         text = library.decode(ids, skip_special_tokens=False)
         assert own.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("length", [1024, 2048])
+def test_words_of_equal_hash_are_told_apart(library, length):
+    """A polynomial modulo 2**64 cannot tell this word from the one with its letters exchanged."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(length))
+    other = word.translate(str.maketrans("ab", "ba"))
+    raw = f"{word} {other} {word}".encode()
+    begin = np.array([0, length + 1])
+    octets = np.frombuffer(raw, dtype=np.uint8)
+    same = bpe._word_hashes(octets, begin, begin + length)
+    assert same[0] == same[1]
+    own = bpe.Encoder(PATH)
+    for text in (f"{word}\n{other}", f"{other}\n{word}\n{word}", f"x\n{word}\n{other}\nx"):
+        ids, _ = own.encode([text.encode()])
+        assert ids.tolist() == library.encode(text).ids
