@@ -25,7 +25,7 @@ from bronzeflow.llm.common import scratch
 BLOCK = 8192
 BLOCK_BYTES = 4 << 20
 #: Queries and candidates of one product, and pairs recomputed at once.
-ROWS, COLUMNS, PAIRS = 256, 4096, 1 << 16
+ROWS, COLUMNS, PAIR_BYTES = 256, 4096, 64 << 20
 #: Products of int8 numbers add up exactly in float32 over so many components.
 EXACT = 1024
 NO_ID = np.iinfo(np.int64).max
@@ -54,6 +54,8 @@ def nearest(
       Ties go to the smaller id, a null id last.
     * Vectors that are null, zero, or hold a null or non-finite component take
       no part; vectors of different lengths do not meet.
+    * Products too large for a double are infinite, and rank so; one that is no
+      number, since its parts are infinite in both directions, counts as the least.
     * A query with fewer candidates has fewer rows, none without any. An empty
       table gives no rows. Other columns are not looked at.
     """
@@ -145,35 +147,42 @@ class Rounded(NamedTuple):
 
 
 def rounded(vectors: np.ndarray) -> Rounded:
-    scale = np.abs(vectors).max(axis=1) / 127
-    whole = np.rint(vectors / scale[:, None]).astype(np.int8)
-    error = np.linalg.norm(vectors - whole * scale[:, None], axis=1)
-    return Rounded(whole, scale, np.linalg.norm(vectors, axis=1), error)
+    with np.errstate(all="ignore"):  # what overflows has no finite bound, see ``bounds``
+        scale = np.abs(vectors).max(axis=1) / 127
+        whole = np.nan_to_num(np.rint(vectors / scale[:, None])).clip(-127, 127).astype(np.int8)
+        error = np.linalg.norm(vectors - whole * scale[:, None], axis=1)
+        return Rounded(whole, scale, np.linalg.norm(vectors, axis=1), error)
 
 
 def bounds(q: Rounded, c: Rounded) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bounds of all inner products of two blocks.
 
     With q = q' + e and c = c' + f: qc = q'c' + ec + q'f, the last two by the
-    norms. A little is added for the rounding of these sums themselves.
+    norms. A little is added for the rounding of these sums themselves. A pair
+    whose bounds are not finite may have any product, so it always survives.
     """
     tile = np.zeros((len(q.whole), len(c.whole)))
     for d in range(0, q.whole.shape[1], EXACT):
         left, right = (x.whole[:, d : d + EXACT].astype(np.float32) for x in (q, c))
         tile += left @ right.T
-    tile *= q.scale[:, None]
-    tile *= c.scale
-    slack = np.outer(q.error, c.norm) + np.outer(q.norm + q.error, c.error)
-    slack += np.outer(q.norm, c.norm) * 1e-12
-    return tile - slack, tile + slack
+    with np.errstate(all="ignore"):
+        tile *= q.scale[:, None]
+        tile *= c.scale
+        slack = np.outer(q.error, c.norm) + np.outer(q.norm + q.error, c.error)
+        slack += np.outer(q.norm, c.norm) * 1e-12
+        low, high = tile - slack, tile + slack
+    unknown = ~(np.isfinite(low) & np.isfinite(high))
+    low[unknown], high[unknown] = -np.inf, np.inf
+    return low, high
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Inner products of pairs, added up in the order of components: equal for equal vectors."""
     total = np.zeros(len(q))
-    for d in range(q.shape[1]):
-        total += q[:, d] * c[:, d]
-    return total
+    with np.errstate(all="ignore"):
+        for d in range(q.shape[1]):
+            total += q[:, d] * c[:, d]
+    return np.where(np.isnan(total), -np.inf, total)
 
 
 def _tile_top(k: int):
@@ -215,8 +224,9 @@ def _top(q, q_rows, c, c_ids, c_rows, k) -> list[list[tuple[float, int, int]]]:
         other = c_rows[part][columns] != q_rows[rows]
         rows, columns = rows[other], columns[other] + lo
         score = np.empty(len(rows))
-        for at in range(0, len(rows), PAIRS):
-            pairs = slice(at, at + PAIRS)
+        some = max(1, PAIR_BYTES // (16 * max(1, q.shape[1])))
+        for at in range(0, len(rows), some):
+            pairs = slice(at, at + some)
             score[pairs] = products(q[rows[pairs]], c[columns[pairs]])
         order = np.lexsort((c_rows[columns], c_ids[columns], -score, rows))
         rows, columns, score = rows[order], columns[order], score[order]

@@ -52,6 +52,25 @@ def test_bounds_hold():
     assert (low <= exact).all() and (exact <= high).all()
 
 
+def test_huge_and_tiny_vectors_lose_no_neighbour(spark):
+    big = [[1e200, 1e200], [1e160, -1e160], [-1e160, 1e155], [1e-200, 1e-310], [5e-324, 0.0], [3.0, -2.0]]
+    rows = [(n * 10, v) for n, v in enumerate(big * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=30).collect()
+    with np.errstate(all="ignore"):
+        wanted = []
+        for n, (i, q) in enumerate(rows):
+            if i % 20:
+                continue
+            scores = [
+                (-np.nan_to_num(np.float64(q[0]) * c[0] + np.float64(q[1]) * c[1], nan=-np.inf, posinf=np.inf, neginf=-np.inf), j)
+                for m, (j, c) in enumerate(rows)
+                if m != n
+            ]
+            wanted += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scores))]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(wanted)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, [1.0])], [(20, [1.0])]])
 def test_without_candidates(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
