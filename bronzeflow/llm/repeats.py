@@ -13,8 +13,9 @@ named by a 64-bit hash.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ class Windows:
     length: int
     gram: int
     words: bool
+    #: Drawn per run, so that no text can be written to fit the hashes.
+    seed: int = field(default_factory=lambda: secrets.randbits(62))
 
     @property
     def before(self) -> int:
@@ -52,15 +55,28 @@ class Windows:
 
 
 class Sums:
-    """Hashes of stretches of symbols, from running sums of a polynomial."""
+    """Hashes of stretches of a gram or more, from running sums of a polynomial.
 
-    def __init__(self, symbols: np.ndarray) -> None:
+    The terms of a polynomial over bytes can be chosen so that it vanishes modulo
+    2**64. So its coefficients are not bytes but hashes of eight bytes that follow
+    each other, with the seed of the run; those of words are hashed again.
+    """
+
+    def __init__(self, symbols: np.ndarray, spec: Windows) -> None:
+        self.over = 1 if spec.words else min(8, spec.gram)
+        n = max(0, len(symbols) - self.over + 1)
+        terms = np.full(n, spec.seed, dtype=np.uint64)
+        if spec.words:
+            terms ^= symbols
+        else:
+            for k in range(self.over):
+                terms ^= (symbols[k : n + k] - np.uint64(1)) << np.uint64(8 * k)
         up, self.down = powers(len(symbols) + 1)
-        self.sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
-        np.cumsum(symbols * up[: len(symbols)], out=self.sums[1:])
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(mixed(terms, 5) * up[:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[end] - self.sums[start]) * self.down[start], 1)
+        return mixed((self.sums[end - self.over + 1] - self.sums[start]) * self.down[start], 1)
 
 
 _POWERS: list[np.ndarray] = []
@@ -101,7 +117,7 @@ def anchors_of(
     n = len(symbols)
     if n < spec.length:
         return none, none, none, none
-    sums = Sums(symbols)
+    sums = Sums(symbols, spec)
     starts = np.arange(n - spec.gram + 1)
     gram = sums.of(starts, starts + spec.gram)
     order = (gram & ~PLACE) | starts.astype(np.uint64)
@@ -228,7 +244,7 @@ def window_hashes(placed: DataFrame, spec: Windows) -> DataFrame:
 
     def hashed(hashes: WordHashes, text: bytes, at, left, right) -> pa.Array:
         symbols = spec.symbols(text, hashes)
-        sums = Sums(symbols)
+        sums = Sums(symbols, spec)
         back = np.arange(spec.before + 1)
         there = (back <= left[:, None]) & (back >= spec.length - right[:, None])
         start = np.where(there, at[:, None] - back, 0)

@@ -113,3 +113,30 @@ def test_buckets_grow_in_number_with_the_contexts(spark, monkeypatch):
     bodies = [(t or "").encode() for t in texts]
     wanted = brute(bodies, 40)
     assert all([tuple(x) for x in r.kept_text_spans or []] == wanted[r.doc_id] for r in rows)
+
+
+def vanishing_difference():
+    """Steps between two texts that a polynomial over bytes modulo 2**64 does not see.
+
+    Any odd base to the power of an even number is one modulo a power of two, so a
+    product of such differences vanishes. The steps leave 40 bytes in the middle alone.
+    """
+    steps = np.array([1], dtype=object)
+    for power, times in ((1, 2), (2, 3), (4, 3), (8, 3), (16, 1), (32, 1), (64, 1), (200, 1)):
+        factor = np.zeros(power + 1, dtype=object)
+        factor[0], factor[power] = -1, 1
+        for _ in range(times):
+            steps = np.convolve(steps, factor)
+    return steps
+
+
+def test_texts_made_for_a_polynomial_are_told_apart(spark):
+    steps = vanishing_difference()
+    assert sum(int(c) * pow(repeats.BASE, i, 1 << 64) for i, c in enumerate(steps)) % (1 << 64) == 0
+    assert max(abs(int(c)) for c in steps) <= 94
+    assert not any(steps[160:200])
+    one = bytes(32 + max(0, int(c)) for c in steps).ljust(360, b"~")
+    two = bytes(32 + max(0, -int(c)) for c in steps).ljust(360, b"~")
+    df = spark.createDataFrame([(1, one.decode()), (2, two.decode())], "doc_id long, text string")
+    rows = suffixes.without_repeats(df).collect()
+    assert all(not r.kept_text_spans for r in rows)
