@@ -7,9 +7,11 @@ space of the balancing constraints (document count and word count), which keeps
 both totals exactly, until a unit reaches 0 or 1 and is decided. A block of units
 ends with at most two of them undecided; these meet those of other blocks in the
 next round, until each source has one block left. Only its last two units land
-by a draw, so a source misses its target by less than two units' words. A unit is
-one document if ids are unique; rows of equal id, source and size are one unit,
-and a source may then miss its target by all the words of such a group.
+by a draw, so a source misses its target by less than two documents' words.
+
+Rows of equal id, source and text are one unit: of m such rows the whole part of m
+times the probability is given out by arithmetic, to as many of them, and only the
+remaining fraction, less than one row, is a unit of the flight.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bronzeflow.llm.common import count_words, free_name, scratch, whole_text
+from bronzeflow.llm.common import count_words, scratch, whole_text
 
 #: Weights of the sources in code point order (null last), repeating.
 CYCLE = (1, 2, 3)
@@ -79,82 +81,115 @@ def mix(
 ) -> DataFrame:
     """``(id, size, source_size, target, copies)``: how often the mix takes each row.
 
-    * Rows of equal id, source and size are one unit: they share a decision, even
-      with different texts. A large group of them is not divided, so its source
-      may miss the target by up to the words of the group.
+    * Of rows of equal id, source and text some may be taken once more than others.
     * Null text: no words. Null id and null source: values like any other, the
       null source last. A source without words has target 0 and is not taken.
-    * Reruns agree: all draws are hashes of id, source, size and seed.
+    * Reruns agree: all draws are hashes of id, source, size, text and seed. Which of
+      equal rows is taken once more is not told, since they are equal.
     * An empty table gives no rows. No other columns are looked at.
     """
-    rows = scratch(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.col(source_col).cast("string").alias("source"),
-            count_words(whole_text(text_col)).alias("size"),
-        ),
-        "mixing-sizes",
+    rows = _numbered_rows(docs, id_col, text_col, source_col)
+    decided, targets = _decided(rows, seed, block)
+    named = targets.withColumnRenamed("source", "_source")
+    return (
+        _given_out(rows, decided)
+        .join(named, F.col("source").eqNullSafe(F.col("_source")))
+        .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies")
     )
-    units = rows.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
+
+
+UNIT = ("id", "source", "size", "kind")
+
+
+def _numbered_rows(
+    docs: DataFrame, id_col: str, text_col: str, source_col: str, carry: bool = False
+) -> DataFrame:
+    """``(id, source, size, kind, part, place)``, and the whole row as ``doc`` if asked for.
+
+    ``kind`` is a hash of the text, ``part`` and ``place`` tell equal rows apart.
+    """
+    text = whole_text(text_col)
+    columns = [
+        F.col(id_col).alias("id"),
+        F.col(source_col).cast("string").alias("source"),
+        count_words(text).alias("size"),
+        F.xxhash64(text).alias("kind"),
+        F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().alias("place"),
+    ]
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []
+    return scratch(docs.select(*columns, *whole), "mixing-rows")
+
+
+def _decided(rows: DataFrame, seed: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, source, size, kind, rows, whole, extra)`` of each unit; and the targets.
+
+    Every row is taken ``whole`` times, and ``extra`` of them once more.
+    """
+    units = rows.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("rows"))
     units = scratch(units.withColumn("words", F.col("size") * F.col("rows")), "mixing-units")
     targets = scratch(source_targets(units), "mixing-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # One row per source on the right; the planner broadcasts it only if it is small.
     named = targets.withColumnRenamed("source", "_source")
+    part = (ratio - F.floor(ratio)) * F.col("rows")
     planned = units.join(named, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "id",
-        "source",
-        "size",
-        F.col("rows").cast("double").alias("n"),
-        F.col("words").cast("double").alias("w"),
+        *UNIT,
+        "rows",
+        F.lit(1.0).alias("n"),
+        F.col("size").cast("double").alias("w"),
         F.floor(ratio).cast("int").alias("whole"),
-        (ratio - F.floor(ratio)).alias("p"),
-        F.xxhash64("id", "source", "size", F.lit(seed)).alias("draw"),
+        F.floor(part).cast("long").alias("sure"),
+        (part - F.floor(part)).alias("p"),
+        F.xxhash64(*UNIT, F.lit(seed)).alias("draw"),
     )
-    decided = _cube(planned, block)
-    joined = rows.join(
-        decided.withColumnsRenamed({"id": "_id", "source": "_source", "size": "_size"}),
-        F.col("id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & F.col("size").eqNullSafe(F.col("_size")),
-    ).drop("_id", "_source", "_size")
-    return joined.join(named, F.col("source").eqNullSafe(F.col("_source"))).select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies")
+    return _cube(planned, block), targets
 
 
-def mixed_documents(docs: DataFrame, text_col: str = "text", **options: object) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, with their own columns."""
-    id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
-    decisions = (
-        mix(docs, text_col=text_col, **options)
-        .where("copies > 0")
-        .select(
-            F.col(id_col).alias("k1"),
-            F.col("source").alias("k2"),
-            F.col("size").alias("k3"),
-            "copies",
-        )
-        .distinct()
-    )
-    size, key, copy = (free_name(docs, x) for x in ("mixsize", "mixkey", "mixcopy"))
-    decisions = decisions.select(
-        F.col("k1").alias(f"{key}1"), F.col("k2").alias(f"{key}2"), F.col("k3").alias(f"{key}3"),
-        F.col("copies").alias(copy),
+def _given_out(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """``rows`` with ``copies``: equal rows in order of part and place, the first ones once more.
+
+    Rows are numbered within their part, and parts by the counts of those before
+    them, so equal rows are never brought together in one task.
+    """
+    own = decided.withColumnsRenamed({c: f"_{c}" for c in UNIT})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in UNIT]
+    joined = rows.join(own, same).drop(*[f"_{c}" for c in UNIT])
+    alone = joined.where("rows = 1").withColumn("copies", F.col("whole") + F.col("extra").cast("int"))
+    many = joined.where("rows > 1")
+    # A row for each part that has rows of the unit.
+    counts = many.groupBy(*UNIT, "part").agg(F.count(F.lit(1)).alias("here"))
+    earlier = Window.partitionBy(*UNIT).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("here").over(earlier), F.lit(0)))
+    counts = counts.withColumnsRenamed({c: f"_{c}" for c in (*UNIT, "part")}).drop("here")
+    within = Window.partitionBy(*UNIT, "part").orderBy("place")
+    numbered = many.withColumn("number", F.row_number().over(within)).join(
+        counts, [*same, F.col("part") == F.col("_part")]
     )
-    return (
-        docs.withColumn(size, count_words(whole_text(text_col)))
-        .join(
-            decisions,
-            F.col(id_col).eqNullSafe(F.col(f"{key}1"))
-            & F.col(source_col).cast("string").eqNullSafe(F.col(f"{key}2"))
-            & (F.col(size) == F.col(f"{key}3")),
-        )
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy))))
-        .select(*docs.columns)
+    more = (F.col("before") + F.col("number") <= F.col("extra")).cast("int")
+    columns = [*rows.columns, "copies"]
+    return alone.select(*columns).unionByName(
+        numbered.withColumn("copies", F.col("whole") + more).select(*columns)
     )
 
 
+def mixed_documents(
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    seed: int = 23,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The documents of the mix, each as often as it is taken, with their own columns."""
+    rows = _numbered_rows(docs, id_col, text_col, source_col, carry=True)
+    decided, _ = _decided(rows.drop("doc"), seed, block)
+    taken = _given_out(rows, decided).where("copies > 0")
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
+
+
 def _cube(planned: DataFrame, block: int) -> DataFrame:
-    """``(id, source, size, copies)`` of every unit."""
+    """``(id, source, size, kind, rows, whole, extra)`` of every unit."""
     state = planned.select("*", F.lit(-1).alias("taken"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema.fields])
     done, rounds = [], 0
@@ -179,7 +214,8 @@ def _cube(planned: DataFrame, block: int) -> DataFrame:
     result = done[0]
     for more in done[1:]:
         result = result.unionByName(more)
-    return result.select("id", "source", "size", (F.col("whole") + F.col("taken")).alias("copies"))
+    extra = (F.col("sure") + F.col("taken")).alias("extra")
+    return result.select(*UNIT, "rows", "whole", extra)
 
 
 def _fly(units: pd.DataFrame) -> pd.DataFrame:
