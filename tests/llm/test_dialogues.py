@@ -1,0 +1,162 @@
+import hashlib
+import heapq
+import random
+import zlib
+
+import pytest
+
+from bronzeflow.llm import dialogues
+from bronzeflow.llm.dialogues import Auction, Turn
+from bronzeflow.llm.oracle import ORACLE_SQL
+from bronzeflow.llm.queries import damaged, op11_conversation_repair
+from tests.compare import duck, duck_rows, spark_rows
+
+SF_DIR = "/root/testdata/sf0.01"
+SCHEMA = "conv_id long, turn long, role string, text string, copies int"
+BREAKS = " \t\n\x0b\x0c\r"
+
+
+def after_damage(rows):
+    """Conversations after damage, by plain reading of the contract."""
+    found = {}
+    for conv, turn, role, text in rows:
+        turns = found.setdefault(conv, [])
+        name = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        fault = zlib.crc32(name.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fault == 1:
+            text = ""
+        if fault == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if fault == 4:
+            role = "user"
+        if fault:
+            turns += [(turn, role, text)] * (2 if fault == 3 else 1)
+    order = lambda t: (t[0] is not None, t[0] or 0, t[1].encode(), t[2].encode())
+    return {conv: sorted(turns, key=order) for conv, turns in found.items()}
+
+
+def best(turns):
+    """Cost, audit and repaired turns by Dijkstra over (cost, audit), and the counts."""
+    forced, late, blank, duplicate, truncated = [], [], 0, 0, 0
+    for i, (_, role, text) in enumerate(turns):
+        empty = not text.strip(BREAKS)
+        again = (role, text) in [t[1:] for t in turns[:i]]
+        cut = text.rstrip(BREAKS)[-1:] not in ".!?" or not text.rstrip(BREAKS)
+        forced.append(empty or again)
+        late.append(cut and not forced[-1])
+        blank, duplicate, truncated = blank + empty, duplicate + (again and not empty), truncated + late[-1]
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, i, roles, out = heapq.heappop(heap)
+        if (i, roles) in done:
+            continue
+        done.add((i, roles))
+        if i == len(turns) and roles in ("", "a"):
+            break
+        wanted = {"": "us", "s": "u", "u": "a", "a": "u"}[roles]
+        for letter in wanted.replace("s", ""):
+            full = {"u": "user", "a": "assistant"}[letter]
+            heapq.heappush(heap, (cost + 5, audit + "I", i, letter, (*out, full + ":")))
+            if i < len(turns) and not forced[i]:
+                extra = 5 * late[i]
+                new = (*out, f"{full}:{turns[i][2]}")
+                heapq.heappush(heap, (cost + 1 + extra, audit + "R", i + 1, letter, new))
+        if i < len(turns):
+            heapq.heappush(heap, (cost + 2, audit + "D", i + 1, roles, out))
+            initial = turns[i][1][:1]
+            if not forced[i] and initial and initial in wanted:
+                new = (*out, f"{turns[i][1]}:{turns[i][2]}")
+                heapq.heappush(heap, (cost + 5 * late[i], audit + "K", i + 1, initial, new))
+    numbers = [t[0] for t in turns if t[0] is not None]
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    illegal = sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+    digest = hashlib.sha256("\n".join(out).encode()).hexdigest()
+    return gaps, blank, duplicate, truncated, illegal, cost, audit, digest
+
+
+def run(spark, rows, chunk):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = dialogues.summaries(dialogues.repair(damaged(df), chunk)).collect()
+    return {None if r.name == "" else int(r.name[1:]): tuple(r)[1:] for r in found}
+
+
+def made(seed, n):
+    rng = random.Random(seed)
+    texts = ["One.", "Two!", "three", "", " \t\n", "Four? ", None, "fünf.", "six "]
+    roles = ["user", "assistant", "system", "tool", "", None, "User"]
+    weights = [6, 6, 2, 1, 1, 1, 1]
+    rows = []
+    for _ in range(n):
+        conv = rng.choice([None, *range(12), 7, 7, 7, 7])
+        turn = rng.choice([None, *range(9)])
+        rows.append((conv, turn, rng.choices(roles, weights)[0], rng.choice(texts) if rng.random() < 0.6 else f"t{rng.random()}."))
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+def test_against_dijkstra(spark, chunk):
+    rows = made(chunk, 250)
+    wanted = {conv: best(turns) for conv, turns in after_damage(rows).items()}
+    assert run(spark, rows, chunk) == wanted
+
+
+def test_long_and_repeated_conversations(spark):
+    """One conversation with most rows, one of one turn many times over."""
+    rng = random.Random(5)
+    rows = [(1, i // 2, rng.choice(["user", "assistant", "system"]), f"{rng.randrange(150)}.") for i in range(400)]
+    rows += [(2, 7, "user", "the same.")] * 300 + [(3, i, "user", f"{i}") for i in range(40)]
+    rows += [(4, None, "assistant", "x" * 100_000)]
+    wanted = {conv: best(turns) for conv, turns in after_damage(rows).items()}
+    assert run(spark, rows, 16) == wanted
+
+
+def test_all_turns_dropped_and_empty_table(spark):
+    gone = [c for c in range(500) if zlib.crc32(f"{c}:0".encode()) % 20 == 0]
+    found = run(spark, [(c, 0, "user", "Hello.") for c in gone], 8)
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert gone and found == {c: nothing for c in gone}
+    assert run(spark, [], 8) == {}
+
+
+def test_other_columns_do_not_matter(spark):
+    rows = [(1, i, "user", f"{i}.", "x", 3) for i in range(5)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, name string, at int")
+    found = dialogues.summaries(dialogues.repair(damaged(df))).collect()
+    assert [r.name for r in found] == ["=1"]
+
+
+def test_repaired_turns_are_a_dialogue(spark):
+    df = spark.createDataFrame([(*r, 1) for r in made(9, 200)], SCHEMA)
+    pieces = dialogues.repair(df, 4)
+    rows = dialogues.repaired_turns(pieces).orderBy("name", "at", "position").collect()
+    roles = {}
+    for r in rows:
+        roles[r.name] = roles.get(r.name, "") + r.role[0]
+    assert roles
+    for said in roles.values():
+        said = said.removeprefix("s")
+        assert said and said == "ua" * (len(said) // 2)
+
+
+def test_prices_are_dual_feasible_and_tight():
+    rng = random.Random(1)
+    for _ in range(200):
+        turns = [
+            Turn(rng.choice(["user", "assistant", "system", "x"]), rng.choice(["a.", "b", ""]), rng.random() < 0.8, rng.choice([1, 1, 3]))
+            for _ in range(rng.randrange(7))
+        ]
+        auction = Auction(turns, dialogues.ENDING)
+        cost = auction.cost(dialogues.START)
+        for node, arcs in enumerate(auction.arcs):
+            assert all(auction.price[node] <= a.cost + auction.price[a.to] for a in arcs)
+        path = auction.trace(dialogues.START)
+        assert sum(a.cost for a in path) == cost
+
+
+def test_query(spark):
+    query = op11_conversation_repair(spark, SF_DIR)
+    assert spark_rows(query) == duck_rows(duck(SF_DIR), ORACLE_SQL["op11_conversation_repair"])
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    wanted = {(conv, *best(turns)) for conv, turns in after_damage(rows).items()}
+    assert set(map(tuple, query.collect())) == wanted
