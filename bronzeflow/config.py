@@ -69,6 +69,7 @@ class PipelineConfig:
     sample_size: int = 5  # rows of the customers sample in the report
     jdbc_partitions: int = 0  # 0: by the number of rows, see jdbc_rows_per_partition
     jdbc_rows_per_partition: int = 1_000_000
+    jdbc_even_rows: bool = False  # split by quantiles of the key, for uneven keys
     jdbc_fetch_size: int = 10_000
     jdbc_encrypt: bool = True
     jdbc_options: Mapping[str, str] = field(default_factory=dict, repr=False)

@@ -94,9 +94,7 @@ def write_bronze(
     exists = spark.catalog.tableExists(name)
     if evolve and exists:
         df = align_to_existing(df, spark.table(name).schema)
-    if spec.partition_by:
-        df = df.hint("rebalance", *spec.partition_by)
-    df, observation = observed(df, spec.name, metrics)
+    df, observation = observed(laid_out(df, spec), spec.name, metrics)
     df = sorted_by_key(df, spec)
     if staged and exists and target.table_format in PLAIN_FORMATS:
         drop_versions(spark, target, spec.name)
@@ -123,9 +121,17 @@ def observed(
     return df.observe(observation, *metrics), observation
 
 
+def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows where they are written: partitions shared out by size, a bucket to a task."""
+    if spec.bucket_by:
+        return df.repartition(spec.buckets, *spec.bucket_by)
+    return df.hint("rebalance", *spec.partition_by) if spec.partition_by else df
+
+
 def sorted_by_key(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows of each task in order of partition, then of primary key."""
-    order = [c for c in (*spec.partition_by, *spec.primary_key) if c in df.columns]
+    """Rows of each task in order of partition or bucket, then of primary key."""
+    first = (*spec.partition_by, *spec.bucket_by)
+    order = [c for c in dict.fromkeys([*first, *spec.primary_key]) if c in df.columns]
     return df.sortWithinPartitions(*order) if order else df
 
 
@@ -164,6 +170,8 @@ def save(
     writer = df.write.mode(mode).format(target.table_format)
     if spec and spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
+    if spec and spec.bucket_by:
+        writer = writer.bucketBy(spec.buckets, *spec.bucket_by).sortBy(*spec.bucket_by)
     writer = writer.options(**key_filters(df, target, spec))
     with partitions_in_catalog(df.sparkSession, target.catalog_partitions):
         writer.saveAsTable(name)
@@ -205,8 +213,9 @@ def swap_in(spark: SparkSession, target: Target, landed: str, spec: TableSpec) -
     the next overwrite (``drop_versions``): queries that read it can finish.
 
     A table whose partitions are in the catalog has a pointer for each of them, and
-    one whose columns go or change their type needs other columns. These are
-    renamed instead, and the table is absent for a moment.
+    one whose columns go or change their type, or whose number of buckets changes,
+    needs another entry. These are renamed instead, and the table is absent for a
+    moment.
     """
     name, new = target.name(spec.name), target.name(landed)
     if not spark.catalog.tableExists(name):
@@ -214,7 +223,8 @@ def swap_in(spark: SparkSession, target: Target, landed: str, spec: TableSpec) -
         spark.catalog.refreshTable(name)
         return
     tracked = partitions_tracked(spark, name) or partitions_tracked(spark, new)
-    if tracked or not same_shape(spark.table(name), spark.table(new)):
+    layout = [described(spark, t).get("Num Buckets") for t in (name, new)]
+    if tracked or layout[0] != layout[1] or not same_shape(spark.table(name), spark.table(new)):
         rename_in(spark, target, landed, spec)
         return
     old_folder = described(spark, name)["Location"]
@@ -345,7 +355,5 @@ def append_if_empty(df: DataFrame, target: Target, spec: TableSpec) -> bool:
         if len(df.columns) > len(old):  # new columns: an append cannot add them
             write_bronze(df, target, spec)
             return True
-    if spec.partition_by:
-        df = df.hint("rebalance", *spec.partition_by)
-    save(sorted_by_key(df, spec), target, name, spec, mode="append")
+    save(sorted_by_key(laid_out(df, spec), spec), target, name, spec, mode="append")
     return True

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzeflow.functions.expressions import (
@@ -77,12 +77,16 @@ def orders_quality_report(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def price_statistics(items: DataFrame) -> DataFrame:
     """Average, range and sample deviation of the positive prices."""
-    return items.where("UnitPrice > 0").agg(
-        exact_avg("UnitPrice", 4).alias("avg_price"),
-        F.min("UnitPrice").alias("min_price"),
-        F.max("UnitPrice").alias("max_price"),
-        F.round(F.stddev_samp("UnitPrice"), 4).alias("price_stddev"),
-    )
+    return items.where("UnitPrice > 0").agg(*price_figures("UnitPrice"))
+
+
+def price_figures(price: str) -> list[Column]:
+    return [
+        exact_avg(price, 4).alias("avg_price"),
+        F.min(price).alias("min_price"),
+        F.max(price).alias("max_price"),
+        F.round(F.stddev_samp(price), 4).alias("price_stddev"),
+    ]
 
 
 def inventory_statistics(holdings: DataFrame) -> DataFrame:
@@ -114,29 +118,42 @@ def category_distribution(groups: DataFrame, junction: DataFrame, k: int = 5) ->
     return top_k(category_sizes(groups, junction), "item_count", k, ["StockGroupName"])
 
 
-def stock_completeness(items: DataFrame) -> DataFrame:
-    """Items with a name, a positive price, a brand, a size: counts and percent."""
-    counts = items.agg(
+COMPLETE_PARTS = ("name", "price", "brand", "size")
+
+
+def completeness_counts() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_items"),
         F.count("StockItemName").alias("items_with_name"),
         F.count_if(F.col("UnitPrice") > 0).alias("items_with_price"),
         F.count("Brand").alias("items_with_brand"),
         F.count("Size").alias("items_with_size"),
-    )
+    ]
+
+
+def completeness_shares() -> list[Column]:
     total = F.col("total_items")
-    return counts.select(
-        "*",
-        *[
-            pct(F.col(f"items_with_{part}"), total).alias(f"pct_{part}")
-            for part in ("name", "price", "brand", "size")
-        ],
-    )
+    return [
+        pct(F.col(f"items_with_{part}"), total).alias(f"pct_{part}") for part in COMPLETE_PARTS
+    ]
+
+
+def stock_completeness(items: DataFrame) -> DataFrame:
+    """Items with a name, a positive price, a brand, a size: counts and percent."""
+    return items.agg(*completeness_counts()).select("*", *completeness_shares())
 
 
 def stock_report(items: DataFrame, holdings: DataFrame) -> DataFrame:
-    """``(metric, text)``: price, inventory and completeness figures as printed."""
-    prices = unpivot_row(
-        price_statistics(items),
+    """``(metric, text)``: price, completeness and inventory figures as printed.
+
+    Each table is read once: what concerns positive prices only is NULL elsewhere.
+    """
+    positive = items.withColumn("price", F.when(F.col("UnitPrice") > 0, F.col("UnitPrice")))
+    counts = positive.agg(*price_figures("price"), *completeness_counts()).select(
+        "*", *completeness_shares()
+    )
+    about_items = unpivot_row(
+        counts,
         [
             {"metric": F.lit("average_unit_price"), "text": money(F.col("avg_price"))},
             {
@@ -146,6 +163,13 @@ def stock_report(items: DataFrame, holdings: DataFrame) -> DataFrame:
                 ),
             },
             {"metric": F.lit("price_deviation"), "text": money(F.col("price_stddev"))},
+            *[
+                {
+                    "metric": F.lit(f"items_with_{part}"),
+                    "text": count_with_pct(F.col(f"items_with_{part}"), F.col(f"pct_{part}")),
+                }
+                for part in COMPLETE_PARTS
+            ],
         ],
     )
     stock = unpivot_row(
@@ -161,14 +185,4 @@ def stock_report(items: DataFrame, holdings: DataFrame) -> DataFrame:
             {"metric": F.lit("inventory_value"), "text": money(F.col("inventory_value"))},
         ],
     )
-    complete = unpivot_row(
-        stock_completeness(items),
-        [
-            {
-                "metric": F.lit(f"items_with_{part}"),
-                "text": count_with_pct(F.col(f"items_with_{part}"), F.col(f"pct_{part}")),
-            }
-            for part in ("name", "price", "brand", "size")
-        ],
-    )
-    return prices.unionByName(stock).unionByName(complete)
+    return about_items.unionByName(stock)

@@ -580,6 +580,7 @@ ORACLE_SQL |= {
             "pct_name pct_price pct_brand pct_size",
         ),
     ),
+    "summary_of_bucketed_tables": ORACLE_SQL["customer_order_summary"],
     "overwrite_by_pointer": f"""SELECT o_orderkey AS OrderID, {PRICED.format(markup=1)}, 'later' AS Kind,
         CAST(year(o_orderdate) + 1 AS INT) AS OrderYear FROM orders WHERE o_orderkey % 3 <> 0""",
     "gold_daily_sales_incremental": over(

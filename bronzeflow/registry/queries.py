@@ -369,6 +369,19 @@ def summary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+BUCKETS = 16
+
+
+def summary_of_bucketed_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The order summary over orders and lines in buckets of the order id."""
+    target = fresh_target(spark)
+    for spec in (ORDERS, ORDER_LINES):
+        rows = bronze_input(spark, sf, spec.name)
+        write_bronze(rows, target, spec.bucketed(BUCKETS, "OrderID"))
+    tables = [read_bronze(spark, target, t) for t in ("orders", "order_lines")]
+    return views.customer_order_summary(bronze_input(spark, sf, "customers"), *tables)
+
+
 def groups_and_junction(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return (
         bronze_input(spark, sf, "stock_groups"),
@@ -497,6 +510,7 @@ QUERIES: dict[str, Query] = {
     ),
     "customer_order_summary": summary,
     "customer_order_summary_sorted": lambda spark, sf: views.summary_by_value(summary(spark, sf)),
+    "summary_of_bucketed_tables": summary_of_bucketed_tables,
     "table_inventory": inventory(*ROW_COUNT_TABLES),
     "stock_table_inventory": inventory(*STOCK_COUNT_TABLES),
     "orphan_orders": orphan_orders,

@@ -21,6 +21,22 @@ class Partitioning:
     partitions: int
 
 
+@dataclass(frozen=True)
+class Boundaries:
+    """Split of one read at values of a numeric column, in ascending order."""
+
+    column: str
+    at: tuple[int, ...]
+
+    @property
+    def predicates(self) -> list[str]:
+        """One per part. Together they hold every row once, also one without a value."""
+        edges = [f"{self.column} >= {b}" for b in self.at]
+        ends = [f"{self.column} < {b}" for b in self.at]
+        inner = [f"{low} AND {high}" for low, high in zip(edges, ends[1:])]
+        return [f"{ends[0]} OR {self.column} IS NULL", *inner, edges[-1]]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     host: str = ""
@@ -34,6 +50,7 @@ class JdbcSource:
     url: str | None = None  # set it to reach a database of another kind
     partitions: int = 0  # 0: as many as the rows need
     rows_per_partition: int = 1_000_000
+    even_rows: bool = False  # parts of equally many rows, not of equal ranges of the key
     fetch_size: int = 10_000
     options: dict[str, str] = field(default_factory=dict, repr=False)
 
@@ -42,6 +59,7 @@ class JdbcSource:
         tuning = {
             "partitions": cfg.jdbc_partitions,
             "rows_per_partition": cfg.jdbc_rows_per_partition,
+            "even_rows": cfg.jdbc_even_rows,
             "fetch_size": cfg.jdbc_fetch_size,
             "encrypt": cfg.jdbc_encrypt,
             "options": dict(cfg.jdbc_options),
@@ -120,7 +138,7 @@ def read_jdbc_table(
     spark: SparkSession,
     source: JdbcSource,
     table_or_subquery: str,
-    partition: Partitioning | None = None,
+    partition: Partitioning | Boundaries | None = None,
     alias: str = "source_rows",
 ) -> DataFrame:
     """A table or subquery, read over several connections if a split is given."""
@@ -129,6 +147,13 @@ def read_jdbc_table(
         relation = f"({table_or_subquery}) {alias}"
     if partition is None:
         return spark.read.jdbc(source.jdbc_url, relation, properties=source.connection_options)
+    if isinstance(partition, Boundaries):
+        return spark.read.jdbc(
+            source.jdbc_url,
+            relation,
+            predicates=partition.predicates,
+            properties=source.connection_options,
+        )
     return spark.read.jdbc(
         source.jdbc_url,
         relation,
@@ -142,9 +167,12 @@ def read_jdbc_table(
 
 def key_partitioning(
     spark: SparkSession, source: JdbcSource, spec: TableSpec, where: str = ""
-) -> Partitioning | None:
+) -> Partitioning | Boundaries | None:
     """Ranges over the primary key, from one query that the database answers.
 
+    With ``even_rows`` a second one asks it for the quantiles of the key, for keys
+    that are dense in some ranges and thin in others.
+
     It counts the rows that ``where`` leaves, too: without a number of partitions
     there is one for each ``rows_per_partition`` of them. NULL keys and keys
     outside the bounds are still read: Spark leaves the first and the last range
@@ -165,4 +193,21 @@ def key_partitioning(
     parts = source.partitions or -(-int(bounds[2]) // source.rows_per_partition)
     if parts <= 1:
         return None
+    if source.even_rows:
+        return quantiles(spark, source, spec, key, parts, where)
     return Partitioning(key, int(bounds[0]), int(bounds[1]), parts)
+
+
+def quantiles(
+    spark: SparkSession, source: JdbcSource, spec: TableSpec, key: str, parts: int, where: str
+) -> Boundaries | None:
+    """The first key of each of ``parts`` groups of equally many rows, but for the lowest."""
+    grouped = (
+        f"SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key}) AS part"
+        f" FROM {spec.source_table}{where}"
+    )
+    query = f"SELECT part, MIN(k) AS first FROM ({grouped}) grouped GROUP BY part"
+    # As many rows as parts.
+    found = sorted(int(r[1]) for r in read_jdbc_query(spark, source, query).collect() if r[1] is not None)
+    inner = sorted(set(found) - {found[0]}) if found else []
+    return Boundaries(key, tuple(inner)) if inner else None

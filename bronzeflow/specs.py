@@ -45,6 +45,8 @@ class TableSpec:
     foreign_keys: tuple[ForeignKey, ...] = ()
     edited_column: str | None = None
     optional: tuple[str, ...] = ()  # columns that a source may lack
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
 
     @property
     def fields(self) -> list[tuple[str, str]]:
@@ -69,6 +71,13 @@ class TableSpec:
         """The same table, partitioned by other columns."""
         return replace(self, partition_by=partition_by)
 
+    def bucketed(self, buckets: int, *columns: str) -> TableSpec:
+        """The same table without partitions, its rows dealt into files by the hash of columns.
+
+        Tables dealt into equally many buckets by one key meet by it without a shuffle.
+        """
+        return replace(self, partition_by=(), bucket_by=columns, buckets=buckets)
+
 
 # Source tables, column names, order and types of the bronze contract.
 CUSTOMERS = TableSpec(

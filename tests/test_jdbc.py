@@ -164,3 +164,47 @@ def test_tuning_comes_from_the_parameters():
     assert (source.partitions, "encrypt=false" in source.jdbc_url) == (3, True)
     assert source.connection_options["fetchsize"] == "50"
     assert source.connection_options["queryTimeout"] == "9"
+
+
+class Uneven(Reader):
+    """Answers the query for quantiles, too: keys are dense at the low end."""
+
+    def collect(self):
+        return [(2, 10), (1, -5), (4, 10), (3, 10), (5, 900)]
+
+
+def test_uneven_keys_are_split_at_quantiles():
+    spark = Uneven()
+    source = jdbc.JdbcSource(url="jdbc:test", partitions=5, even_rows=True)
+    source.read(spark, SPECS["orders"])
+    bounds, quantiles, rows = spark.calls
+    assert "NTILE(5) OVER (ORDER BY OrderID)" in quantiles["query"]
+    assert rows["predicates"] == [
+        "OrderID < 10 OR OrderID IS NULL",
+        "OrderID >= 10 AND OrderID < 900",
+        "OrderID >= 900",
+    ]
+    assert "column" not in rows and rows["dbtable"].endswith(") orders")
+
+
+def test_predicates_hold_every_row_once():
+    """Ends, boundaries and a missing key, against each part."""
+    import duckdb
+
+    for at in ((5,), (1, 2, 9), (-3, 0, 4, 100)):
+        parts = jdbc.Boundaries("k", at).predicates
+        assert len(parts) == len(at) + 1
+        total = " + ".join(f"coalesce(CAST(({p}) AS INT), 0)" for p in parts)
+        keys = "(VALUES (NULL), (-9999), (9999), " + ", ".join(f"({b + d})" for b in at for d in (-1, 0, 1)) + ") t(k)"
+        assert duckdb.sql(f"SELECT DISTINCT {total} FROM {keys}").fetchall() == [(1,)]
+
+
+def test_one_value_of_a_key_needs_no_split():
+    class Same(Reader):
+        def collect(self):
+            return [(1, 7), (2, 7), (3, None)]
+
+    spark = Same()
+    source = jdbc.JdbcSource(url="jdbc:test", partitions=3, even_rows=True)
+    source.read(spark, SPECS["orders"])
+    assert "predicates" not in spark.calls[-1] and "column" not in spark.calls[-1]

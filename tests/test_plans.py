@@ -22,6 +22,7 @@ WRITES = {
     "profile_of_growing_table",
     "quarantined_order_lines",
     "stream_upsert_orders",
+    "summary_of_bucketed_tables",
     "upsert_partitioned_table",
     "stream_events",
 }
@@ -91,6 +92,23 @@ def test_lines_fold_before_the_join(spark):
         assert any("partial_sum" in line for line in above[first_exchange:])
 
 
+def test_bucketed_tables_meet_without_a_shuffle(spark):
+    """Neither side of the join of orders and lines is moved; totals per customer are."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(QUERIES["summary_of_bucketed_tables"](session, SF_DIR))
+    scans = [m.start() for m in re.finditer(r"FileScan parquet [^\n]*(orders|order_lines)\[", text)]
+    joins = [m.start() for m in re.finditer("SortMergeJoin", text)]
+    inner = max(j for j in joins if "OrderID" in text[j : text.index("\n", j)])
+    below = text[inner : text.index("Bucketed: true", text.index("Bucketed: true", inner) + 1)]
+    assert len(scans) >= 2 and "Exchange" not in below
+
+
+def test_stock_report_reads_each_table_once(spark):
+    # Both stand-ins are the table of parts.
+    assert plan(QUERIES["stock_report"](spark, SF_DIR)).count("FileScan parquet") == 2
+
+
 def joins_that_cannot_be_split(text):
     """Sort-merge joins with a side that is no plain shuffle: a skew join needs two."""
     lines = text.splitlines()
