@@ -139,22 +139,27 @@ def sorted_by_key(df: DataFrame, spec: TableSpec) -> DataFrame:
 FILTERED_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
 
 
-#: A filter is the smallest of eleven sizes, each half of the next, that holds its
-#: keys: from 4 KB, since most partitions are small, to 4 MB.
+#: A filter is the smallest of ten sizes, each half of the next, that holds its
+#: keys: from 4 KB, since most partitions are small, to 2 MB.
 FILTER_SIZES = {
     "parquet.bloom.filter.adaptive.enabled": "true",
-    "parquet.bloom.filter.max.bytes": str(4 << 20),
+    "parquet.bloom.filter.max.bytes": str(2 << 20),
 }
 
 
 def key_filters(df: DataFrame, target: Target, spec: TableSpec | None) -> dict[str, str]:
-    """Writer options for a Bloom filter on each key, foreign ones too, as large as its keys need."""
+    """Writer options for a Bloom filter on each key, as large as its keys need.
+
+    Foreign keys have one too, but not in tables of many partitions: there each
+    filter costs a little for every file.
+    """
     if spec is None or target.table_format != "parquet":
         return {}
     types = {f.name: f.dataType for f in df.schema.fields}
-    looked_up = dict.fromkeys([*spec.primary_key, *[f.column for f in spec.foreign_keys]])
+    foreign = [] if spec.partition_by else [f.column for f in spec.foreign_keys]
+    looked_up = dict.fromkeys([*spec.primary_key, *foreign])
     keys = [k for k in looked_up if isinstance(types.get(k), FILTERED_TYPES)]
-    per_key = {"enabled": "true", "candidates.number": "11"}
+    per_key = {"enabled": "true", "candidates.number": "10"}
     options = {f"parquet.bloom.filter.{o}#{k}": v for k in keys for o, v in per_key.items()}
     return options | FILTER_SIZES if keys else {}
 
