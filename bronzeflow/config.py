@@ -64,7 +64,7 @@ class PipelineConfig:
     table_format: str = "parquet"
     location: str | None = None
     staged_writes: bool = True
-    catalog_partitions: bool = False  # see Target; readers never miss a table without them
+    catalog_partitions: bool = True  # see Target; without them readers never miss a table
     file_mb: int = 256  # of shuffled data per written file, about
     sample_size: int = 5  # rows of the customers sample in the report
     jdbc_partitions: int = 0  # 0: by the number of rows, see jdbc_rows_per_partition
