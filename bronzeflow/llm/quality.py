@@ -34,7 +34,8 @@ RULES: dict[str, tuple[str, str]] = {
 }
 
 
-#: Of the votes of a rule on good texts, at most so many are bad ones.
+#: Before any votes are seen: of a rule's votes on good texts, so many are bad ones.
+#: The belief weighs as much as all texts together, at every size of the corpus.
 FALSE_ALARM = 0.005
 #: Posterior at which a document is kept.
 KEEP = 0.5
@@ -165,10 +166,11 @@ def _fitted(patterns: Column, n_rules: int, rounds: int) -> Column:
     """Prior, and of each rule how often it votes good on good and on bad texts.
 
     The whole of expectation-maximisation, as one fold over the row that holds
-    the pattern counts. Two beliefs enter: estimates start from a count of one
-    vote each way, and rules are written to be rarely wrong against a text, so
-    at most ``FALSE_ALARM`` of their votes on good texts are bad ones. Sums run
-    over sorted patterns, so reruns agree to the last digit.
+    the pattern counts. Two Beta priors enter: on bad texts, one vote each way; on
+    good ones, two more than there are texts, ``FALSE_ALARM`` of them bad, since
+    rules are written to be rarely wrong against a text. A rule whose bad votes meet
+    no other rule's is found to be weak and rejects nothing alone. Sums run over
+    sorted patterns, so reruns agree to the last digit.
     """
     rules = F.sequence(F.lit(0), F.lit(n_rules - 1))
     start = F.struct(
@@ -180,19 +182,20 @@ def _fitted(patterns: Column, n_rules: int, rounds: int) -> Column:
     def total(xs: Column, of: Callable[[Column], Column]) -> Column:
         return F.aggregate(xs, F.lit(0.0), lambda a, x: a + of(x))
 
-    def rate(seen: Column, j: Column, side: str) -> Column:
+    def rate(seen: Column, j: Column, side: str, prior: tuple[Column, Column]) -> Column:
         up = total(seen, lambda x: F.when(F.get(x["votes"], j) == 1, x[side]).otherwise(0.0))
         cast = total(seen, lambda x: F.when(F.get(x["votes"], j) != 0, x[side]).otherwise(0.0))
-        return (up + 1) / (cast + 2)
+        return (up + prior[0]) / (cast + prior[0] + prior[1])
 
     def improved(seen: Column) -> Column:
         good = total(seen, lambda x: x["good"])
+        texts = good + total(seen, lambda x: x["bad"])
+        trusted = ((texts + 2) * (1 - FALSE_ALARM), (texts + 2) * FALSE_ALARM)
+        even = (F.lit(1.0), F.lit(1.0))
         return F.struct(
-            ((good + 1) / (good + total(seen, lambda x: x["bad"]) + 2)).alias("prior"),
-            F.transform(
-                rules, lambda j: F.greatest(rate(seen, j, "good"), F.lit(1 - FALSE_ALARM))
-            ).alias("good"),
-            F.transform(rules, lambda j: rate(seen, j, "bad")).alias("bad"),
+            ((good + 1) / (texts + 2)).alias("prior"),
+            F.transform(rules, lambda j: rate(seen, j, "good", trusted)).alias("good"),
+            F.transform(rules, lambda j: rate(seen, j, "bad", even)).alias("bad"),
         )
 
     def step(model: Column, _: Column) -> Column:

@@ -46,6 +46,25 @@ def test_query(spark):
     assert sum(junk) <= 0.2 * len(junk)
 
 
+def test_posterior_is_no_all_must_pass_filter(spark):
+    """Weak rules are told from strong ones, and the labels agree more than with a veto."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    vetoed = F.expr(" OR ".join(f"({bad})" for _, bad in quality.RULES.values()))
+    judged = (
+        quality.judge(docs, carry=["doc_id"])
+        .withColumn("mean_word", F.col("word_chars") / F.greatest("n_words", F.lit(1)))
+        .where("NOT base_failed")
+        .select("row.doc_id", "kept", vetoed.alias("vetoed"))
+    )
+    rows = judged.join(labels, "doc_id", "left").collect()
+    assert any(r.kept and r.vetoed for r in rows) and any(not r.kept for r in rows)
+    known = [r for r in rows if r.quality is not None]
+    right = sum(r.kept == (r.quality == 1) for r in known)
+    assert right > sum(r.vetoed != (r.quality == 1) for r in known)
+
+
 def made_texts():
     rng = random.Random(8)
     words = ["é", "日本", "a b", "#x|", "the", "of", "DE", "<p>"]
