@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
@@ -31,8 +30,8 @@ SIMILARITY = 0.8
 #: Bands and coordinates of a band: at similarity 0.8 a pair shares no band with
 #: a probability under 1 in 200,000.
 BANDS, ROWS = 24, 4
-#: Texts hashed at once, in words.
-PIECE = 1 << 18
+#: Texts hashed at once, in words and in number: each throws some 800 darts.
+PIECE, AT_ONCE = 1 << 18, 1024
 
 
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -138,15 +137,17 @@ def signatures(
     return name
 
 
-def band_hashes(texts: list[bytes], hashes: WordHashes, bands: int, rows: int) -> np.ndarray:
-    """Hash of each band of each text, in a row per text."""
+def band_hashes(
+    texts: list[bytes], hashes: WordHashes, bands: int, rows: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each band of each text, in a row per text; and the sizes of their sets."""
     elements, owner = shingle_sets(texts, hashes)
     name = signatures(elements, owner, len(texts), bands * rows)
     parts = name.reshape(len(texts), bands, rows)
     value = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(texts), bands)).copy()
     for k in range(rows):
         value = mixed(value ^ parts[:, :, k], k + 11)
-    return value.view(np.int64)
+    return value.view(np.int64), np.bincount(owner, minlength=len(texts))
 
 
 def near_duplicates(
@@ -190,20 +191,23 @@ def _named(
     signed = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
         whole_text(text_col).alias("text"),
-    ).mapInArrow(_signer(bands, rows), "id long, text_key binary, bands array<long>")
+    ).mapInArrow(
+        _signer(bands, rows), "id long, text_key binary, set_size long, bands array<long>"
+    )
     signed = scratch(signed, "minhash-signatures")
     texts = signed.groupBy("text_key").agg(
         F.min("id").alias("text_class"),
         F.count(F.lit(1)).alias("copies"),
+        F.first("set_size").alias("set_size"),
         F.first("bands").alias("bands"),
     )
     texts = scratch(texts, "minhash-texts")
     # A text's key stands for it from here on: ids may be shared by several.
-    members = texts.select("text_key", F.explode("bands").alias("band"))
+    members = texts.select("text_key", "set_size", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = F.sum("n").over(Window.partitionBy("text_key")).alias("crowd")
     members = scratch(
-        members.join(shared, "band").select("band", "text_key", met), "minhash-members"
+        members.join(shared, "band").select("band", "text_key", "set_size", met), "minhash-members"
     )
     involved = members.select("text_key").distinct()
     keyed = docs.select(whole_text(text_col).alias("text")).withColumn(
@@ -251,10 +255,9 @@ def _merge(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFram
     group of near copies, of any size, is mostly joined by its first pivot.
     """
     spark = members.sparkSession
-    state = members.select(
-        "band", "text_key", "crowd", F.col("text_key").alias("root"), F.lit(False).alias("used")
-    )
-    maps: list[DataFrame] = []
+    own = F.col("text_key").alias("root")
+    state = members.select("band", "text_key", "set_size", "crowd", own, F.lit(False).alias("used"))
+    roots = members.select("text_key", own).distinct()
     n = 0
     while True:
         waiting = state.where("NOT used")
@@ -283,15 +286,16 @@ def _merge(members: DataFrame, bodies: DataFrame, similarity: float) -> DataFram
         state = state.join(of_band, "band").select(  # the other buckets are done
             "band",
             "text_key",
+            "set_size",
             "crowd",
             "root",
             (F.col("used") | F.array_contains("pivots", F.col("text_key"))).alias("used"),
         )
         state = scratch(_renamed(state, new), "minhash-state")
-        maps += new
+        # Written every round, so that the plan does not grow with the rounds.
+        roots = scratch(_renamed(roots, new), "minhash-roots")
         n += 1
-    texts = members.select("text_key", F.col("text_key").alias("root")).distinct()
-    return _renamed(texts, maps)
+    return roots
 
 
 def _renamed(df: DataFrame, maps: list[DataFrame]) -> DataFrame:
@@ -307,8 +311,9 @@ def _turn(n: int) -> Column:
     return F.xxhash64("text_key", F.lit(n))
 
 
-#: Texts of a bucket from which it is compared in tiles, and texts of a tile.
-LARGE, TILE = 64, 512
+#: Texts of a bucket from which it is compared in tiles; texts of a tile, and
+#: shingles of all its texts, on average.
+LARGE, TILE, TILE_SHINGLES = 64, 512, 1 << 19
 
 
 def _compared(
@@ -317,50 +322,93 @@ def _compared(
     """``(root, pivot_root)`` of the pairs of text and pivot that are similar enough.
 
     In a small bucket each pair meets by itself. The texts of a large one are
-    dealt into tiles, to each of which all pivots go, so that a set is moved once
-    per tile and not once per pair.
+    dealt into tiles, past each of which all pivots are streamed, so that a set is
+    moved once per tile and not once per pair. A task holds the texts of one tile.
     """
-    sizes = waiting.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    sizes = waiting.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("set_size").alias("shingles")
+    )
     sized = pivots.join(sizes, "band")
     met = waiting.join(sized.where(f"n <= {LARGE}"), "band").where("root != pivot_root")
     pairs = met.select(F.col("text_key").alias("a"), F.col("pivot").alias("b"), "root", "pivot_root")
     small = _linked(pairs.distinct(), bodies, similarity)
 
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    # Never more tiles than texts.
+    wanted = F.greatest(F.col("n") / TILE, F.col("shingles") / TILE_SHINGLES)
+    tiles = F.least(F.ceil(wanted), F.col("n")).cast("int")
     open_ = sized.where(f"n > {LARGE}").select("band", tiles.alias("tiles")).distinct()
     texts = waiting.join(open_, "band").select(
-        "band", F.pmod(F.xxhash64("text_key"), F.col("tiles")).cast("int").alias("tile"), "text_key", "root"
+        "band",
+        F.pmod(F.xxhash64("text_key"), F.col("tiles")).cast("int").alias("tile"),
+        F.lit(0).alias("side"),
+        "text_key",
+        "root",
     )
     heads = sized.where(f"n > {LARGE}").select(
         "band",
         F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"),
+        F.lit(1).alias("side"),
         F.col("pivot").alias("text_key"),
-        "pivot_root",
+        F.col("pivot_root").alias("root"),
+    )
+    place = ["band", "tile", "side"]
+    both = texts.unionByName(heads).join(bodies, "text_key").select(*place, "root", "shingles")
+    streamed = both.repartition("band", "tile").sortWithinPartitions(*place)
+    return small.unionByName(
+        streamed.mapInArrow(_tiles(similarity), "root binary, pivot_root binary")
     )
-    # New names, since both sides of the grouping come from one table.
-    sides = [
-        df.join(bodies.select("text_key", F.col("shingles").alias(f"{side}_set")), "text_key")
-        .select(*[F.col(c).alias(c) for c in ("band", "tile", root)], f"{side}_set")
-        .groupBy("band", "tile")
-        for df, side, root in ((texts, "text", "root"), (heads, "pivot", "pivot_root"))
-    ]
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in left["text_set"]]
-        sizes = np.array([len(x) for x in sets], dtype=np.int64)
-        owner = np.repeat(np.arange(len(sets)), sizes)
-        every = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-        roots, found = left["root"].to_numpy(), set()
-        for blob, root in zip(right["pivot_set"], right["pivot_root"]):
-            own = np.frombuffer(blob, dtype=np.uint64)
-            at = np.minimum(np.searchsorted(own, every), max(len(own) - 1, 0))
-            common = np.bincount(owner[own[at] == every], minlength=len(sets))
-            near = common >= similarity * (sizes + len(own) - common) - 1e-9
-            found |= {(r, root) for r in roots[near & (common > 0)] if r != root}
-        return pd.DataFrame(sorted(found), columns=["root", "pivot_root"])
-
-    schema = "root binary, pivot_root binary"
-    return small.unionByName(sides[0].cogroup(sides[1]).applyInPandas(compare, schema))
+
+
+class Tile:
+    """Shingle sets of the texts of a tile, to which pivots are compared one by one."""
+
+    def __init__(self) -> None:
+        self.roots: list[bytes] = []
+        self.sets: list[np.ndarray] = []
+        self.flat: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def add(self, root: bytes, shingles: bytes) -> None:
+        self.roots.append(root)
+        self.sets.append(np.frombuffer(shingles, dtype=np.uint64))
+
+    def near(self, shingles: bytes, similarity: float) -> set[bytes]:
+        """Roots of the texts that are similar enough to a pivot."""
+        own = np.frombuffer(shingles, dtype=np.uint64)
+        if not self.roots or not len(own):
+            return set()
+        if self.flat is None:
+            sizes = np.array([len(x) for x in self.sets], dtype=np.int64)
+            owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            self.flat, self.sets = (np.concatenate(self.sets), owner, sizes), []
+        every, owner, sizes = self.flat
+        at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        common = np.bincount(owner[own[at] == every], minlength=len(sizes))
+        found = (common > 0) & (common >= similarity * (sizes + len(own) - common) - 1e-9)
+        return {self.roots[i] for i in np.flatnonzero(found)}
+
+
+def _tiles(similarity: float):
+    """Links between texts and pivots of rows ``(band, tile, side, root, shingles)`` in
+    order: of every tile first the texts, then the pivots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, tile = None, Tile()
+        for batch in batches:
+            found: set[tuple[bytes, bytes]] = set()
+            bands, numbers, sides = (batch.column(c).to_pylist() for c in range(3))
+            for i, (place, side) in enumerate(zip(zip(bands, numbers), sides)):
+                if place != current:
+                    current, tile = place, Tile()
+                root, shingles = batch.column(3)[i].as_py(), batch.column(4)[i].as_py()
+                if side == 0:
+                    tile.add(root, shingles)
+                else:
+                    found |= {(r, root) for r in tile.near(shingles, similarity) if r != root}
+            pairs = sorted(found)
+            columns = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["root", "pivot_root"])
+
+    return run
 
 
 def _linked(pairs: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
@@ -438,13 +486,14 @@ def _signer(bands: int, rows: int):
             texts = batch.column(1).cast(pa.binary())
             for part in parts_of(texts):
                 own = [x.as_py() for x in texts.slice(part.start, part.stop - part.start)]
-                found = band_hashes(own, hashes, bands, rows)
-                empty = np.array([not t.split() for t in own])
+                found, sizes = band_hashes(own, hashes, bands, rows)
+                empty = sizes == 0
                 offsets = np.concatenate([[0], np.cumsum(np.where(empty, 0, bands))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[~empty].ravel()))
                 keys = pa.array([hashlib.sha256(t).digest() for t in own], pa.binary())
                 ids = batch.column(0).slice(part.start, len(own))
-                yield pa.RecordBatch.from_arrays([ids, keys, lists], ["id", "text_key", "bands"])
+                columns = {"id": ids, "text_key": keys, "set_size": pa.array(sizes), "bands": lists}
+                yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -466,10 +515,11 @@ def _shingler():
 
 
 def parts_of(texts: pa.Array, most: int = 8 * PIECE) -> Iterator[slice]:
-    """Stretches of rows of about ``most`` bytes, one row at least."""
+    """Stretches of about ``most`` bytes and at most ``AT_ONCE`` rows, one row at least."""
     ends = np.cumsum(np.asarray(pa.compute.binary_length(texts)).astype(np.int64))
     lo, base = 0, 0
     while lo < len(texts):
         hi = max(lo + 1, int(np.searchsorted(ends, base + most, side="right")))
+        hi = min(hi, lo + AT_ONCE)
         yield slice(lo, hi)
         lo, base = hi, int(ends[hi - 1])

@@ -101,3 +101,54 @@ def test_signatures_estimate_jaccard(common):
 def test_signature_of_one_element_is_full():
     name = minhash.signatures(np.array([5], dtype=np.uint64), np.array([0]), 1, 96)
     assert (name != 0).all()
+
+
+def test_long_texts_in_tiles(spark, monkeypatch):
+    """Few very long texts and many short ones, all in large buckets, in tiles of few shingles."""
+    monkeypatch.setattr(minhash, "LARGE", 1)
+    monkeypatch.setattr(minhash, "TILE", 3)
+    monkeypatch.setattr(minhash, "TILE_SHINGLES", 2000)
+    rng = random.Random(5)
+    long = [f"v{rng.randrange(10**6)}" for _ in range(30_000)]
+    short = [f"s{rng.randrange(100)}" for _ in range(60)]
+    rows = []
+    for k in range(8):
+        own = list(long)
+        own[k * 900 : k * 900 + 3 + 200 * k] = [f"own{k}"] * (3 + 200 * k)
+        rows.append((k, " ".join(own)))
+    for k in range(8, 60):
+        own = list(short)
+        own[k % 60] = f"own{k}"
+        own[(k * 7) % 60] = "other"
+        rows.append((k, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id) for r in minhash.near_duplicates(df).collect())
+    assert got == classes(rows)
+    assert len({c for _, c in got}) < len(rows)
+
+
+def test_tile_against_sets():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60))).astype(np.uint64) for _ in range(50)]
+    tile = minhash.Tile()
+    for k, x in enumerate(sets):
+        tile.add(str(k).encode(), x.tobytes())
+    for pivot in [*sets[:10], np.zeros(0, dtype=np.uint64)]:
+        mine = set(pivot.tolist())
+        wanted = {
+            str(k).encode()
+            for k, x in enumerate(sets)
+            if mine and len(mine & set(x.tolist())) >= 0.5 * len(mine | set(x.tolist()))
+        }
+        assert tile.near(pivot.tobytes(), 0.5) == wanted
+    assert minhash.Tile().near(sets[0].tobytes(), 0.5) == set()
+
+
+def test_stretches_are_bounded_in_rows_and_bytes():
+    texts = minhash.pa.array([b"x"] * 2500 + [b"y" * 100] * 3)
+    parts = list(minhash.parts_of(texts, most=150))
+    assert [p.start for p in parts[1:]] == [p.stop for p in parts[:-1]] and parts[-1].stop == 2503
+    lengths = [1] * 2500 + [100] * 3
+    assert all(p.stop - p.start == 1 or sum(lengths[p]) <= 150 for p in parts)
+    many = list(minhash.parts_of(texts, most=10**6))
+    assert max(p.stop - p.start for p in many) == minhash.AT_ONCE
