@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bronzeflow.llm.common import free_name, release, scratch, whole_text
+from bronzeflow.llm.hashing import mixed, word_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -34,55 +35,18 @@ BANDS, ROWS = 24, 4
 PIECE, AT_ONCE = 1 << 18, 1024
 
 
-def mixed(x: np.ndarray, salt: int) -> np.ndarray:
-    """Hash of whole numbers to 64 bits."""
-    with np.errstate(over="ignore"):
-        x = x.astype(np.uint64) + np.uint64((salt * 0x9E3779B97F4A7C15) % (1 << 64))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def uniform(x: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1] of 64-bit hashes."""
     return ((x >> np.uint64(11)).astype(np.float64) + 1) / float(1 << 53)
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered within a bound."""
-
-    def __init__(self, most: int = 300_000) -> None:
-        self.known: dict[bytes, int] = {}
-        self.most = most
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known.clear()
-        found = list(map(self.known.get, words))
-        if None in found:
-            new = list(dict.fromkeys(w for w, h in zip(words, found) if h is None))
-            self.known.update(zip(new, map(_word_hash, new)))
-            found = list(map(self.known.get, words))
-        return np.array(found, dtype=np.uint64)
-
-
-def _word_hash(word: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(word)
-
-
-def shingle_sets(
-    texts: list[bytes], hashes: WordHashes, n: int = WORDS
-) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes], n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of all texts, sorted within a text; and the text of each.
 
     A text of fewer words than a shingle is one shingle of all its words; one
     without words has none.
     """
-    words = [t.split() for t in texts]
-    counts = np.array([len(w) for w in words], dtype=np.int64)
-    flat = hashes.of([w for ws in words for w in ws])
+    flat, counts = word_hashes(texts)
     ends = np.cumsum(counts)
     owner = np.repeat(np.arange(len(texts)), counts)
     place = np.arange(len(flat)) - np.repeat(ends - counts, counts)
@@ -137,11 +101,9 @@ def signatures(
     return name
 
 
-def band_hashes(
-    texts: list[bytes], hashes: WordHashes, bands: int, rows: int
-) -> tuple[np.ndarray, np.ndarray]:
+def band_hashes(texts: list[bytes], bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each band of each text, in a row per text; and the sizes of their sets."""
-    elements, owner = shingle_sets(texts, hashes)
+    elements, owner = shingle_sets(texts)
     name = signatures(elements, owner, len(texts), bands * rows)
     parts = name.reshape(len(texts), bands, rows)
     value = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(texts), bands)).copy()
@@ -481,12 +443,11 @@ def _signer(bands: int, rows: int):
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             for part in parts_of(texts):
                 own = [x.as_py() for x in texts.slice(part.start, part.stop - part.start)]
-                found, sizes = band_hashes(own, hashes, bands, rows)
+                found, sizes = band_hashes(own, bands, rows)
                 empty = sizes == 0
                 offsets = np.concatenate([[0], np.cumsum(np.where(empty, 0, bands))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[~empty].ravel()))
@@ -500,12 +461,11 @@ def _signer(bands: int, rows: int):
 
 def _shingler():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             for part in parts_of(texts):
                 own = [x.as_py() for x in texts.slice(part.start, part.stop - part.start)]
-                elements, owner = shingle_sets(own, hashes)
+                elements, owner = shingle_sets(own)
                 cuts = np.searchsorted(owner, np.arange(len(own) + 1))
                 sets = [elements[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
                 keys = batch.column(0).slice(part.start, len(own))

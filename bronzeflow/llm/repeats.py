@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bronzeflow.llm.common import whole_text
-from bronzeflow.llm.minhash import WordHashes, mixed
+from bronzeflow.llm.hashing import mixed, word_hashes
 
 #: Symbols that are worked on at once.
 PIECE = 1 << 20
@@ -48,10 +48,12 @@ class Windows:
         """Symbols before an anchor that its windows can cover."""
         return self.length - self.gram
 
-    def symbols(self, text: bytes, hashes: WordHashes) -> np.ndarray:
+    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of texts, one after another, and how many each text has."""
         if self.words:
-            return hashes.of(text.split())
-        return np.frombuffer(text, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+            return word_hashes(texts, self.seed)
+        octets = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        return octets.astype(np.uint64) + np.uint64(1), np.array([len(t) for t in texts], dtype=np.int64)
 
 
 class Sums:
@@ -78,6 +80,12 @@ class Sums:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end - self.over + 1] - self.sums[start]) * self.down[start], 1)
 
+    def of_each(self, size: int) -> np.ndarray:
+        """Hashes of all stretches of a size, by their start."""
+        first = self.sums[size - self.over + 1 :]
+        n = len(first)
+        return mixed((first - self.sums[:n]) * self.down[:n], 1)
+
 
 _POWERS: list[np.ndarray] = []
 
@@ -118,14 +126,14 @@ def anchors_of(
     if n < spec.length:
         return none, none, none, none
     sums = Sums(symbols, spec)
-    starts = np.arange(n - spec.gram + 1)
-    gram = sums.of(starts, starts + spec.gram)
-    order = (gram & ~PLACE) | starts.astype(np.uint64)
+    gram = sums.of_each(spec.gram)
+    order = (gram & ~PLACE) | np.arange(len(gram), dtype=np.uint64)
     least = least_of(order, spec.length - spec.gram + 1)
     ends = np.repeat(bounds[1:], np.diff(bounds))  # of the text of each symbol
     whole = np.arange(len(least)) + spec.length <= ends[: len(least)]
     at = (least[whole] & PLACE).astype(np.int64)
-    at = np.unique(at)
+    # The least of a sliding window never goes back, so equal places are neighbours.
+    at = at[np.diff(at, prepend=-1) > 0]
     text = np.searchsorted(bounds, at, side="right") - 1
     left = np.minimum(spec.before, at - bounds[text])
     right = np.minimum(spec.length, bounds[text + 1] - at)
@@ -151,19 +159,18 @@ def anchors(texts: DataFrame, spec: Windows) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             keys, docs = (np.asarray(batch.column(i)) for i in (0, 1))
             bodies = batch.column(2).cast(pa.binary())
             sizes = np.asarray(pa.compute.binary_length(bodies)).astype(np.int64)
             for lo, hi in pieces(sizes, PIECE):
                 rows = [bodies[i].as_py() for i in range(lo, hi)]
-                symbols = [spec.symbols(t, hashes) for t in rows]
-                if len(symbols) == 1 and len(symbols[0]) > 2 * PIECE:
-                    text, at, gram, context = _long_anchors(symbols[0], spec)
+                symbols, counts = spec.symbols(rows)
+                if len(rows) == 1 and len(symbols) > 2 * PIECE:
+                    text, at, gram, context = _long_anchors(symbols, spec)
                 else:
-                    bounds = np.concatenate([[0], np.cumsum([len(s) for s in symbols])])
-                    text, at, gram, context = anchors_of(np.concatenate(symbols), bounds, spec)
+                    bounds = np.concatenate([[0], np.cumsum(counts)])
+                    text, at, gram, context = anchors_of(symbols, bounds, spec)
                 columns = [gram, keys[lo:hi][text], docs[lo:hi][text], at.astype(np.int32), context]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in columns], ["gram", "key", "doc", "pos", "context"]
@@ -232,7 +239,7 @@ def bodies(placed: DataFrame, spec: Windows) -> DataFrame:
         found = [symbols[p - a : p + b] for p, a, b in zip(at.tolist(), left.tolist(), right.tolist())]
         return pa.array([b" ".join(c) for c in found] if spec.words else found, pa.binary())
 
-    return _around(placed, spec, False, "body binary", lambda _, *place: cut(*place))
+    return _around(placed, spec, False, "body binary", cut)
 
 
 def window_hashes(placed: DataFrame, spec: Windows) -> DataFrame:
@@ -242,8 +249,8 @@ def window_hashes(placed: DataFrame, spec: Windows) -> DataFrame:
     before the anchor, null if there is none.
     """
 
-    def hashed(hashes: WordHashes, text: bytes, at, left, right) -> pa.Array:
-        symbols = spec.symbols(text, hashes)
+    def hashed(text: bytes, at, left, right) -> pa.Array:
+        symbols, _ = spec.symbols([text])
         sums = Sums(symbols, spec)
         back = np.arange(spec.before + 1)
         there = (back <= left[:, None]) & (back >= spec.length - right[:, None])
@@ -260,7 +267,6 @@ def _around(placed: DataFrame, spec: Windows, crowded: bool, last: str, make: Ca
     names = ["gram", "context", "count", "doc", "left", last.split()[0]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             for i in range(batch.num_rows):
                 place = batch.column(1)[i].values
@@ -278,7 +284,7 @@ def _around(placed: DataFrame, spec: Windows, crowded: bool, last: str, make: Ca
                     [
                         *[pa.array(c) for c in columns],
                         pa.array(left.astype(np.int32)),
-                        make(hashes, text, at, left, right),
+                        make(text, at, left, right),
                     ],
                     names,
                 )
