@@ -8,8 +8,9 @@ a text scores by its matched clauses, not by isolated words.
 The insults are learned: stems (beginnings of words, or whole words) that stand
 in toxic texts far more often than in others, each with a weight. The other
 lexicons are fixed lists; a threat counts with a target on either side of it in
-its clause, by a weight that is fitted to the labelled texts. A logistic curve, fitted to the
-labelled texts, turns the weight of a text into a probability.
+its clause. What a threat weighs, and by how much targets, negation and reported
+speech change a weight, is fitted to the labelled texts too. A logistic curve,
+fitted to them as well, turns the weight of a text into a probability.
 """
 
 from __future__ import annotations
@@ -26,10 +27,8 @@ from pyspark.sql import functions as F
 
 from bronzeflow.llm.common import free_name, scratch, whole_text
 
-#: Labelled texts that the lexicon and the curve are learned from at most, drawn
-#: by hash; and entries of the lexicon at most, the heaviest first.
+#: Labelled texts that the grammar and the curve are learned from at most, drawn by hash.
 TRAINING_ROWS = 20_000
-LEXICON = 20_000
 #: Lengths of the beginnings of words that may be stems.
 STEMS = (4, 5, 6, 7)
 #: Toxic texts that a stem must stand in, and how many stems of pure chance the
@@ -38,6 +37,9 @@ LEAST_TEXTS, CHANCE = 4, -2.0
 #: Weight of a threat with its target if no insult is learned, else their median is
 #: taken; it counts as LEAST_TEXTS texts beside the labelled ones with such a threat.
 THREAT_WEIGHT = 4.0
+#: By what an insult counts after a target, negated, and reported, if no labelled text
+#: tells; this counts as LEAST_TEXTS texts beside the labelled ones.
+FACTORS = (1.25, 0.6, 0.7)
 #: Tokens that a task remembers.
 REMEMBERED = 300_000
 
@@ -118,23 +120,23 @@ def open_threats() -> Transducer:
     return Transducer(len(marks) + 1, step)
 
 
-def matches() -> Transducer:
+def matches(targeted: float = 1.25, negated: float = 0.6, reported: float = 0.7) -> Transducer:
     """Weights of the insults and threats of a clause; a target makes them heavier.
 
     A threat counts only with a target: itself if that stands before it, else the
-    target that ``open_threats`` has marked. Negated and reported ones count less.
+    target that ``open_threats`` has marked. Negated and reported ones have factors.
     """
 
     def step(state: int, symbol: int) -> tuple[int, int, float]:
         if symbol == STOP:
             return 0, symbol, 0.0
         kind, met = symbol & 7, bool(symbol & MET)
-        factors = {INSULT: 1.25 if state else 1.0, THREAT: float(state), TARGET: float(met)}
+        factors = {INSULT: targeted if state else 1.0, THREAT: float(state), TARGET: float(met)}
         weight = factors.get(kind, 0.0)
         if symbol & NEGATED:
-            weight *= 0.6
+            weight *= negated
         if symbol & REPORTED:
-            weight *= 0.7
+            weight *= reported
         return 1 if kind == TARGET else state, symbol, weight
 
     return Transducer(2, step)
@@ -164,13 +166,14 @@ class Lexicon(NamedTuple):
     """Weights of stems, ``=word`` being a whole word, and of threats.
 
     ``threat`` is the weight of one after a target, ``aimed`` that of one before a
-    target. Learning sets both; the defaults are those of a lexicon that nothing
-    was fitted for.
+    target; ``factors`` are what targets, negation and reported speech multiply by.
+    Learning sets them; the defaults are those of a lexicon that nothing was fitted for.
     """
 
     stems: dict[str, float]
     threat: float = 0.5
     aimed: float = 0.0
+    factors: tuple[float, float, float] = FACTORS
 
 
 def tokens_of(text: Column) -> Column:
@@ -222,25 +225,53 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
         counts.where((t >= LEAST_TEXTS) & (t * 2 > F.col("n")))
         .select("stem", odds.alias("odds"), gain.alias("gain"))
         .where(F.col("gain") > math.log(tried) - CHANCE)
-        .orderBy(F.desc("gain"), "stem")
-        .limit(LEXICON)
         .collect()
     )
     stems = {r["stem"]: round(r["odds"], 6) for r in rows}
     usual = float(np.median(list(stems.values()))) if stems else THREAT_WEIGHT
-    threat = threat_weight(labelled, toxic, clean, usual)
-    return Lexicon(stems, threat, threat)
-
-
-def threat_weight(labelled: DataFrame, toxic: int, clean: int, usual: float) -> float:
-    """Log-odds of texts with a threat and its target, drawn towards ``usual``; never negative."""
-    found = clause_weights(labelled, Lexicon({}, 1.0, 1.0), "text", "weight").where("weight > 0")
-    hit = found.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
-    t, n = hit["t"] or 0, hit["n"]
+    threats, plain, *marked = evidence(labelled, stems)
+    threat = threat_weight(*threats, toxic, clean, usual)
+    factors = tuple(fitted_factor(*hit, *plain, share, f) for hit, f in zip(marked, FACTORS))
+    return Lexicon(stems, threat, threat, factors)
+
+
+def evidence(labelled: DataFrame, stems: dict[str, float]) -> list[tuple[int, int]]:
+    """Toxic texts and all texts ``(t, n)`` of each kind, from one reading: those with a
+    threat and its target; with an insult that no factor touches; and those all of whose
+    insults stand after a target, are negated, or are reported."""
+    without = [tuple(float(k != j) for k in range(3)) for j in range(3)]
+    lexicons = [Lexicon({}, 1.0, 1.0)]
+    lexicons += [Lexicon(stems, 0.0, 0.0, f) for f in ((0.0,) * 3, (1.0,) * 3, *without)]
+    read = clause_readings(labelled, lexicons, "text", "w")
+    insulting = F.col("w")[2] > 0
+    kinds = [F.col("w")[0] > 0, F.col("w")[1] > 0]
+    kinds += [insulting & (F.col("w")[3 + j] == 0) for j in range(3)]
+    sums = [F.sum(F.when(k, x)) for k in kinds for x in (F.col("toxic"), F.lit(1))]
+    found = [x or 0 for x in read.agg(*[x.alias(f"x{i}") for i, x in enumerate(sums)]).first()]
+    return list(zip(found[::2], found[1::2]))
+
+
+def threat_weight(t: int, n: int, toxic: int, clean: int, usual: float) -> float:
+    """Log-odds of ``n`` texts with a threat, ``t`` toxic, drawn towards ``usual``; never negative."""
     odds = math.log((t + 0.5) / (toxic + 1)) - math.log((n - t + 0.5) / (clean + 1))
     return round(max((usual * LEAST_TEXTS + odds * n) / (LEAST_TEXTS + n), 0.0), 6)
 
 
+def fitted_factor(t: int, n: int, plain_t: int, plain_n: int, share: float, usual: float) -> float:
+    """Log-odds of texts whose insults are all marked, over those of plain insults.
+
+    The part of the former that is toxic has a prior that stands for LEAST_TEXTS
+    texts and whose log-odds are ``usual`` times the latter. Never negative.
+    """
+    logit = lambda p: math.log(p / (1 - p))
+    plain = logit((plain_t + 0.5) / (plain_n + 1)) - logit(share)
+    if plain <= 0 or not n:
+        return usual
+    prior = 1 / (1 + math.exp(-(usual * plain + logit(share))))
+    odds = logit((t + LEAST_TEXTS * prior) / (n + LEAST_TEXTS)) - logit(share)
+    return round(max(odds / plain, 0.0), 6)
+
+
 class Reader:
     """Symbols and weights of tokens, remembered within a bound."""
 
@@ -249,7 +280,7 @@ class Reader:
         kinds = ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT))
         self.fixed = {w: kind for words, kind in kinds for w in words.split()}
         self.own = {THREAT: lexicon.threat, TARGET: lexicon.aimed}
-        table = composed(negation(), reported_speech(), open_threats(), matches())
+        table = composed(negation(), reported_speech(), open_threats(), matches(*lexicon.factors))
         self.steps = [[(int(state), weight) for state, weight in row] for row in table.tolist()]
         self.known: dict[str, tuple[int, float]] = {}
 
@@ -268,7 +299,9 @@ class Reader:
 
     def weight(self, text: str) -> float:
         """Sum of the weights of the matched clauses, a clause counting by its heaviest match."""
-        words = runs_of(text)
+        return self.weight_of(runs_of(text))
+
+    def weight_of(self, words: list[str]) -> float:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known, token = self.known, self.token
@@ -317,6 +350,21 @@ def clause_weights(docs: DataFrame, lexicon: Lexicon, text_col: str, name: str)
     return docs.withColumn(name, read(whole_text(text_col)))
 
 
+def clause_readings(
+    docs: DataFrame, lexicons: list[Lexicon], text_col: str, name: str
+) -> DataFrame:
+    """``docs`` with an array of the weights that each of the lexicons gives the whole text."""
+
+    @F.pandas_udf("array<double>")
+    def read(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        readers = [Reader(x) for x in lexicons]
+        for part in texts:
+            runs = map(runs_of, part)
+            yield pd.Series([[r.weight_of(words) for r in readers] for words in runs], dtype=object)
+
+    return docs.withColumn(name, read(whole_text(text_col)))
+
+
 def fit_curve(counts: list[tuple[float, int, int]]) -> tuple[float, float]:
     """Slope and offset of the logistic curve over ``(weight, toxic, rows)``.
 
@@ -355,15 +403,16 @@ def drawn_texts(labelled: DataFrame) -> DataFrame:
     while True:
         # Most of what a large table has is passed over before anything is ordered.
         low = labelled.where(draw <= F.lit(min(int((2 * share - 1) * 2.0**63), (1 << 63) - 1)))
-        texts = low.groupBy("text").agg(
-            (F.sum("toxic") * 2 >= F.count(F.lit(1))).cast("long").alias("toxic")
-        )
-        drawn = scratch(texts.orderBy(draw, "text").limit(TRAINING_ROWS), "toxicity-training")
-        found = drawn.count()
-        if share == 1.0 or found >= TRAINING_ROWS:
-            return drawn
+        # Hashes alone are ordered, so that the texts stay spread over the tasks.
+        lowest = low.select(draw.alias("draw")).distinct().orderBy("draw").limit(TRAINING_ROWS)
+        found = lowest.agg(F.count(F.lit(1)).alias("n"), F.max("draw").alias("last")).first()
+        if share == 1.0 or found["n"] >= TRAINING_ROWS:
+            break
         # Rows are more than texts: the share of the hashes was too small.
-        share = min(1.0, max(2.0, 2 * TRAINING_ROWS / max(found, 1)) * share)
+        share = min(1.0, max(2.0, 2 * TRAINING_ROWS / max(found["n"], 1)) * share)
+    texts = low.where(draw <= F.lit(found["last"])).groupBy("text")
+    toxic = (F.sum("toxic") * 2 >= F.count(F.lit(1))).cast("long").alias("toxic")
+    return scratch(texts.agg(toxic), "toxicity-training")
 
 
 def score(
@@ -391,10 +440,10 @@ def score(
     training = drawn_texts(labelled)
     lexicon = learn_lexicon(training)
     weighed = clause_weights(training, lexicon, "text", "weight")
-    # Weights by halves up to a hundred: the rows that come to the driver are bounded.
-    halves = F.least(F.ceil(F.col("weight") * 2) / 2, F.lit(100.0)).alias("weight")
+    # Weights by halves, and no more of them than drawn texts, come to the driver.
+    halves = (F.ceil(F.col("weight") * 2) / 2).alias("weight")
     counts = weighed.groupBy(halves).agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     slope, offset = fit_curve([tuple(r) for r in counts.orderBy("weight").collect()])
-    odds = F.least(F.col(weight), F.lit(100.0)) * slope + offset
+    odds = F.col(weight) * slope + offset
     scored = clause_weights(docs, lexicon, text_col, weight)
     return scored.withColumn(name, 1 / (1 + F.exp(-odds))).drop(weight)

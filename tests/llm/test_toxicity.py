@@ -129,3 +129,24 @@ def test_scoring_reads_the_letter_runs_that_learning_reads(spark):
     learned = spark.createDataFrame([(odd,)], "text string").select(tox.tokens_of(F.col("text"))).first()[0]
     found = [w.partition("'")[0] for w in tox.runs_of(odd)]
     assert [w for w in found if len(w) > 2] == learned
+
+
+def test_factors_follow_the_labels(spark):
+    rows = [(f"w{i} grobian{i % 9}", 1) for i in range(60)] + [(f"w{i} y{i} nett", 0) for i in range(400)]
+    assert tox.learn_lexicon(spark.createDataFrame(rows, SCHEMA)).factors == tox.FACTORS
+    # Negated insults are as harmless as any text, reported ones as bad as the insult.
+    more = [(f"w{i} not grobian", int(i < 4)) for i in range(36)]
+    more += [(f"w{i} she wrote grobian", 1) for i in range(60)]
+    lexicon = tox.learn_lexicon(spark.createDataFrame(rows + more, SCHEMA))
+    targeted, negated, reported = lexicon.factors
+    assert negated < 0.3 and reported > 0.9 and targeted > 0
+    read = tox.Reader(lexicon).weight
+    assert read("not grobian") == pytest.approx(negated * read("grobian"))
+
+
+def test_long_texts_and_large_weights(spark):
+    rows = [(f"w{i} grobian", 1) for i in range(40)] + [(f"w{i} nett", 0) for i in range(200)]
+    rows += [("grobian. " * 5000 + str(i), 1) for i in range(5)]
+    docs = spark.createDataFrame([("grobian. " * 20000,), ("grobian",), ("",)], "text string")
+    scores = {len(r.text): r.score for r in tox.score(docs, spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert 1.0 >= scores[180000] >= scores[7] > 0.5 > scores[0]
