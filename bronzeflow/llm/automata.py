@@ -39,7 +39,8 @@ from bronzeflow.llm.repeats import (
 WINDOW, GRAM = 13, 5
 CROWDED = 2000
 #: Words of a shard's reference at most (a single gram may exceed it, up to ``CROWDED`` contexts).
-SHARD = 200_000
+#: An automaton has up to two states a word, of some 400 bytes; every core builds one.
+SHARD = 50_000
 NOBODY = int(np.iinfo(np.int64).max)
 
 

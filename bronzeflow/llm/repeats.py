@@ -234,10 +234,15 @@ def bodies(placed: DataFrame, spec: Windows) -> DataFrame:
     ``body`` holds the symbols of the context: bytes, or words joined by a space.
     """
 
-    def cut(text: bytes, at, left, right) -> pa.Array:
-        symbols = text.split() if spec.words else text
-        found = [symbols[p - a : p + b] for p, a, b in zip(at.tolist(), left.tolist(), right.tolist())]
-        return pa.array([b" ".join(c) for c in found] if spec.words else found, pa.binary())
+    def cut(texts: list[bytes]) -> tuple[np.ndarray, Callable]:
+        split = [t.split() for t in texts] if spec.words else texts
+
+        def make(text: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.Array:
+            ends = zip(text.tolist(), (at - left).tolist(), (at + right).tolist())
+            found = [split[i][a:b] for i, a, b in ends]
+            return pa.array([b" ".join(c) for c in found] if spec.words else found, pa.binary())
+
+        return np.array([len(x) for x in split], dtype=np.int64), make
 
     return _around(placed, spec, False, "body binary", cut)
 
@@ -249,45 +254,61 @@ def window_hashes(placed: DataFrame, spec: Windows) -> DataFrame:
     before the anchor, null if there is none.
     """
 
-    def hashed(text: bytes, at, left, right) -> pa.Array:
-        symbols, _ = spec.symbols([text])
-        sums = Sums(symbols, spec)
+    def hashed(texts: list[bytes]) -> tuple[np.ndarray, Callable]:
+        symbols, counts = spec.symbols(texts)
+        sums, first = Sums(symbols, spec), np.cumsum(counts) - counts
         back = np.arange(spec.before + 1)
-        there = (back <= left[:, None]) & (back >= spec.length - right[:, None])
-        start = np.where(there, at[:, None] - back, 0)
-        value = sums.of(start, np.minimum(start + spec.length, len(symbols))).view(np.int64)
-        flat = pa.array(value.ravel(), mask=~there.ravel())
-        offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(back))
-        return pa.ListArray.from_arrays(offsets, flat)
+
+        def make(text: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.Array:
+            there = (back <= left[:, None]) & (back >= spec.length - right[:, None])
+            start = ((first[text] + at)[:, None] - back)[there]
+            value = np.zeros(there.shape, dtype=np.int64)
+            value[there] = sums.of(start, start + spec.length).view(np.int64)
+            flat = pa.array(value.ravel(), mask=~there.ravel())
+            offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(back))
+            return pa.ListArray.from_arrays(offsets, flat)
+
+        return counts, make
 
     return _around(placed, spec, True, "windows array<long>", hashed)
 
 
-def _around(placed: DataFrame, spec: Windows, crowded: bool, last: str, make: Callable) -> DataFrame:
-    names = ["gram", "context", "count", "doc", "left", last.split()[0]]
+#: Places of a batch that is made at once.
+PLACES = 1 << 14
+
+
+def _around(placed: DataFrame, spec: Windows, crowded: bool, last: str, read: Callable) -> DataFrame:
+    """What stands around the places of one kind.
+
+    ``read(texts)`` gives the number of symbols of each text, and a function from
+    places (text, position, symbols before and from there on) to their column.
+    """
+    values = ("gram", "context", "count", "doc")
+    names = [*values, "left", last.split()[0]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                place = batch.column(1)[i].values
-                value = lambda n: np.asarray(place.field(n))  # noqa: B023, E731
-                own = np.flatnonzero(np.asarray(place.field("crowded").cast(pa.int8())) == crowded)
-                if not own.size:
-                    continue
-                text = batch.column(0)[i].as_py().encode()
-                size = len(text.split()) if spec.words else len(text)
-                at = value("pos")[own].astype(np.int64)
-                left = np.minimum(spec.before, at)
-                right = np.minimum(spec.length, size - at)
-                columns = [value(n)[own] for n in ("gram", "context", "count", "doc")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[pa.array(c) for c in columns],
-                        pa.array(left.astype(np.int32)),
-                        make(text, at, left, right),
-                    ],
-                    names,
-                )
+            lists = batch.column(1)
+            places = lists.flatten()
+            row = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(lists)))
+            own = np.flatnonzero(np.asarray(places.field("crowded").cast(pa.int8())) == crowded)
+            row, places = row[own], places.take(pa.array(own))
+            there = np.unique(row)
+            texts = batch.column(0).cast(pa.binary()).take(pa.array(there))
+            text = np.searchsorted(there, row)
+            pos = np.asarray(places.field("pos")).astype(np.int64)
+            octets = np.asarray(pa.compute.binary_length(texts)).astype(np.int64)
+            for lo, hi in pieces(octets, PIECE):
+                sizes, make = read([texts[i].as_py() for i in range(lo, hi)])
+                begin, end = np.searchsorted(text, (lo, hi))
+                for a in range(begin, end, PLACES):
+                    b = min(a + PLACES, end)
+                    of, at = text[a:b] - lo, pos[a:b]
+                    left = np.minimum(spec.before, at)
+                    right = np.minimum(spec.length, sizes[of] - at)
+                    columns = [places.field(n).slice(a, b - a) for n in values]
+                    columns += [pa.array(left.astype(np.int32)), make(of, at, left, right)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     return placed.mapInArrow(
         run, f"gram long, context long, count long, doc long, left int, {last}"
