@@ -77,8 +77,10 @@ def column_profile(
 
     ``distinct="approx"`` keeps a fixed-size sketch per column and is the choice
     for large tables. ``"exact"`` makes the planner expand each row once per
-    column and shuffle the distinct values. ``mean`` and ``stddev`` are NULL for
-    columns that are not numbers; ``min`` and ``max`` are shown as text.
+    column and shuffle the distinct values; a task sorts what it expands, so rows
+    are dealt out first, since a file may be one task however large it is.
+    ``mean`` and ``stddev`` are NULL for columns that are not numbers; ``min`` and
+    ``max`` are shown as text.
     """
     if distinct not in ("approx", "exact"):
         raise ValueError("distinct is 'approx' or 'exact'")
@@ -115,7 +117,18 @@ def column_profile(
                 "stddev": F.col(f"stddev_{i}") if numeric else unknown,
             }
         )
-    return unpivot_row(df.agg(total_rows(), *measures), rows)
+    rows_of = dealt_out(df) if distinct == "exact" else df
+    return unpivot_row(rows_of.agg(total_rows(), *measures), rows)
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The rows shared out evenly over the shuffle partitions, equal ones too.
+
+    By a number of the row: its hash needs no sort of the rows before it, as dealing
+    them in turn does.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, F.monotonically_increasing_id())
 
 
 def column_completeness(df: DataFrame) -> DataFrame:
