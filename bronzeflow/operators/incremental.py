@@ -119,20 +119,22 @@ def of_keys(rows: DataFrame, keys: Sequence[str], most: int = KEY_LIST) -> Colum
 
     Up to ``most`` keys are listed, and a scan asks the statistics and the Bloom
     filter of each row group for them; of more keys the range is given. It only
-    spares reading: rows that pass are still joined by key.
+    spares reading: rows that pass are still joined by key. So a sketch tells first
+    whether there are far more, and only then are they not shuffled to be listed.
     """
-    listed = rows.select(*keys).distinct().limit(most + 1).collect()
-    if len(listed) <= most:
-        tests = []
-        for k in keys:
-            test = one_of(k, sorted({r[k] for r in listed if r[k] is not None}))
-            tests.append(test | F.col(k).isNull() if any(r[k] is None for r in listed) else test)
-        return reduce(Column.__and__, tests)
     ends = rows.agg(
+        F.approx_count_distinct(F.xxhash64(*keys)).alias("about"),
         *[f(k).alias(f"{n}_{i}") for i, k in enumerate(keys) for n, f in (("low", F.min), ("high", F.max))],
         *[F.count_if(F.col(k).isNull()).alias(f"nulls_{i}") for i, k in enumerate(keys)],
     ).first()
     tests = []
+    # Four standard errors of the sketch.
+    listed = rows.select(*keys).distinct().limit(most + 1).collect() if ends["about"] <= 1.2 * most else None
+    if listed is not None and len(listed) <= most:
+        for k in keys:
+            test = one_of(k, sorted({r[k] for r in listed if r[k] is not None}))
+            tests.append(test | F.col(k).isNull() if any(r[k] is None for r in listed) else test)
+        return reduce(Column.__and__, tests)
     for i, k in enumerate(keys):
         low, high, nulls = ends[f"low_{i}"], ends[f"high_{i}"], ends[f"nulls_{i}"]
         test = F.col(k).between(low, high) if low is not None else F.lit(False)

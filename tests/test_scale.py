@@ -1,8 +1,14 @@
 """What must not grow with the tables: plans of the queries that are run on large ones."""
 
+from datetime import datetime
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from bronzeflow.operators import profile
+from bronzeflow.operators.incremental import of_keys
+from bronzeflow.registry import queries
+from bronzeflow.registry.queries import QUERIES
 
 
 def plan(df):
@@ -30,3 +36,37 @@ def test_exact_profile_of_a_column_named_twice_and_of_no_rows(spark):
     assert [r["distinct"] for r in profile.column_profile(df, ["k", "k"], "exact").collect()] == [2, 2]
     empty = profile.column_profile(df.where("false"), distinct="exact").first()
     assert (empty["rows"], empty["distinct"], empty["min"]) == (0, 0, None)
+
+
+def test_looks_of_a_stream_land_in_as_many_files_as_they_are_read_in(spark, tmp_path, monkeypatch):
+    rows = [(i, i % 7, "O", 1.5, datetime(1998 + i % 3, 1, 1), "1") for i in range(400)]
+    columns = (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    )
+    orders = spark.createDataFrame(rows, columns).repartition(4)
+    orders.write.option("maxRecordsPerFile", 100).parquet(f"{tmp_path}/orders.parquet")
+    folders = []
+
+    def own_path(session, purpose):
+        folders.append(f"{tmp_path}/{purpose}")
+        return folders[-1]
+
+    monkeypatch.setattr(queries, "scratch_path", own_path)
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    found = QUERIES["stream_upsert_orders"](session, str(tmp_path)).collect()
+    assert len(found) == 400
+    early = [r for r in rows if r[0] % 50 and r[4] <= datetime(1999, 6, 30)]
+    assert {r["streamed_rows"] for r in found} == {len(early) + 400}
+    landed = list(Path(tmp_path, "landing").glob("*.parquet"))
+    assert len(landed) > 2
+
+
+def test_keys_are_listed_or_given_as_a_range(spark):
+    rows = spark.range(5000).selectExpr("CAST(id % 4000 AS INT) AS k")
+    few = str(of_keys(rows.where("k < 50"), ["k"], most=50))
+    assert "IN" in few.upper() and "BETWEEN" not in few.upper()
+    many = of_keys(rows, ["k"], most=50)
+    assert spark.range(10_000).select(F.col("id").alias("k")).where(many).count() == 4000
