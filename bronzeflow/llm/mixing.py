@@ -183,8 +183,11 @@ def mixed_documents(
 ) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their own columns."""
     rows = _numbered_rows(docs, id_col, text_col, source_col, carry=True)
-    decided, _ = _decided(rows.drop("doc"), seed, block)
-    taken = _given_out(rows, decided).where("copies > 0")
+    slim = rows.drop("doc")
+    decided, _ = _decided(slim, seed, block)
+    copies = _given_out(slim, decided).where("copies > 0").select("place", "copies")
+    # Documents are moved once, when it is known how often each place is taken.
+    taken = rows.select("place", "doc").join(copies, "place")
     return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 
 
