@@ -186,7 +186,9 @@ def mixed_documents(
     slim = rows.drop("doc")
     decided, _ = _decided(slim, seed, block)
     copies = _given_out(slim, decided).where("copies > 0").select("place", "copies")
-    # Documents are moved once, when it is known how often each place is taken.
+    # Documents move once at most, when it is known how often each place is taken: written,
+    # the copies have a known size, and few are broadcast.
+    copies = scratch(copies, "mixing-copies")
     taken = rows.select("place", "doc").join(copies, "place")
     return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
 

@@ -106,3 +106,15 @@ def test_flight_keeps_both_totals():
     assert len(left) <= 2
     assert ((p == 0) | (p == 1)).sum() == 500 - len(left)
     assert ((p * n).sum(), (p * w).sum()) == pytest.approx(before)
+
+
+def test_documents_of_a_mix_are_moved_once(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(i % 40, f"w{i % 40} " * (1 + i % 9), f"s{i % 3}") for i in range(200)]
+    docs = session.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mixed_documents(docs)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in text.splitlines() if "FileScan" in line and "doc#" in line]) == 1
+    copies = mixing.mix(docs).agg({"copies": "sum"}).first()[0]
+    assert found.count() == copies
