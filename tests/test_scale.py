@@ -70,3 +70,16 @@ def test_keys_are_listed_or_given_as_a_range(spark):
     assert "IN" in few.upper() and "BETWEEN" not in few.upper()
     many = of_keys(rows, ["k"], most=50)
     assert spark.range(10_000).select(F.col("id").alias("k")).where(many).count() == 4000
+
+
+def test_distinct_values_of_a_growing_table_stay_spread(spark, monkeypatch):
+    seen, exact = [], profile.column_profile
+
+    def noted(df, *args, **options):
+        seen.append(df.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.enabled"))
+        return exact(df, *args, **options)
+
+    monkeypatch.setattr(profile, "column_profile", noted)
+    found = QUERIES["profile_of_growing_table"](spark, "/root/testdata/sf0.001")
+    assert {r["column"]: r["distinct_is_near"] for r in found.collect()} == {"OrderID": True, "TotalPrice": True}
+    assert seen == ["false"]
