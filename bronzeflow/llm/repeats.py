@@ -228,8 +228,8 @@ def with_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:
     return once.join(per_text, "key").select("text", "p")
 
 
-def bodies(placed: DataFrame, spec: Windows) -> DataFrame:
-    """``(gram, context, count, doc, left, body)`` of the places that are not crowded.
+def bodies(placed: DataFrame, spec: Windows, crowded: bool = False) -> DataFrame:
+    """``(gram, context, count, doc, left, body)`` of the places that are (not) crowded.
 
     ``body`` holds the symbols of the context: bytes, or words joined by a space.
     """
@@ -244,7 +244,7 @@ def bodies(placed: DataFrame, spec: Windows) -> DataFrame:
 
         return np.array([len(x) for x in split], dtype=np.int64), make
 
-    return _around(placed, spec, False, "body binary", cut)
+    return _around(placed, spec, crowded, "body binary", cut)
 
 
 def window_hashes(placed: DataFrame, spec: Windows) -> DataFrame:

@@ -9,8 +9,8 @@ is sorted by multikey quicksort, once by what follows the anchor and once by
 what precedes it. Common prefixes of neighbours in both orders tell for every
 window whether another context holds it. Splitters are whole grams, so contexts
 on the two sides of a boundary share less than a gram, and no window straddles
-it; a gram of very many places would fill its bucket, so its windows are
-compared by hash instead, each window being a group of its own.
+it; a gram of very many contexts would fill its bucket, so these are compared by
+hashes of stretches instead, first for many windows at once.
 """
 
 from __future__ import annotations
@@ -30,13 +30,14 @@ from bronzeflow.llm.repeats import (
     bodies,
     contexts_of,
     keyed,
-    window_hashes,
     with_texts,
 )
 
 WINDOW, GRAM = 200, 40
-#: Places of a gram from which its windows are compared one by one.
+#: Contexts of a gram from which they are not sorted but compared by stretches.
 CROWDED = 2000
+#: Parts that a range of distances is cut into while its windows differ.
+SPLIT = 6
 #: Contexts that a bucket takes on average at most; there are more buckets for more.
 BUCKET = 50_000
 WORD = 8
@@ -66,12 +67,13 @@ def repeated_spans(
             (F.min("context") < F.max("context")).alias("mixed"),
         )
         .where("n > 1")
+        .drop("n")
     )
     grams = scratch(grams, "suffixes-grams")
     release(spark)
     shared = anchors(texts, spec).select("gram", "key", "pos", "context").join(grams, "gram")
     # Copies of a text have the same places.
-    shared = shared.groupBy("gram", "key", "pos", "context", "n", "mixed").agg(
+    shared = shared.groupBy("gram", "key", "pos", "context", "mixed").agg(
         F.count(F.lit(1)).alias("copies")
     )
     shared = scratch(shared, "suffixes-places")
@@ -81,13 +83,13 @@ def repeated_spans(
     )
     differing = shared.where("mixed").select(
         "gram", "key", "pos", "context", "copies",
-        (F.col("n") >= crowded).alias("crowded"), F.lit(0).cast("long").alias("doc"),
+        F.lit(False).alias("crowded"), F.lit(0).cast("long").alias("doc"),
     )
     chosen = scratch(contexts_of(differing), "suffixes-contexts")
-    placed = with_texts(texts, chosen)
+    placed = with_texts(texts, _crowded(chosen, crowded))
     ranges = _ranges(spark, chosen.count())
     sorted_ = _by_sorting(placed, spec, ranges)
-    found = scratch(sorted_.unionByName(_by_hash(placed, spec)), "suffixes-found")
+    found = scratch(sorted_.unionByName(_by_stretches(placed, spec)), "suffixes-found")
     release(spark)
     by_context = differing.join(found, "context").select("key", "pos", "low", "high")
     return same.unionByName(by_context)
@@ -107,20 +109,79 @@ def _by_sorting(placed: DataFrame, spec: Windows, ranges: int) -> DataFrame:
     return dealt.select("context", "left", "body", "count").mapInArrow(_bucket(spec), schema)
 
 
-def _by_hash(placed: DataFrame, spec: Windows) -> DataFrame:
-    windows = (
-        window_hashes(placed, spec)
-        .select("context", "count", F.posexplode("windows").alias("back", "window"))
-        .where("window IS NOT NULL")
-    )
-    # By distance too: one window of one place belongs to several anchors.
-    same = ["window", "back"]
-    twice = windows.groupBy(*same).agg(F.sum("count").alias("n")).where("n > 1")
-    return windows.join(twice, same).groupBy("context").agg(
-        F.min("back").alias("low"), F.max("back").alias("high")
+def _by_stretches(placed: DataFrame, spec: Windows) -> DataFrame:
+    """``(context, low, high)`` of the contexts of crowded grams, by hashes of stretches.
+
+    Windows are judged by ranges of their distance to the anchor. None of a range
+    repeats if what all of them hold stands nowhere else, and all do if the stretch
+    that they cover together stands elsewhere. Other ranges are cut into parts, down
+    to single windows. Contexts that share the covered stretch are alike for all
+    others too, so one of them goes on, to be compared with, and is not asked again.
+    """
+    around = bodies(placed, spec, crowded=True).select("context", "count", "left", "body")
+    around = scratch(around, "suffixes-crowded")
+    every = {"low": F.lit(0), "high": F.lit(spec.before)}
+    # A context of several places repeats as a whole.
+    found = around.where("count > 1").select("context").withColumns(every)
+    if around.isEmpty():
+        return found
+    rows = around.withColumns({"open": F.col("count") == 1, **every})
+    step = spec.before + 1
+    while step > 1:
+        step = -(-step // SPLIT)
+        ranges = scratch(_ranges_of(rows, spec, step), "suffixes-ranges")
+        met = ranges.groupBy("shared").agg(
+            F.sum("count").alias("n"), F.bool_or("open").alias("asked")
+        )
+        # Written, so that the join is one of plain shuffles, which may be split.
+        met = scratch(met.where("n > 1 AND asked").select("shared"), "suffixes-met")
+        live = scratch(ranges.join(met, "shared", "left_semi"), "suffixes-live")
+        alike = live.groupBy("covered", "low", "high").agg(
+            F.min("context").alias("context"),
+            F.sum("count").alias("count"),
+            F.bool_or("open").alias("open"),
+        )
+        alike = scratch(alike, "suffixes-alike")
+        again = alike.where("count > 1").select("covered")
+        whole = live.where("open").join(again, "covered", "left_semi")
+        found = found.unionByName(whole.select("context", "low", "high"))
+        left = alike.withColumn("open", F.expr("open AND count = 1")).drop("covered")
+        rows = around.drop("count").join(left, "context")
+    return found.groupBy("context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _ranges_of(rows: DataFrame, spec: Windows, step: int) -> DataFrame:
+    """Ranges cut into parts of ``step`` distances: ``shared`` is a hash of what the windows
+    of a part hold in common, ``covered`` one of all that they cover."""
+
+    def stretch(before: str, after: str) -> str:
+        size = f"{before} + {spec.length} - {after}"
+        return f"xxhash64({spec.seed}L, low, high, substring(body, left - {before} + 1, {size}))"
+
+    def holds(before: str, after: str) -> str:
+        return f"left >= {before} AND octet_length(body) - left >= {spec.length} - {after}"
+
+    # At the ends of a text there is no such stretch, and nothing is like it.
+    covered = f"IF({holds('high', 'low')}, {stretch('high', 'low')}, xxhash64(context, low, high))"
+    cut = rows.withColumn("start", F.explode(F.sequence("low", "high", F.lit(step))))
+    cut = cut.withColumn("high", F.least(F.col("start") + step - 1, "high"))
+    cut = cut.withColumn("low", F.col("start")).where(holds("low", "high"))
+    return cut.selectExpr(
+        "context", "count", "open", "low", "high",
+        f"{stretch('low', 'high')} AS shared", f"{covered} AS covered",
     )
 
 
+def _crowded(chosen: DataFrame, crowded: int) -> DataFrame:
+    """``chosen`` with ``crowded``: whether the gram has so many different contexts.
+
+    Copies of a text have the same contexts, so they crowd nothing.
+    """
+    held = chosen.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"))
+    held = held.where(F.col("contexts") >= crowded).select("gram", F.lit(True).alias("crowded"))
+    return chosen.drop("crowded").join(held, "gram", "left").fillna(False, ["crowded"])
+
+
 def _bucket(spec: Windows):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [b for b in batches if b.num_rows]

@@ -140,3 +140,41 @@ def test_texts_made_for_a_polynomial_are_told_apart(spark):
     df = spark.createDataFrame([(1, one.decode()), (2, two.decode())], "doc_id long, text string")
     rows = suffixes.without_repeats(df).collect()
     assert all(not r.kept_text_spans for r in rows)
+
+
+def few_of_many(copies):
+    """Two texts that differ at one end, with very many copies of each."""
+    rng = random.Random(7)
+    body = "".join(rng.choices("abcdefgh", k=400))
+    return [body + "x" * 30] * copies + [body + "y" * 30]
+
+
+def asked_by_stretches(spark, monkeypatch, texts, crowded, window, gram):
+    """Contexts of crowded grams, and ranges of windows made of them, the spans being right."""
+    counts, ranges_of = [], suffixes._ranges_of
+
+    def counted(rows, *args):
+        made = ranges_of(rows, *args)
+        counts.append((rows.count(), made.count()))
+        return made
+
+    monkeypatch.setattr(suffixes, "_ranges_of", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = suffixes.without_repeats(df, window=window, gram=gram, crowded=crowded).collect()
+    wanted = brute([t.encode() for t in texts], window)
+    assert all([tuple(x) for x in r.kept_text_spans or []] == wanted[r.doc_id] for r in rows)
+    return (counts[0][0] if counts else 0), sum(made for _, made in counts)
+
+
+def test_copies_do_not_crowd_a_gram(spark, monkeypatch):
+    texts = few_of_many(50)
+    assert asked_by_stretches(spark, monkeypatch, texts, 20, 40, 12) == (0, 0)
+
+
+def test_crowded_grams_are_not_expanded_window_by_window(spark, monkeypatch):
+    rng = random.Random(8)
+    other = lambda: "".join(rng.choices("pqrstuvw", k=250))
+    passage = "".join(rng.choices("abcdefgh", k=230))
+    texts = [other() + passage + other() for _ in range(60)]
+    contexts, made = asked_by_stretches(spark, monkeypatch, texts, 5, 200, 40)
+    assert contexts >= 60 and made < contexts * 161 / 4
