@@ -28,7 +28,14 @@ from bronzeflow.operators.incremental import (
     upsert_table,
 )
 from bronzeflow.operators.sinks import save, write_bronze
-from bronzeflow.plans.layers import daily_sales, sales_by_date, sales_per_order
+from bronzeflow.plans.layers import (
+    daily_sales,
+    dates_of_orders,
+    orders_without_id,
+    sales_by_date,
+    with_line_sums,
+)
+from bronzeflow.plans.views import lines_per_order
 from bronzeflow.specs import ORDER_LINES, ORDERS, TableSpec
 
 DAILY_SALES = TableSpec(
@@ -48,7 +55,9 @@ DAILY_SALES = TableSpec(
 )
 MEASURES = ("orders", "lines", "revenue")
 #: What a refresh keeps until its result is in place; the old contributions go last.
-SIDE_TABLES = ("full", "change", "keys", "before")
+SIDE_TABLES = ("full", "change", "keys", "sums", "before")
+#: Share of the orders up to which rows are looked up by key before they are folded.
+FEW_ORDERS = 0.5
 
 
 def by_year(sales: DataFrame) -> DataFrame:
@@ -106,7 +115,11 @@ def refresh_daily_sales(
         known = renamed_keys(reduce(DataFrame.unionByName, held), [order_key])
         touched = touched.join(known, same_key(touched, known, [order_key]), "left_anti")
     touched = spark.table(keep(spark, target, "keys", touched))
-    first = contributions(spark, order_rows, line_rows, touched, order_key)
+    sums = None
+    if new_lines is None and not held:  # lines stay as they are, so one pass over them serves twice
+        sums = lines_per_order(touched_rows(spark, line_rows, order_rows, touched, order_key))
+        sums = spark.table(keep(spark, target, "sums", sums))
+    first = contributions(spark, order_rows, line_rows, touched, order_key, sums)
     held.append(spark.table(keep(spark, target, "before", first)))
     before = reduce(DataFrame.unionByName, held)
 
@@ -114,8 +127,10 @@ def refresh_daily_sales(
         if rows is not None:
             upsert_table(spark, target, spec, rows, spec.edited_column)
 
-    every_key = spark.table(keep(spark, target, "keys", before.select(order_key).distinct()))
-    after = contributions(spark, order_rows, line_rows, every_key, order_key)
+    every_key = touched
+    if len(held) > 1:
+        every_key = spark.table(keep(spark, target, "keys", before.select(order_key).distinct()))
+    after = contributions(spark, order_rows, line_rows, every_key, order_key, sums)
     signed = after.unionByName(before.withColumns({m: -F.col(m) for m in MEASURES}))
     change = by_year(sales_by_date(signed.where(F.col("OrderDate").isNotNull())))
     change = spark.table(keep(spark, target, "change", change))
@@ -141,18 +156,42 @@ def of_rows(
     return found.join(own, same_key(found, own, keys), "left_semi")
 
 
-def contributions(
-    spark: SparkSession, orders: str, lines: str, keys: DataFrame, key: str
+def touched_rows(
+    spark: SparkSession, table: str, orders: str, keys: DataFrame, key: str
 ) -> DataFrame:
-    """``(OrderID, OrderDate, orders, lines, revenue)`` of these orders; keys without any stay."""
+    """Rows of ``table`` of these orders; where most orders are touched, those of others too.
+
+    Most rows would be sorted one by one only to drop a few, so they fold first then.
+    """
     listed = of_keys(keys, [key])
-    sales = sales_per_order(
-        *[of_rows(spark.table(name), keys, [key], listed) for name in (orders, lines)]
-    )
-    known = renamed_keys(keys, [key])
-    return known.join(sales, same_key(sales, known, [key]), "left").select(
+    found = spark.table(table).where(listed)
+    few = keys.count() <= FEW_ORDERS * spark.table(orders).count()
+    return of_rows(found, keys, [key], listed) if few else found
+
+
+def contributions(
+    spark: SparkSession,
+    orders: str,
+    lines: str,
+    keys: DataFrame,
+    key: str,
+    sums: DataFrame | None = None,
+) -> DataFrame:
+    """``(OrderID, OrderDate, orders, lines, revenue)`` of these orders; keys without any stay.
+
+    ``keys`` are distinct; ``sums`` is what the lines of these orders fold to, if that is known.
+    """
+    own = touched_rows(spark, orders, orders, keys, key)
+    if sums is None:
+        sums = lines_per_order(touched_rows(spark, lines, orders, keys, key))
+    known = keys.where(F.col(key).isNotNull())
+    keyed = with_line_sums(known.join(dates_of_orders(own), key, "left"), sums)
+    # A NULL key is equal to a NULL key.
+    none, unkeyed = renamed_keys(keys.where(F.col(key).isNull()), [key]), orders_without_id(own)
+    unkeyed = none.join(unkeyed, same_key(unkeyed, none, [key]), "left").select(
         F.col(f"__{key}").alias(key), "OrderDate", *MEASURES
     )
+    return keyed.unionByName(unkeyed)
 
 
 def pending(spark: SparkSession, target: Target, what: str) -> list[str]:
