@@ -53,41 +53,28 @@ def sales_per_order(orders: DataFrame, lines: DataFrame) -> DataFrame:
     Lines fold per order before the join. Orders without an id match no line and
     take a branch of their own, a row for each.
     """
-    keyed = with_line_sums(dates_of_orders(orders), lines_per_order(lines))
-    return keyed.unionByName(orders_without_id(orders))
-
-
-def dates_of_orders(orders: DataFrame) -> DataFrame:
-    """``(OrderID, OrderDate, copies)`` of the dated orders with an id."""
     dated = orders.where(F.col("OrderDate").isNotNull()).select("OrderID", "OrderDate")
-    return (
+    keyed = (
         dated.where(F.col("OrderID").isNotNull())
         .groupBy("OrderID", "OrderDate")
         .agg(F.count(F.lit(1)).alias("copies"))
+        .join(lines_per_order(lines), "OrderID", "left")
+        .select(
+            "OrderID",
+            "OrderDate",
+            F.col("copies").alias("orders"),
+            (F.col("copies") * F.col("line_count")).alias("lines"),
+            (F.col("copies") * F.col("line_value")).cast("decimal(38,2)").alias("revenue"),
+        )
     )
-
-
-def with_line_sums(dates: DataFrame, sums: DataFrame) -> DataFrame:
-    """What orders with these dates contribute; ``sums`` is what their lines fold to."""
-    return dates.join(sums, "OrderID", "left").select(
-        "OrderID",
-        "OrderDate",
-        F.col("copies").alias("orders"),
-        (F.col("copies") * F.col("line_count")).alias("lines"),
-        (F.col("copies") * F.col("line_value")).cast("decimal(38,2)").alias("revenue"),
-    )
-
-
-def orders_without_id(orders: DataFrame) -> DataFrame:
-    """What dated orders without an id contribute."""
-    dated = orders.where(F.col("OrderDate").isNotNull()).select("OrderID", "OrderDate")
-    return dated.where(F.col("OrderID").isNull()).select(
+    unkeyed = dated.where(F.col("OrderID").isNull()).select(
         "OrderID",
         "OrderDate",
         F.lit(1).cast("bigint").alias("orders"),
         F.lit(None).cast("bigint").alias("lines"),
         F.lit(None).cast("decimal(38,2)").alias("revenue"),
     )
+    return keyed.unionByName(unkeyed)
 
 
 def sales_by_date(sales: DataFrame) -> DataFrame:
