@@ -9,13 +9,14 @@ is sorted by multikey quicksort, once by what follows the anchor and once by
 what precedes it. Common prefixes of neighbours in both orders tell for every
 window whether another context holds it. Splitters are whole grams, so contexts
 on the two sides of a boundary share less than a gram, and no window straddles
-it; a gram of very many contexts would fill its bucket, so these are compared by
-hashes of stretches instead, first for many windows at once.
+it; a gram of so many contexts that it would fill a bucket alone is parted first,
+by hashes of longer stretches that ranges of its windows hold in common.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,10 @@ from bronzeflow.llm.repeats import (
 )
 
 WINDOW, GRAM = 200, 40
-#: Contexts of a gram from which they are not sorted but compared by stretches.
+#: Contexts that a gram may have at least before it is parted.
 CROWDED = 2000
-#: Parts that a range of distances is cut into while its windows differ.
-SPLIT = 6
+#: Parts that a range of distances is cut into while too many contexts share a stretch.
+SPLIT = 3
 #: Contexts that a bucket takes on average at most; there are more buckets for more.
 BUCKET = 50_000
 WORD = 8
@@ -48,13 +49,14 @@ def repeated_spans(
     text_col: str = "text",
     window: int = WINDOW,
     gram: int = GRAM,
-    crowded: int = CROWDED,
+    crowded: int | None = None,
 ) -> DataFrame:
     """``(key, pos, low, high)``: windows that repeat, by text and anchor.
 
     For an anchor at ``pos`` of the texts with hash ``key`` windows repeat from
     ``high`` to ``low`` bytes before it, so ``[pos - high, pos - low + window)``
-    is covered, cut to the text.
+    is covered, cut to the text. A gram of ``crowded`` contexts is parted; by
+    default, one of as many as a bucket takes on average, and ``CROWDED`` at least.
     """
     spark = docs.sparkSession
     spec = Windows(window, gram, words=False)
@@ -86,10 +88,14 @@ def repeated_spans(
         F.lit(False).alias("crowded"), F.lit(0).cast("long").alias("doc"),
     )
     chosen = scratch(contexts_of(differing), "suffixes-contexts")
+    contexts = chosen.count()
+    ranges = _ranges(spark, contexts)
+    if crowded is None:
+        # In proportion to the buckets, so that no more of a larger table is parted.
+        crowded = max(CROWDED, -(-contexts // ranges))
     placed = with_texts(texts, _crowded(chosen, crowded))
-    ranges = _ranges(spark, chosen.count())
     sorted_ = _by_sorting(placed, spec, ranges)
-    found = scratch(sorted_.unionByName(_by_stretches(placed, spec)), "suffixes-found")
+    found = scratch(sorted_.unionByName(_by_parts(placed, spec, crowded)), "suffixes-found")
     release(spark)
     by_context = differing.join(found, "context").select("key", "pos", "low", "high")
     return same.unionByName(by_context)
@@ -103,21 +109,31 @@ def _ranges(spark: SparkSession, contexts: int) -> int:
 def _by_sorting(placed: DataFrame, spec: Windows, ranges: int) -> DataFrame:
     """``(context, low, high)`` from sorted buckets."""
     lead = F.expr(f"substring(body, left + 1, {spec.gram})")
+    every = {"low": F.lit(0), "high": F.lit(spec.before)}
     dealt = bodies(placed, spec).select("context", "left", "body", "count", lead.alias("lead"))
-    dealt = dealt.repartitionByRange(ranges, "lead")
+    return _sorted(dealt.withColumns(every), spec, ranges)
+
+
+def _sorted(rows: DataFrame, spec: Windows, ranges: int) -> DataFrame:
+    """``(context, low, high)`` of the windows of each row that lie in its own range and that
+    another row of the same ``lead`` holds."""
+    dealt = rows.repartitionByRange(ranges, "lead")
     schema = "context long, low int, high int"
-    return dealt.select("context", "left", "body", "count").mapInArrow(_bucket(spec), schema)
+    names = ("context", "left", "body", "count", "low", "high")
+    return dealt.select(*names).mapInArrow(_bucket(spec), schema)
 
 
-def _by_stretches(placed: DataFrame, spec: Windows) -> DataFrame:
-    """``(context, low, high)`` of the contexts of crowded grams, by hashes of stretches.
+def _by_parts(placed: DataFrame, spec: Windows, crowded: int) -> DataFrame:
+    """``(context, low, high)`` of the contexts of crowded grams.
 
-    Windows are judged by ranges of their distance to the anchor. None of a range
+    Their windows are judged by ranges of the distance to the anchor. None of a range
     repeats if what all of them hold stands nowhere else, and all do if the stretch
-    that they cover together stands elsewhere. Other ranges are cut into parts, down
-    to single windows. Contexts that share the covered stretch are alike for all
-    others too, so one of them goes on, to be compared with, and is not asked again.
+    that they cover together stands elsewhere. Contexts that share the covered stretch
+    are alike for all others too, so one of them goes on, to be compared with. What is
+    left is sorted, once less than ``crowded`` contexts share what the range holds in
+    common; the other ranges are cut into parts, down to single windows.
     """
+    spark = placed.sparkSession
     around = bodies(placed, spec, crowded=True).select("context", "count", "left", "body")
     around = scratch(around, "suffixes-crowded")
     every = {"low": F.lit(0), "high": F.lit(spec.before)}
@@ -126,7 +142,7 @@ def _by_stretches(placed: DataFrame, spec: Windows) -> DataFrame:
     if around.isEmpty():
         return found
     rows = around.withColumns({"open": F.col("count") == 1, **every})
-    step = spec.before + 1
+    step, few = spec.before + 1, []
     while step > 1:
         step = -(-step // SPLIT)
         ranges = scratch(_ranges_of(rows, spec, step), "suffixes-ranges")
@@ -140,13 +156,29 @@ def _by_stretches(placed: DataFrame, spec: Windows) -> DataFrame:
             F.min("context").alias("context"),
             F.sum("count").alias("count"),
             F.bool_or("open").alias("open"),
+            F.first("shared").alias("shared"),
         )
         alike = scratch(alike, "suffixes-alike")
         again = alike.where("count > 1").select("covered")
         whole = live.where("open").join(again, "covered", "left_semi")
         found = found.unionByName(whole.select("context", "low", "high"))
+        held = alike.groupBy("shared").agg(
+            F.count(F.lit(1)).alias("contexts"), F.bool_or(F.expr("open AND count = 1")).alias("asked")
+        )
+        held = held.where("contexts > 1 AND asked").select(
+            "shared", (F.col("contexts") >= crowded).alias("crowded")
+        )
+        held = scratch(held, "suffixes-held")
         left = alike.withColumn("open", F.expr("open AND count = 1")).drop("covered")
-        rows = around.drop("count").join(left, "context")
+        left = scratch(left.join(held, "shared"), "suffixes-left")
+        few.append(left.where("NOT crowded").drop("open", "crowded"))
+        more = left.where("crowded").drop("shared", "crowded")
+        if more.isEmpty():
+            break
+        rows = around.drop("count").join(more, "context")
+    parts = reduce(DataFrame.unionByName, few).withColumnRenamed("shared", "lead")
+    buckets = _ranges(spark, parts.count())
+    found = found.unionByName(_sorted(around.drop("count").join(parts, "context"), spec, buckets))
     return found.groupBy("context").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
@@ -188,9 +220,10 @@ def _bucket(spec: Windows):
         if not rows:
             return
         table = pa.Table.from_batches(rows)
-        context, left, count = (table.column(c).to_numpy() for c in ("context", "left", "count"))
+        names = ("context", "left", "count", "low", "high")
+        context, left, count, low, high = (table.column(c).to_numpy() for c in names)
         bodies = table.column("body").to_pylist()
-        found = repeated_windows(bodies, left.astype(np.int64), count, spec)
+        found = repeated_windows(bodies, left.astype(np.int64), count, spec, low, high)
         hit = found[:, 1] >= 0
         columns = [context[hit], found[hit, 0].astype(np.int32), found[hit, 1].astype(np.int32)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["context", "low", "high"])
@@ -199,10 +232,15 @@ def _bucket(spec: Windows):
 
 
 def repeated_windows(
-    bodies: list[bytes], left: np.ndarray, count: np.ndarray, spec: Windows
+    bodies: list[bytes],
+    left: np.ndarray,
+    count: np.ndarray,
+    spec: Windows,
+    low: np.ndarray,
+    high: np.ndarray,
 ) -> np.ndarray:
     """``(low, high)`` of each context: fewest and most bytes that a repeated window starts
-    before the anchor; -1 if there is none.
+    before the anchor, of those from ``low`` to ``high``; -1 if there is none.
 
     A window ``back`` bytes before the anchor is known by its class in the order
     of what follows, at depth ``length - back``, and in that of what precedes,
@@ -217,7 +255,7 @@ def repeated_windows(
     lcp_b = common_prefixes(before[order_b], left[order_b])
     found = np.full((n, 2), -1, dtype=np.int64)
     for back in range(spec.before + 1):
-        valid = (left >= back) & (right >= spec.length - back)
+        valid = (left >= back) & (right >= spec.length - back) & (low <= back) & (back <= high)
         if not valid.any():
             continue
         class_a, class_b = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
@@ -285,7 +323,7 @@ def without_repeats(
     kept_col: str = "kept_text",
     window: int = WINDOW,
     gram: int = GRAM,
-    crowded: int = CROWDED,
+    crowded: int | None = None,
     as_text: bool = False,
 ) -> DataFrame:
     """``docs`` with the bytes that remain, and the removed runs as ``<kept_col>_spans``.

@@ -178,3 +178,43 @@ def test_crowded_grams_are_not_expanded_window_by_window(spark, monkeypatch):
     texts = [other() + passage + other() for _ in range(60)]
     contexts, made = asked_by_stretches(spark, monkeypatch, texts, 5, 200, 40)
     assert contexts >= 60 and made < contexts * 161 / 4
+
+
+def least_gram(spec):
+    """A gram whose hash is so small that every window which holds it has its anchor there."""
+    text = "".join(random.Random(9).choices("ijklmno", k=200_000))
+    symbols, _ = spec.symbols([text.encode()])
+    at = int(repeats.Sums(symbols, spec).of_each(spec.gram).argmin())
+    return text[at : at + spec.gram]
+
+
+def test_parts_that_few_contexts_share_are_not_cut_again(spark, monkeypatch):
+    spec = repeats.Windows(200, 40, words=False, seed=7)
+    monkeypatch.setattr(suffixes, "Windows", lambda *_, **__: spec)
+    rng = random.Random(10)
+    made = lambda k: "".join(rng.choices("pqrstuvw", k=k))
+    hot, texts = least_gram(spec), []
+    for _ in range(30):
+        both = made(100) + hot + made(100)
+        texts += [made(250) + both + made(250), made(250) + both + made(250)]
+    contexts, rows = asked_by_stretches(spark, monkeypatch, texts, 5, 200, 40)
+    assert contexts == 60 and rows <= 3 * contexts
+
+
+def test_a_gram_that_fits_its_bucket_is_not_parted(spark, monkeypatch):
+    rng = random.Random(11)
+    made = lambda k: "".join(rng.choices("pqrstuvw", k=k))
+    passages = made(230), made(230)
+    texts = [made(20) + p + made(20) for _ in range(suffixes.CROWDED + 50) for p in passages]
+    parted, ranges_of = [], suffixes._ranges_of
+    monkeypatch.setattr(suffixes, "_ranges_of", lambda *a: parted.append(1) or ranges_of(*a))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        rows = suffixes.without_repeats(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    wanted = brute([t.encode() for t in texts], 200)
+    assert all([tuple(x) for x in r.kept_text_spans or []] == wanted[r.doc_id] for r in rows)
+    assert not parted
