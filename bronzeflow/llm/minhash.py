@@ -33,6 +33,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 #: Texts hashed at once, in words and in number: each throws some 800 darts.
 PIECE, AT_ONCE = 1 << 18, 1024
+#: Darts that are held at once, of all sets together.
+DARTS = 1 << 17
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
@@ -92,15 +94,25 @@ def signatures(
             cell = owner[live] * coordinates + (mixed(draw, 0) % np.uint64(coordinates)).astype(np.int64)
             thrown.append((cell, rank, draw))
             salt += 1
-        cell, rank, draw = (np.concatenate(x) for x in zip(*thrown))
-        order = np.argsort(-rank, kind="stable")  # the earliest is written last
-        best.ravel()[cell[order]] = rank[order]
-        name.ravel()[cell[order]] = draw[order]
+            if not live.size or sum(len(x) for x, _, _ in thrown) >= DARTS:
+                _land(thrown, best.ravel(), name.ravel())
+                thrown = []
         todo &= np.isinf(best).any(axis=1)
         limit = np.where(todo, limit * 2, limit)
     return name
 
 
+def _land(
+    thrown: list[tuple[np.ndarray, np.ndarray, np.ndarray]], best: np.ndarray, name: np.ndarray
+) -> None:
+    """Enter darts ``(cell, rank, draw)`` where none earlier is; of equal ranks the last stays."""
+    cell, rank, draw = (np.concatenate(x) for x in zip(*thrown))
+    order = np.argsort(-rank, kind="stable")  # the earliest is written last
+    order = order[rank[order] <= best[cell[order]]]
+    best[cell[order]] = rank[order]
+    name[cell[order]] = draw[order]
+
+
 def band_hashes(texts: list[bytes], bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each band of each text, in a row per text; and the sizes of their sets."""
     elements, owner = shingle_sets(texts)

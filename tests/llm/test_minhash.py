@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -103,6 +104,21 @@ def test_signature_of_one_element_is_full():
     assert (name != 0).all()
 
 
+def test_darts_of_many_sets_are_not_held_together(monkeypatch):
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(1, 60, minhash.AT_ONCE)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    elements = rng.integers(0, 1 << 63, len(owner), dtype=np.uint64)
+    tracemalloc.start()
+    name = minhash.signatures(elements, owner, len(sizes), 96)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+    for darts in (1, 1 << 40):
+        monkeypatch.setattr(minhash, "DARTS", darts)
+        assert (minhash.signatures(elements, owner, len(sizes), 96) == name).all()
+
+
 def test_long_texts_in_tiles(spark, monkeypatch):
     """Few very long texts and many short ones, all in large buckets, in tiles of few shingles."""
     monkeypatch.setattr(minhash, "LARGE", 1)
